@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from basketflow import schemas
 from basketflow.functions import format_local_time, sku_key, store_key, transaction_key
-from basketflow.operators.shred import to_log_line, transaction_struct
+from basketflow.operators.shred import to_log_line
 from basketflow.sinks import write_skus_csv, write_supermarkets_csv, write_transactions_csv
 from basketflow.workspace import new_folder
 
@@ -106,21 +106,21 @@ def _baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested transactions as a till sends them, dates as text; an order without lineitems has an
-    empty list. A very large order comes as several transactions with the same header."""
-    baskets = _baskets(spark, sf_dir).drop("part")
+    empty list. A very large order comes as several transactions with the same header, told apart
+    by ``part``."""
+    baskets = _baskets(spark, sf_dir)
     return _numbered_headers(spark, sf_dir).join(baskets, "o_orderkey", "left").select(
         "transaction_id",
         "supermarket_id",
         format_local_time(F.col("transaction_date")).alias("transaction_date"),
         F.coalesce("items", F.array().cast(schemas.ITEMS_TYPE)).alias("items"),
+        F.when(F.col("part") > 0, F.col("part")).alias("part"),
     )
 
 
 def transaction_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tx = transaction_struct(
-        F.col("transaction_id"), F.col("supermarket_id"), F.col("transaction_date"), F.col("items")
-    )
-    return transactions(spark, sf_dir).select(to_log_line(tx).alias("value"))
+    sent = transactions(spark, sf_dir)
+    return sent.select(to_log_line(F.struct(*sent.columns)).alias("value"))
 
 
 def _prose(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,6 +170,34 @@ def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(value.alias("value"))
 
 
+# Items and date of a kept but flawed line, by order key; also in the oracle of `flag_counts`.
+FLAWS = [
+    ('[{"sku": "SKU00001", "quantity": 1}]', "2024-04-10 19:22:28"),  # none
+    ('[{"sku": "SKU00001", "quantity": 1}]', "2024-04-10"),  # bad_date
+    ('"nothing"', "2024-04-10 19:22:28"),  # bad_items
+    ("null", "2024-04-10 19:22:28"),  # none
+    ("[null]", "2024-04-10 19:22:28"),  # null_item
+    ('[{"sku": "SKU00001", "quantity": 1.5}]', "bad"),  # bad_date, bad_quantity
+    ('[null, {"sku": "SKU00001", "quantity": "3"}]', "2024-04-10 19:22:28"),  # null_item, bad_quantity
+    ("[]", "2024-02-30 19:22:28"),  # bad_date
+]
+
+
+def flawed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One line for every order; each is a transaction, some with parts that cannot be read."""
+    ident = transaction_key(F.col("o_orderkey") + 1)
+    value = F.lit(None).cast("string")
+    for kind, (items, date_text) in enumerate(FLAWS):
+        text = F.concat(
+            F.lit('{"transaction_id": "'),
+            ident,
+            F.lit(f'", "transaction_date": "{date_text}", "items": {items}}}'),
+        )
+        line = F.to_json(F.struct(text.alias("log")))
+        value = F.when(F.col("o_orderkey") % len(FLAWS) == kind, line).otherwise(value)
+    return table(spark, sf_dir, "orders").select(value.alias("value"))
+
+
 _staged: dict[tuple[str, str, str], str] = {}
 
 
@@ -193,6 +221,10 @@ def broken_log_folder(spark: SparkSession, sf_dir: str) -> str:
     return _stage(spark, sf_dir, "broken-logs", lines.write.text)
 
 
+def flawed_log_folder(spark: SparkSession, sf_dir: str) -> str:
+    return _stage(spark, sf_dir, "flawed-logs", flawed_lines(spark, sf_dir).write.text)
+
+
 def redelivered_log_folder(spark: SparkSession, sf_dir: str) -> str:
     """The log files once more under other names, beside the first ones."""
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from basketflow.catalogue.inputs import BROKEN_KINDS
+from basketflow.catalogue.inputs import BROKEN_KINDS, FLAWS
 from basketflow.catalogue.queries import HEADERS_UNTIL, ORIGIN_SPLIT, REPORT_SINCE, REPORT_UNTIL, TOP_K
 
 SUPERMARKETS = """
@@ -61,6 +61,14 @@ _REASON_OF_ORDER = " ".join(
     f"when {kind} then '{reason}'" for kind, reason in enumerate(_BROKEN_REASONS)
 )
 
+# Flags of each flawed line, in the order of the flaws.
+_FLAW_FLAGS = [
+    [], ["bad_date"], ["bad_items"], [], ["null_item"], ["bad_date", "bad_quantity"],
+    ["null_item", "bad_quantity"], ["bad_date"],
+]
+assert len(_FLAW_FLAGS) == len(FLAWS)
+_FLAGS_OF_ORDER = " ".join(f"when {kind} then {flags}::varchar[]" for kind, flags in enumerate(_FLAW_FLAGS))
+
 _HEADERS = _with_tables("select * from headers")
 _DETAILS = _with_tables("select * from details")
 
@@ -80,6 +88,11 @@ ORACLE: dict[str, str] = {
                case when o_orderkey % 2 = 0 then 'bad' else strftime(o_orderdate, '%Y-%m-%d') end as date_text
         from orders where o_orderpriority = '5-LOW'
     """,
+    "flag_counts": f"""
+        select flag, count(*) as records from (
+            select unnest(case o_orderkey % {len(FLAWS)} {_FLAGS_OF_ORDER} end) as flag from orders
+        ) group by flag
+    """,
     "csv_items_roundtrip": _DETAILS,
     "csv_headers": _HEADERS,
     "dim_skus": _with_tables("select sku, article_name, cast(price as double) as price from skus"),
@@ -98,6 +111,7 @@ ORACLE: dict[str, str] = {
     "stream_shred_details": _DETAILS,
     "stream_dedupe": _DETAILS,
     "dedupe_transactions": _DETAILS,
+    "late_copies_dropped": _DETAILS,
     "stream_sales_by_store": _with_tables(
         """
         select h.supermarket_id, cast(sum(d.quantity) as bigint) as units,

@@ -11,11 +11,11 @@ from basketflow.catalogue import inputs
 from basketflow.functions import format_local_time, sku_key, store_key, transaction_key, zone_time
 from basketflow.operators import audit
 from basketflow.operators.decode import accepted, decode_csv_rows, decode_lines
-from basketflow.operators.dedupe import drop_copies
+from basketflow.operators.dedupe import drop_already_loaded, drop_copies
 from basketflow.operators.numbering import assign_transaction_ids
 from basketflow.operators.shred import details as shred_details
 from basketflow.operators.shred import headers as shred_headers
-from basketflow.operators.shred import to_log_line, transaction_struct
+from basketflow.operators.shred import to_log_line
 from basketflow.plans import reports, views
 from basketflow.sinks import append_load, overwrite_historical
 from basketflow.sources import read_fact, read_log_lines, read_skus, read_supermarkets, read_transactions_csv
@@ -74,11 +74,8 @@ def bad_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     date_text = F.when(F.col("o_orderpriority") == "5-LOW", spoilt).otherwise(
         format_local_time(F.col("o_orderdate"))
     )
-    tx = transaction_struct(
-        transaction_key(F.col("o_orderkey") + 1),
-        F.lit("STORE0001"),
-        date_text,
-        F.array().cast("array<struct<sku:string,quantity:int>>"),
+    tx = F.struct(
+        transaction_key(F.col("o_orderkey") + 1).alias("transaction_id"), date_text.alias("transaction_date")
     )
     lines = inputs.table(spark, sf_dir, "orders").select(
         to_log_line(tx).alias("value"),
@@ -92,6 +89,12 @@ def bad_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def flag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept records with something missing: one line for every order, half of them with flaws."""
+    lines = read_log_lines(spark, inputs.flawed_log_folder(spark, sf_dir))
+    return audit.flag_counts(decode_lines(lines))
+
+
 def csv_items_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shred_details(_csv_records(spark, sf_dir))
 
@@ -197,9 +200,9 @@ def top_skus_by_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def end_to_end_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw log lines to stored facts to the sales report, joined on the record key."""
+    """Raw log lines, without copies, to stored facts to the sales report, joined on the record key."""
     folder = new_folder(spark, "facts")
-    append_load(_log_records(spark, sf_dir), folder, "logs")
+    append_load(drop_copies(_log_records(spark, sf_dir)), folder, "logs")
     return reports.sales_by_store(
         read_fact(spark, folder, "headers", stored=True),
         read_fact(spark, folder, "details", stored=True),
@@ -246,6 +249,16 @@ def dedupe_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shred_details(drop_copies(decode_lines(lines)))
 
 
+def late_copies_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole second delivery after the first is stored adds nothing."""
+    folder = new_folder(spark, "facts")
+    append_load(_log_records(spark, sf_dir), folder, "first")
+    again = decode_lines(read_log_lines(spark, inputs.redelivered_log_folder(spark, sf_dir)))
+    stored = read_fact(spark, folder, "headers", stored=True)
+    append_load(drop_already_loaded(again, stored), folder, "second")
+    return read_fact(spark, folder, "details")
+
+
 # --- keys, times, numbers ------------------------------------------------------------------
 
 
@@ -367,6 +380,7 @@ QUERIES: dict[str, Query] = {
     "shred_details": details_from_logs,
     "filter_valid_tx": filter_valid_tx,
     "quarantine_reasons": quarantine_reasons,
+    "flag_counts": flag_counts,
     "bad_dates": bad_dates,
     "csv_items_roundtrip": csv_items_roundtrip,
     "csv_headers": csv_headers,
@@ -380,6 +394,7 @@ QUERIES: dict[str, Query] = {
     "stream_shred_details": stream_shred_details,
     "stream_dedupe": stream_dedupe,
     "dedupe_transactions": dedupe_transactions,
+    "late_copies_dropped": late_copies_dropped,
     "stream_sales_by_store": stream_sales_by_store,
     "join_header_detail": join_header_detail,
     "line_revenue": line_revenue,

@@ -51,6 +51,22 @@ def money(amount: Column, precision: int = 10) -> Column:
     return amount.try_cast(f"decimal({precision},2)")
 
 
+def in_cents(amount: Column) -> Column:
+    """A two-decimal amount as a whole number, for fast sums."""
+    return (amount * 100).cast("bigint")
+
+
+def wide_cents(cents: Column | str) -> Column:
+    """Cents as a decimal whose sums have room for any number of rows."""
+    return (F.col(cents) if isinstance(cents, str) else cents).cast("decimal(20,0)")
+
+
+def from_cents(cents: Column | str) -> Column:
+    """Exact: the cast only moves the point."""
+    whole = F.col(cents) if isinstance(cents, str) else cents
+    return (whole.cast("decimal(36,0)") * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(38,2)")
+
+
 def in_opening_hours(ts: Column) -> Column:
     """Monday to Saturday, from nine until just before nine in the evening."""
     return (

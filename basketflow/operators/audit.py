@@ -10,9 +10,14 @@ from basketflow.functions import in_opening_hours
 
 
 def without_parent(children: DataFrame, parents: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
-    """Child rows whose key no parent has; a null key has no parent."""
-    keys = parents.select(F.col(parent_key or key).alias(key))
-    return children.join(keys, key, "left_anti").select(children.columns)
+    """Child rows whose key no parent has; a null key has no parent.
+
+    Rows with a null key get a random one, which no parent has either; as nulls they would all
+    be shuffled to one task.
+    """
+    keys = parents.select(F.col(parent_key or key).alias("_key"))
+    keyed = children.withColumn("_key", F.coalesce(F.col(key), F.expr("concat('none ', uuid())")))
+    return keyed.join(keys, "_key", "left_anti").drop("_key")
 
 
 def headers_without_items(headers: DataFrame, details: DataFrame) -> DataFrame:

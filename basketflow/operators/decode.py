@@ -1,8 +1,9 @@
 """Raw rows to records.
 
-A record has the columns ``tx`` (the transaction as a struct), ``reason`` (why the row is
-refused; null if it is kept), ``flags`` (notes on a kept one), ``raw`` (the text of a refused
-row), ``source_file`` and ``arrived_at``. Batch and stream use the same functions.
+A record has the columns ``tx`` (the transaction as a struct), ``tx_key`` (its identity),
+``reason`` (why the row is refused; null if it is kept), ``flags`` (notes on a kept one), ``raw``
+(the text of a refused row), ``source_file`` and ``arrived_at``. Batch and stream use the same
+functions.
 """
 
 from __future__ import annotations
@@ -13,7 +14,15 @@ from pyspark.sql import functions as F
 from basketflow import schemas
 from basketflow.functions import parse_local_time
 
-RECORD_COLUMNS = ["tx", "reason", "flags", "raw", "source_file", "arrived_at"]
+
+def _key_of(text: Column) -> Column:
+    """Identity of a record, carried into both fact tables to link them.
+
+    Tills hand out transaction ids again after a restart, so the id alone would mix up sales. The
+    key covers the text of the whole record: a redelivered copy has the same one, and a record
+    that differs in anything keeps its own.
+    """
+    return F.unhex(F.sha2(text, 256))
 
 
 def _parse_once(parsed: Column) -> Column:
@@ -75,6 +84,7 @@ def decode_lines(lines: DataFrame) -> DataFrame:
     items_text = F.get_json_object("log", "$.items")
     return parsed.select(
         "tx",
+        F.when(~refused, _key_of(F.col("log"))).alias("tx_key"),
         F.when(refused, _reject_reason()).alias("reason"),
         F.when(~refused, _flags(items_text)).alias("flags"),
         F.when(refused, F.col("value")).alias("raw"),
@@ -94,13 +104,14 @@ def decode_csv_rows(rows: DataFrame) -> DataFrame:
         "transaction_date",
         F.col("parsed_items").alias("items"),
     )
-    raw = F.to_json(F.struct("transaction_id", "supermarket_id", "transaction_date", "items"))
+    text = F.to_json(F.struct("transaction_id", "supermarket_id", "transaction_date", "items"))
     refused = F.col("transaction_id").isNull()
-    return parsed.withColumn("tx", tx).select(
+    return parsed.withColumn("tx", tx).withColumn("text", text).select(
         "tx",
+        F.when(~refused, _key_of(F.col("text"))).alias("tx_key"),
         F.when(refused, "null_id").alias("reason"),
         F.when(~refused, _flags(F.col("items"))).alias("flags"),
-        F.when(refused, raw).alias("raw"),
+        F.when(refused, F.col("text")).alias("raw"),
         "source_file",
         "arrived_at",
     )

@@ -9,16 +9,6 @@ from basketflow.functions import parse_local_time
 from basketflow.operators.decode import accepted
 
 
-def record_key() -> Column:
-    """Identity of a transaction record, carried into both fact tables.
-
-    Transaction ids are handed out again after a restart of the till, so the id alone would mix
-    up sales. The key covers the whole record: a redelivered copy has the same key, and a record
-    that differs in anything keeps its own.
-    """
-    return F.unhex(F.sha2(F.to_json("tx"), 256))
-
-
 def headers(records: DataFrame) -> DataFrame:
     """One row per kept record; a date that cannot be read becomes null."""
     return accepted(records).select(
@@ -42,15 +32,6 @@ def details(records: DataFrame) -> DataFrame:
     )
 
 
-def transaction_struct(transaction_id: Column, supermarket_id: Column, date_text: Column, items: Column) -> Column:
-    return F.struct(
-        transaction_id.alias("transaction_id"),
-        supermarket_id.alias("supermarket_id"),
-        date_text.alias("transaction_date"),
-        items.alias("items"),
-    )
-
-
 def to_log_line(tx: Column) -> Column:
     """The envelope a log router puts around one printed transaction."""
     return F.to_json(F.struct(F.to_json(tx).alias("log")))

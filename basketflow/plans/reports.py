@@ -10,9 +10,11 @@ stored facts, where ids may occur again.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketflow.functions import from_cents, in_cents, wide_cents
+
 
 def in_dates(headers: DataFrame, since: str | None, until: str | None) -> DataFrame:
     """Headers from ``since`` up to, not including, ``until``; reaches the Parquet scan."""
@@ -29,14 +31,10 @@ def header_lines(headers: DataFrame, details: DataFrame, on: str = "transaction_
     return headers.join(details.select(own), on)
 
 
-def _line_sales() -> Column:
-    return F.col("quantity") * F.col("price")
-
-
 def line_revenue(details: DataFrame, skus: DataFrame) -> DataFrame:
     """Each detail with its price and what it brought in: quantity times the current price."""
     return details.join(skus.select("sku", "price"), "sku").select(
-        "transaction_id", "sku", "quantity", "price", _line_sales().alias("revenue")
+        "transaction_id", "sku", "quantity", "price", (F.col("quantity") * F.col("price")).alias("revenue")
     )
 
 
@@ -52,31 +50,35 @@ def sales_by_store(
 ) -> DataFrame:
     """Transactions, units and sales by store.
 
+    Money is summed in whole cents up to the transaction, as 64-bit integers: a decimal product is
+    an object per line. The sums over transactions are decimals, so they cannot overflow.
+
     Details are summed by transaction before they meet their headers: the items of a basket lie
     together, so this shrinks them on the map side, and a transaction with very many items becomes
-    one row. The grouping by transaction and store needs no shuffle after that join; it counts
-    each transaction of a store once.
+    one row. The grouping by transaction and store needs no shuffle after a join on the id; it
+    counts each transaction of a store once. Under ``tx_key`` a transaction is an id and a date.
     """
-    wanted = in_dates(headers, since, until).select(on, "supermarket_id")
+    sale = ["transaction_id"] if on == "transaction_id" else ["transaction_id", "transaction_date"]
+    wanted = in_dates(headers, since, until).select(*dict.fromkeys([on, *sale]), "supermarket_id")
     by_transaction = (
         details.select(on, "sku", "quantity")
-        .join(skus.select("sku", "price"), "sku")
+        .join(skus.select("sku", in_cents(F.col("price")).alias("cents")), "sku")
         .groupBy(on)
-        .agg(F.sum("quantity").alias("units"), F.sum(_line_sales()).alias("sales"))
+        .agg(F.sum("quantity").alias("units"), F.sum(F.col("quantity") * F.col("cents")).alias("cents"))
     )
     by_store = (
         wanted.join(by_transaction, on)
-        .groupBy(on, "supermarket_id")
-        .agg(F.sum("units").alias("units"), F.sum("sales").alias("sales"))
+        .groupBy(*sale, "supermarket_id")
+        .agg(F.sum("units").alias("units"), F.sum(wide_cents("cents")).alias("cents"))
         .groupBy("supermarket_id")
         .agg(
             F.count("*").alias("transactions"),
             F.sum("units").alias("units"),
-            F.sum("sales").alias("sales"),
+            F.sum("cents").alias("cents"),
         )
     )
     return by_store.join(supermarkets.select("supermarket_id", "supermarket_name"), "supermarket_id").select(
-        "supermarket_id", "supermarket_name", "transactions", "units", F.col("sales").cast("double").alias("sales")
+        "supermarket_id", "supermarket_name", "transactions", "units", from_cents("cents").cast("double").alias("sales")
     )
 
 

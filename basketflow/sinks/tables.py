@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from basketflow import schemas
 from basketflow.functions import parse_local_time
-from basketflow.operators.shred import record_key
 
 _NO_ITEM = "named_struct('sku', cast(null as string), 'quantity', cast(null as int))"
 
@@ -31,8 +30,6 @@ def fact_rows(records: DataFrame) -> DataFrame:
     Position 0 of the fan-out stands for the header (or the refused line), the others are items.
     """
     kept = F.col("tx.transaction_id").isNotNull()
-    if "tx_key" not in records.columns:
-        records = records.withColumn("tx_key", F.when(kept, record_key()))
     fan_out = F.expr(f"concat(array({_NO_ITEM}), coalesce(tx.items, array()))")
     spread = records.withColumn(
         "transaction_date", parse_local_time(F.col("tx.transaction_date"))

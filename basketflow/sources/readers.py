@@ -11,9 +11,8 @@ from basketflow.functions import money
 
 
 def _with_lineage(rows: DataFrame) -> DataFrame:
-    return rows.select(
-        "*", F.col("_metadata.file_path").alias("source_file"), F.current_timestamp().alias("arrived_at")
-    )
+    """Unlike ``_metadata``, whose struct stays in the scan, these cost nothing when not used."""
+    return rows.select("*", F.input_file_name().alias("source_file"), F.current_timestamp().alias("arrived_at"))
 
 
 def _quoted_csv(spark: SparkSession, schema: str):

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from basketflow.functions import from_cents, in_cents, wide_cents
 from basketflow.operators.decode import accepted, decode_lines
 from basketflow.operators.dedupe import drop_copies_in_stream
 from basketflow.sources import stream_log_lines
@@ -42,12 +43,13 @@ def start_live_sales(
         .select("supermarket_id", F.col("item.sku").alias("sku"), F.col("item.quantity").alias("quantity"))
     )
     totals = (
-        items.join(skus.select("sku", "price"), "sku")
+        items.join(skus.select("sku", in_cents(F.col("price")).alias("cents")), "sku")
         .groupBy("supermarket_id")
         .agg(
             F.sum("quantity").alias("units"),
-            F.sum(F.col("quantity") * F.col("price")).cast("decimal(38,2)").alias("sales"),
+            F.sum(wide_cents(F.col("quantity") * F.col("cents"))).alias("cents"),
         )
+        .select("supermarket_id", "units", from_cents("cents").alias("sales"))
     )
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
