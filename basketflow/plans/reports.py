@@ -16,13 +16,13 @@ from pyspark.sql import functions as F
 from basketflow.functions import from_cents, in_cents, wide_cents
 
 
-def in_dates(headers: DataFrame, since: str | None, until: str | None) -> DataFrame:
-    """Headers from ``since`` up to, not including, ``until``; reaches the Parquet scan."""
+def in_dates(rows: DataFrame, since: str | None, until: str | None) -> DataFrame:
+    """Rows from ``since`` up to, not including, ``until``; reaches the Parquet scan."""
     if since:
-        headers = headers.where(F.col("transaction_date") >= F.lit(since).cast("timestamp_ntz"))
+        rows = rows.where(F.col("transaction_date") >= F.lit(since).cast("timestamp_ntz"))
     if until:
-        headers = headers.where(F.col("transaction_date") < F.lit(until).cast("timestamp_ntz"))
-    return headers
+        rows = rows.where(F.col("transaction_date") < F.lit(until).cast("timestamp_ntz"))
+    return rows
 
 
 def header_lines(headers: DataFrame, details: DataFrame, on: str = "transaction_id") -> DataFrame:
@@ -57,7 +57,11 @@ def sales_by_store(
     together, so this shrinks them on the map side, and a transaction with very many items becomes
     one row. The grouping by transaction and store needs no shuffle after a join on the id; it
     counts each transaction of a store once. Under ``tx_key`` a transaction is an id and a date.
+
+    Stored details carry the date of their header, so their scan is cut to the dates as well.
     """
+    if "transaction_date" in details.columns:
+        details = in_dates(details, since, until)
     sale = ["transaction_id"] if on == "transaction_id" else ["transaction_id", "transaction_date"]
     wanted = in_dates(headers, since, until).select(*dict.fromkeys([on, *sale]), "supermarket_id")
     by_transaction = (

@@ -11,7 +11,8 @@ from basketflow.operators.decode import accepted, decode_lines
 from basketflow.operators.dedupe import drop_copies_in_stream
 from basketflow.sources import stream_log_lines
 
-REPORT_SCHEMA = "supermarket_id string, units bigint, sales decimal(38,2)"
+REPORT_SCHEMA = "supermarket_id string, units bigint, sales decimal(38,2), batch_id bigint"
+SLOTS = 2
 
 
 def start_live_sales(
@@ -30,8 +31,8 @@ def start_live_sales(
     """Running units and sales by store; state is one row per store.
 
     Rows are summed within each task before the shuffle, so a store with a third of all sales
-    costs its reducer one row per task. Each refresh is written under its own batch number, and a
-    batch that runs again replaces its own.
+    costs its reducer one row per task. Refreshes take turns in two slots: the newest complete one
+    stays readable while the next is written, and the folder does not grow.
     """
     records = decode_lines(stream_log_lines(spark, input_dir, max_files=max_files, max_bytes=max_bytes))
     if horizon:
@@ -53,7 +54,8 @@ def start_live_sales(
     )
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        batch.hint("rebalance").write.mode("overwrite").parquet(f"{report_path}/batch_id={batch_id}")
+        numbered = batch.hint("rebalance").withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        numbered.write.mode("overwrite").parquet(f"{report_path}/slot={batch_id % SLOTS}")
 
     return (
         totals.writeStream.outputMode("complete")
@@ -65,7 +67,7 @@ def start_live_sales(
 
 
 def read_live_sales(spark: SparkSession, report_path: str) -> DataFrame:
-    """The latest refresh. Only the partition names are read to find it."""
-    refreshes = spark.read.schema(f"{REPORT_SCHEMA}, batch_id bigint").parquet(report_path)
+    """The latest refresh."""
+    refreshes = spark.read.schema(REPORT_SCHEMA).parquet(report_path)
     latest = refreshes.agg(F.max("batch_id").alias("batch_id"))
-    return refreshes.join(latest, "batch_id").drop("batch_id")
+    return refreshes.join(latest, "batch_id").drop("batch_id", "slot")

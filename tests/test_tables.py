@@ -1,0 +1,173 @@
+import json
+
+import pytest
+from conftest import SMALL, as_lines, log_line, plan_of, sale, write_lines
+
+from basketflow import jobs
+from basketflow.catalogue import inputs
+from basketflow.operators.decode import decode_csv_rows, decode_lines
+from basketflow.operators.dedupe import drop_already_loaded, drop_copies
+from basketflow.plans import reports, views
+from basketflow.sinks import append_load, overwrite_historical, write_transactions_csv
+from basketflow.sources import read_fact, read_log_lines, read_skus, read_supermarkets, read_transactions_csv
+
+
+def records(spark, *lines):
+    return decode_lines(as_lines(spark, list(lines)))
+
+
+def ids(spark, path, table="headers"):
+    return sorted(r.transaction_id for r in read_fact(spark, path, table).collect())
+
+
+def test_missing_tables_are_empty(spark, tmp_path):
+    path = str(tmp_path)
+    for table in ("headers", "details", "rejects"):
+        assert read_fact(spark, path, table).count() == 0
+
+
+def test_historical_run_again_keeps_live_rows(spark, tmp_path):
+    path = str(tmp_path)
+    counts = overwrite_historical(records(spark, log_line(sale(1)), log_line(sale(2)), "prose"), path)
+    assert counts == {"headers": 2, "details": 2, "rejects": 1}
+    append_load(records(spark, log_line(sale(9))), path, "live-1")
+    overwrite_historical(records(spark, log_line(sale(3))), path)
+    assert ids(spark, path) == ["TX0000003", "TX0000009"]
+    assert ids(spark, path, "details") == ["TX0000003", "TX0000009"]
+
+
+def test_tables_a_load_no_longer_fills_are_emptied(spark, tmp_path):
+    path = str(tmp_path)
+    overwrite_historical(records(spark, log_line(sale(1)), "prose"), path)
+    overwrite_historical(records(spark, log_line(sale(1, items=()))), path)
+    assert read_fact(spark, path, "rejects").count() == 0
+    assert read_fact(spark, path, "details").count() == 0
+    assert ids(spark, path) == ["TX0000001"]
+
+
+def test_load_run_again_does_not_double(spark, tmp_path):
+    path = str(tmp_path)
+    for _ in range(2):
+        append_load(records(spark, log_line(sale(1))), path, "a")
+    append_load(records(spark, log_line(sale(2))), path, "b")
+    assert ids(spark, path) == ["TX0000001", "TX0000002"]
+
+
+def test_stored_columns_link_details_to_their_header(spark, tmp_path):
+    """An id that was handed out twice does not mix two sales."""
+    path = str(tmp_path)
+    first = sale(1, items=[("A", 1)], date="2024-04-10 10:00:00")
+    second = sale(1, items=[("B", 2), ("B", 3)], date="2024-04-11 10:00:00")
+    append_load(records(spark, log_line(first), log_line(second)), path, "a")
+    joined = reports.header_lines(
+        read_fact(spark, path, "headers", stored=True), read_fact(spark, path, "details", stored=True), on="tx_key"
+    ).collect()
+    assert sorted((r.transaction_date.day, r.sku, r.quantity) for r in joined) == [
+        (10, "A", 1), (11, "B", 2), (11, "B", 3)]
+
+
+def test_batch_copies(spark, tmp_path):
+    path = str(tmp_path)
+    lines = [log_line(sale(1))] * 50 + [log_line(sale(2)), log_line(sale(1, date="2024-04-11 10:00:00"))]
+    junk = ["prose", "prose", log_line("prose")]
+    append_load(drop_copies(records(spark, *lines, *junk)), path, "a")
+    assert ids(spark, path) == ["TX0000001", "TX0000001", "TX0000002"]
+    assert read_fact(spark, path, "rejects").count() == 3
+
+    again = drop_already_loaded(
+        records(spark, *lines, log_line(sale(3)), *junk), read_fact(spark, path, "headers", stored=True)
+    )
+    append_load(again, path, "b")
+    assert ids(spark, path) == ["TX0000001", "TX0000001", "TX0000002", "TX0000003"]
+    assert read_fact(spark, path, "rejects").count() == 6
+
+
+def test_csv_export_and_import(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    rows = [("TX1", 'Calle "Mayor", 5', "2024-04-10 19:22:28", [("SKU,1", 2), ("Ñ", 1)]), ("TX2", "B", None, [])]
+    frame = spark.createDataFrame(
+        rows,
+        "transaction_id string, supermarket_id string, transaction_date string, "
+        "items array<struct<sku:string,quantity:int>>",
+    )
+    write_transactions_csv(frame, path)
+    read = read_transactions_csv(spark, path)
+    back = decode_csv_rows(read).select("tx.*")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, frame.collect()))
+    preview = read.limit(1).collect()
+    assert len(preview) == 1
+    assert json.loads(read.where("transaction_id = 'TX1'").first()["items"])[0] == {"sku": "SKU,1", "quantity": 2}
+
+
+def test_one_csv_file_is_read_by_several_tasks(spark, tmp_path):
+    path = tmp_path / "past.csv"
+    with open(path, "w", encoding="utf-8") as out:
+        out.write("transaction_id,supermarket_id,transaction_date,items\n")
+        for n in range(20000):
+            out.write(f'TX{n:07d},STORE0001,2024-04-10 19:22:28,"[{{""sku"": ""S"", ""quantity"": 1}}]"\n')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        read = read_transactions_csv(spark, str(path))
+        assert read.rdd.getNumPartitions() > 4
+        assert read.where("transaction_id is null or items is null").count() == 0
+        assert read.count() == 20000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_dimensions(spark, tmp_path):
+    (tmp_path / "skus.csv").write_text('sku,name of article,price\nSKU00001,"Bread, white",2.5\nSKU00002,Té,free\n',
+                                       encoding="utf-8")
+    (tmp_path / "stores.csv").write_text("supermarket_id,supermarket_name\nSTORE0001,Calle Ñandú 1\n", encoding="utf-8")
+    skus = read_skus(spark, str(tmp_path / "skus.csv"))
+    assert dict(skus.dtypes)["price"] == "decimal(10,2)"
+    assert [(r.article_name, r.price if r.price is None else str(r.price)) for r in skus.orderBy("sku").collect()] == [
+        ("Bread, white", "2.50"), ("Té", None)]
+    assert read_supermarkets(spark, str(tmp_path / "stores.csv")).first().supermarket_name == "Calle Ñandú 1"
+
+
+def test_views_over_both_origins(spark, tmp_path):
+    path = str(tmp_path)
+    overwrite_historical(records(spark, log_line(sale(1))), path)
+    append_load(records(spark, log_line(sale(2))), path, "live")
+    skus = spark.createDataFrame([("SKU00001", "Bread", 2.0)], "sku string, article_name string, price double")
+    stores = spark.createDataFrame([("STORE0001", "Main")], "supermarket_id string, supermarket_name string")
+    tables = views.load_tables(spark, path, skus, stores)
+    views.register(tables, "t_")
+    views.register(views.with_public_names(tables), "p_")
+    assert spark.sql("select count(*) n from t_headers join t_details using (transaction_id)").first().n == 2
+    public = spark.sql(
+        "select store_id, sku_id, product_name, transaction_datetime from p_transactions "
+        "join p_transaction_items using (transaction_id) join p_skus using (sku_id)"
+    )
+    assert public.count() == 2
+
+
+def test_jobs(spark, tmp_path, capsys, monkeypatch):
+    monkeypatch.setattr(jobs, "job_session", lambda _name: spark)
+    transactions = inputs.transactions(spark, SMALL).drop("part")
+    write_transactions_csv(transactions, str(tmp_path / "csv"))
+    facts, live = str(tmp_path / "facts"), tmp_path / "incoming"
+    jobs.main(["historical", "--csv", str(tmp_path / "csv"), "--facts", facts])
+    assert "1500" in capsys.readouterr().out
+    write_lines(live, [log_line(sale(100001, store="STORE0099")), "banner"])
+    jobs.main(["live", "--input", str(live), "--facts", facts, "--checkpoint", str(tmp_path / "progress"),
+               "--lanes", "2", "--compact"])
+    (tmp_path / "skus.csv").write_text("sku,name of article,price\nSKU00001,Bread,2.5\n", encoding="utf-8")
+    (tmp_path / "stores.csv").write_text("supermarket_id,supermarket_name\nSTORE0099,Main\n", encoding="utf-8")
+    for since, expected in [("2024-04-10", [("STORE0099", 1, 1, 2.5)]), ("2024-04-11", [])]:
+        jobs.main(["sales", "--facts", facts, "--skus", str(tmp_path / "skus.csv"), "--supermarkets",
+                   str(tmp_path / "stores.csv"), "--since", since, "--out", str(tmp_path / "report")])
+        report = spark.read.parquet(str(tmp_path / "report"))
+        assert [(r.supermarket_id, r.transactions, r.units, r.sales) for r in report.collect()] == expected
+    assert read_fact(spark, facts, "headers").count() == 1501
+
+
+@pytest.mark.parametrize("table", ["headers", "details"])
+def test_date_range_reaches_the_scan(spark, tmp_path, table):
+    path = str(tmp_path)
+    append_load(records(spark, log_line(sale(1))), path, "a")
+    rows = reports.in_dates(read_fact(spark, path, table, stored=True), "2024-01-01", "2025-01-01")
+    plan = plan_of(rows.select("transaction_id"))
+    assert "GreaterThanOrEqual(transaction_date" in plan
+    assert "LessThan(transaction_date" in plan
