@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from basketflow import schemas
 from basketflow.functions import format_local_time, sku_key, store_key, transaction_key
@@ -22,8 +23,15 @@ from basketflow.workspace import new_folder
 PRICE_PRECISION = 12
 
 
+_table_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """A driver table; its schema is read from the file once, not in a job for every query."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    if path not in _table_schemas:
+        _table_schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_table_schemas[path]).parquet(path)
 
 
 def supermarkets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -335,29 +335,39 @@ def readme_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- streams -------------------------------------------------------------------------------
 
-FILES_PER_BATCH = 8
 
+def _state_partitions(spark: SparkSession) -> int:
+    """Small state needs no more tasks than there are cores."""
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
-def _ingested(spark: SparkSession, sf_dir: str, folder: str, **options) -> str:
+
+def _ingest(spark: SparkSession, folder: str, facts: str, progress: str, **options) -> None:
+    start_ingest(
+        spark, folder, facts, progress, state_partitions=_state_partitions(spark), **options
+    ).awaitTermination()
+
+
+def _ingested_logs(spark: SparkSession, sf_dir: str) -> str:
     facts = new_folder(spark, "facts")
-    query = start_ingest(spark, folder, facts, new_folder(spark, "progress"), **options)
-    query.awaitTermination()
+    _ingest(spark, inputs.log_folder(spark, sf_dir), facts, new_folder(spark, "progress"), horizon=None)
     return facts
 
 
 def stream_shred_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = _ingested(spark, sf_dir, inputs.log_folder(spark, sf_dir), horizon=None)
-    return _one_header(read_fact(spark, facts, "headers"))
+    return _one_header(read_fact(spark, _ingested_logs(spark, sf_dir), "headers"))
 
 
 def stream_shred_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = _ingested(spark, sf_dir, inputs.log_folder(spark, sf_dir), horizon=None)
-    return read_fact(spark, facts, "details")
+    return read_fact(spark, _ingested_logs(spark, sf_dir), "details")
 
 
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = inputs.redelivered_log_folder(spark, sf_dir)
-    facts = _ingested(spark, sf_dir, folder, max_files=FILES_PER_BATCH)
+    """The log files land and are loaded; they land again under other names, and the same stream
+    goes on. The first delivery holds each line twice as well."""
+    incoming, facts, progress = (new_folder(spark, name) for name in ("incoming", "facts", "progress"))
+    for delivery in (inputs.redelivered_log_folder, inputs.log_folder):
+        spark.read.text(delivery(spark, sf_dir)).write.mode("append").text(incoming)
+        _ingest(spark, incoming, facts, progress)
     return read_fact(spark, facts, "details")
 
 
@@ -369,7 +379,7 @@ def stream_sales_by_store(spark: SparkSession, sf_dir: str) -> DataFrame:
         inputs.skus(spark, sf_dir),
         report,
         new_folder(spark, "progress"),
-        max_files=FILES_PER_BATCH,
+        state_partitions=_state_partitions(spark),
     )
     query.awaitTermination()
     return read_live_sales(spark, report).withColumn("sales", F.col("sales").cast("double"))

@@ -11,13 +11,17 @@ from basketflow import schemas
 def business_key(prefix: str, digits: int, number: Column) -> Column:
     """Prefix and zero-padded number; a number with more digits widens the key.
 
-    ``format_string`` gives the same text but calls the Java formatter for each row; it is
-    kept for negative numbers, where the sign takes one of the places.
+    ``format_string`` gives the same text but calls the Java formatter for each row. It is kept
+    for negative numbers, where the sign takes one of the places.
     """
-    text = number.cast("string")
-    padded = F.lpad(text, F.greatest(F.lit(digits), F.length(text)), F.lit("0"))
-    return F.when(number >= 0, F.concat(F.lit(prefix), padded)).otherwise(
-        F.when(number < 0, F.format_string(f"{prefix}%0{digits}d", number))
+    n = number.cast("bigint")
+    limit = 10**digits
+    # The digits after the leading 1 of 10...0 + n are n with its zeros.
+    padded = F.substring((n + limit).cast("string"), 2, digits)
+    return (
+        F.when((n >= 0) & (n < limit), F.concat(F.lit(prefix), padded))
+        .when(n >= limit, F.concat(F.lit(prefix), n.cast("string")))
+        .otherwise(F.when(n < 0, F.format_string(f"{prefix}%0{digits}d", n)))
     )
 
 

@@ -33,7 +33,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     live.add_argument("--horizon", default="1 hour", help="drop copies within this time; 'none' keeps all")
     live.add_argument("--lanes", type=int, default=8)
     live.add_argument("--max-files", type=int)
-    live.add_argument("--max-bytes")
+    live.add_argument("--max-bytes", type=int)
     live.add_argument("--archive")
     live.add_argument("--compact", action="store_true")
 

@@ -15,12 +15,13 @@ CSV_SUPERMARKETS = "supermarket_id string, supermarket_name string"
 
 # Every fact row is stored in one layout, <path>/table=<name>/origin=/stream_id=/batch_id=.
 PARTITION_COLUMNS = ["table", "origin", "stream_id", "batch_id"]
-_LINEAGE = "source_file string, arrived_at timestamp, origin string, stream_id string, batch_id bigint"
+_LOAD = "origin string, stream_id string, batch_id bigint"
+_LINEAGE = f"source_file string, arrived_at timestamp, {_LOAD}"
 FACT_SCHEMAS = {
     "headers": "tx_key binary, transaction_id string, supermarket_id string, "
     f"transaction_date timestamp_ntz, flags array<string>, {_LINEAGE}",
     "details": "tx_key binary, transaction_id string, sku string, quantity int, "
-    f"transaction_date timestamp_ntz, {_LINEAGE}",
+    f"transaction_date timestamp_ntz, {_LOAD}",
     "rejects": f"raw string, reason string, {_LINEAGE}",
 }
 FACT_COLUMNS = {

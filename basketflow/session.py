@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 JOB_SETTINGS = {
@@ -22,3 +25,20 @@ def job_session(name: str, **settings: str) -> SparkSession:
     for key, value in {**JOB_SETTINGS, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+@contextmanager
+def temporary_setting(spark: SparkSession, key: str, value: str | int | None) -> Iterator[None]:
+    """Change a session setting for the length of a block; None changes nothing."""
+    if value is None:
+        yield
+        return
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)

@@ -12,14 +12,13 @@ ones.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow import schemas
 from basketflow.functions import parse_local_time
+from basketflow.session import temporary_setting
+from basketflow.workspace import path_exists
 
 _NO_ITEM = "named_struct('sku', cast(null as string), 'quantity', cast(null as int))"
 
@@ -46,26 +45,12 @@ def fact_rows(records: DataFrame) -> DataFrame:
         F.when(on_header, F.col("flags")).alias("flags"),
         "raw",
         "reason",
-        "source_file",
-        "arrived_at",
+        # Details find their lineage through their header.
+        F.when(on_header, F.col("source_file")).alias("source_file"),
+        F.when(on_header, F.col("arrived_at")).alias("arrived_at"),
     )
 
 
-@contextmanager
-def _one_writer_per_table(spark: SparkSession) -> Iterator[None]:
-    """Let a task keep a file open per table rather than sort all its rows by table first."""
-    setting = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(setting, None)
-    spark.conf.set(setting, str(len(schemas.FACT_SCHEMAS)))
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(setting)
-        else:
-            spark.conf.set(setting, before)
-
-
 def write_batch(rows: DataFrame, path: str, origin: str, stream_id: str, batch_id: int) -> None:
     """Write tagged fact rows as one load, replacing the rows of the same load if any."""
     placed = (
@@ -73,7 +58,9 @@ def write_batch(rows: DataFrame, path: str, origin: str, stream_id: str, batch_i
         .withColumn("stream_id", F.lit(stream_id))
         .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     )
-    with _one_writer_per_table(rows.sparkSession):
+    # With a writer per table a task keeps its files open and need not sort its rows by table.
+    writers = len(schemas.FACT_SCHEMAS)
+    with temporary_setting(rows.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", writers):
         (
             placed.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -82,6 +69,15 @@ def write_batch(rows: DataFrame, path: str, origin: str, stream_id: str, batch_i
         )
 
 
+def _empty_partition(spark: SparkSession, folder: str, table: str) -> None:
+    """Overwrite a partition folder with no rows, if it is there."""
+    if not path_exists(spark, folder):
+        return
+    columns = [f.split() for f in schemas.FACT_SCHEMAS[table].split(", ")]
+    stored = [f"cast(null as {kind}) as {name}" for name, kind in columns if name not in schemas.PARTITION_COLUMNS]
+    spark.range(0, 0, 1, 1).selectExpr(*stored).write.mode("overwrite").parquet(folder)
+
+
 def _replace_load(records: DataFrame, path: str, origin: str, load_id: str) -> dict[str, int]:
     """Write a whole load and empty the tables it no longer has rows for.
 
@@ -97,11 +93,7 @@ def _replace_load(records: DataFrame, path: str, origin: str, load_id: str) -> d
     written = {name: counts.get.get(name) or 0 for name in schemas.FACT_SCHEMAS}
     for name, count in written.items():
         if count == 0:
-            columns = [f for f in schemas.FACT_SCHEMAS[name].split(", ") if f.split()[0] not in schemas.PARTITION_COLUMNS]
-            empty = records.sparkSession.createDataFrame([], ", ".join(columns))
-            empty.coalesce(1).write.mode("overwrite").parquet(
-                f"{path}/table={name}/origin={origin}/stream_id={load_id}/batch_id=0"
-            )
+            _empty_partition(records.sparkSession, f"{path}/table={name}/origin={origin}/stream_id={load_id}/batch_id=0", name)
     return written
 
 

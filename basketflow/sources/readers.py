@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow import schemas
 from basketflow.functions import money
+from basketflow.workspace import path_exists
 
 
 def _with_lineage(rows: DataFrame) -> DataFrame:
@@ -51,7 +51,7 @@ def stream_log_lines(
     path: str,
     *,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     archive_dir: str | None = None,
 ) -> DataFrame:
     """The same lines from files as they land.
@@ -77,11 +77,9 @@ def read_fact(spark: SparkSession, path: str, table: str, *, stored: bool = Fals
     ``stored`` gives every stored column (record key, flags, lineage, partitions) instead of the
     table's own ones. A table no load has written to yet is empty.
     """
-    schema = schemas.FACT_SCHEMAS[table]
-    try:
-        rows = spark.read.schema(schema).parquet(f"{path}/table={table}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    schema, folder = schemas.FACT_SCHEMAS[table], f"{path}/table={table}"
+    if path_exists(spark, folder):
+        rows = spark.read.schema(schema).parquet(folder)
+    else:
         rows = spark.createDataFrame([], schema)
     return rows if stored else rows.select(schemas.FACT_COLUMNS[table])

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from basketflow.functions import from_cents, in_cents, wide_cents
 from basketflow.operators.decode import accepted, decode_lines
 from basketflow.operators.dedupe import drop_copies_in_stream
+from basketflow.session import temporary_setting
 from basketflow.sources import stream_log_lines
 
 REPORT_SCHEMA = "supermarket_id string, units bigint, sales decimal(38,2), batch_id bigint"
@@ -24,9 +25,10 @@ def start_live_sales(
     *,
     horizon: str | None = None,
     lanes: int = 1,
+    state_partitions: int | None = None,
     trigger: dict | None = None,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> StreamingQuery:
     """Running units and sales by store; state is one row per store.
 
@@ -57,13 +59,14 @@ def start_live_sales(
         numbered = batch.hint("rebalance").withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         numbered.write.mode("overwrite").parquet(f"{report_path}/slot={batch_id % SLOTS}")
 
-    return (
+    writer = (
         totals.writeStream.outputMode("complete")
         .foreachBatch(refresh)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
-        .start()
     )
+    with temporary_setting(spark, "spark.sql.shuffle.partitions", state_partitions):
+        return writer.start()
 
 
 def read_live_sales(spark: SparkSession, report_path: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 _local_roots: dict[str, str] = {}
@@ -29,3 +30,14 @@ def shared_root(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path below the shared root that no other call will get."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or file is there; with the schema given this starts no job."""
+    try:
+        spark.read.schema("value string").text(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True

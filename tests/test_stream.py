@@ -141,6 +141,13 @@ def test_processed_files_are_archived(feed):
     assert feed.ids() == [f"TX{n:07d}" for n in range(3)]
 
 
+def test_batches_bounded_by_size(feed):
+    crash_mix(feed)
+    query = feed.load(max_bytes=200)
+    assert query.lastProgress["batchId"] >= 3
+    assert (feed.count("headers"), feed.count("details"), feed.count("rejects")) == (4, 8, 4)
+
+
 def test_compacted_batches_hold_the_same_rows(feed):
     crash_mix(feed)
     feed.load(compact=True)
