@@ -12,6 +12,8 @@ JOB_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A load writes a file per table and task; larger splits mean larger files.
+    "spark.sql.files.maxPartitionBytes": "256m",
     # Keys of a long horizon do not fit an executor's heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -87,6 +87,54 @@ def test_dimensions_are_broadcast_only_below_the_threshold(spark):
     assert "BroadcastHashJoin" not in joins("100b")
 
 
+SKEW_SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.files.maxPartitionBytes": "20k",
+    "spark.sql.files.openCostInBytes": "1k",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+@pytest.mark.parametrize(
+    ("name", "hot"),
+    [
+        ("join_header_detail", "l_orderkey"),
+        ("orphan_details", "l_orderkey"),
+        ("sql_three_way", "l_orderkey"),
+        ("line_revenue", "l_partkey"),
+        ("sales_by_store", "l_partkey"),
+    ],
+)
+def test_a_hot_key_is_split_when_nothing_is_broadcast(spark, tmp_path, name, hot):
+    """Half of the details are on one order or one SKU; with the thresholds scaled down to the
+    test the adaptive plan divides that partition, and the result stays the same."""
+    for table in ("lineitem", "orders", "customer", "part", "nation"):
+        rows = inputs.table(spark, SMALL, table)
+        if table == "lineitem":
+            rows = rows.withColumn(hot, F.when(F.col("l_linenumber") % 2 == 0, 1499 if hot == "l_orderkey" else 7)
+                                   .otherwise(F.col(hot)).cast("bigint"))
+        # Several files, as a split needs several map tasks.
+        rows.repartition(8).write.parquet(str(tmp_path / f"{table}.parquet"))
+    expected = sorted(map(tuple, QUERIES[name](spark, str(tmp_path)).collect()))
+    before = {key: spark.conf.get(key, None) for key in SKEW_SETTINGS}
+    for key, value in SKEW_SETTINGS.items():
+        spark.conf.set(key, value)
+    try:
+        result = QUERIES[name](spark, str(tmp_path))
+        assert sorted(map(tuple, result.collect())) == expected
+        plan = plan_of(result)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert "BroadcastHashJoin" not in plan
+    assert "skew=true" in plan
+
+
 def test_top_k_keeps_k_rows_per_task(spark):
     assert "TakeOrderedAndProject" in plan_of(QUERIES["top_skus_by_units"](spark, SMALL))
 

@@ -141,6 +141,18 @@ def test_processed_files_are_archived(feed):
     assert feed.ids() == [f"TX{n:07d}" for n in range(3)]
 
 
+def test_stream_that_keeps_running(feed):
+    query = start_ingest(feed.spark, feed.incoming, feed.facts, feed.progress, lanes=2,
+                         trigger={"processingTime": "0 seconds"})
+    try:
+        for n in range(3):
+            feed.deliver(log_line(sale(n)), log_line(sale(0)))
+            query.processAllAvailable()
+            assert feed.ids() == [f"TX{m:07d}" for m in range(n + 1)]
+    finally:
+        query.stop()
+
+
 def test_batches_bounded_by_size(feed):
     crash_mix(feed)
     query = feed.load(max_bytes=200)
