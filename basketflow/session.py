@@ -30,17 +30,29 @@ def job_session(name: str, **settings: str) -> SparkSession:
 
 
 @contextmanager
-def temporary_setting(spark: SparkSession, key: str, value: str | int | None) -> Iterator[None]:
-    """Change a session setting for the length of a block; None changes nothing."""
-    if value is None:
-        yield
-        return
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, str(value))
+def temporary_settings(spark: SparkSession, settings: dict[str, str | int | None]) -> Iterator[None]:
+    """Change session settings for the length of a block; a value of None changes nothing."""
+    changed = {key: value for key, value in settings.items() if value is not None}
+    before = {key: spark.conf.get(key, None) for key in changed}
+    for key, value in changed.items():
+        spark.conf.set(key, str(value))
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def stream_settings(state_partitions: int | None) -> dict[str, str | int | None]:
+    """Settings a stream takes over from the session when it starts.
+
+    Old keys are dropped from the state along with the next rows. Spark would otherwise run a
+    batch without rows after every batch just for that, and a file that lands meanwhile waits.
+    """
+    return {
+        "spark.sql.shuffle.partitions": state_partitions,
+        "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+    }

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from basketflow import schemas
 from basketflow.functions import parse_local_time
-from basketflow.session import temporary_setting
+from basketflow.session import temporary_settings
 from basketflow.workspace import path_exists
 
 _NO_ITEM = "named_struct('sku', cast(null as string), 'quantity', cast(null as int))"
@@ -59,8 +59,8 @@ def write_batch(rows: DataFrame, path: str, origin: str, stream_id: str, batch_i
         .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     )
     # With a writer per table a task keeps its files open and need not sort its rows by table.
-    writers = len(schemas.FACT_SCHEMAS)
-    with temporary_setting(rows.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", writers):
+    writers = {"spark.sql.maxConcurrentOutputFileWriters": len(schemas.FACT_SCHEMAS)}
+    with temporary_settings(rows.sparkSession, writers):
         (
             placed.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")

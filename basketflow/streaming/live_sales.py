@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from basketflow.functions import from_cents, in_cents, wide_cents
 from basketflow.operators.decode import accepted, decode_lines
 from basketflow.operators.dedupe import drop_copies_in_stream
-from basketflow.session import temporary_setting
+from basketflow.session import stream_settings, temporary_settings
 from basketflow.sources import stream_log_lines
 
 REPORT_SCHEMA = "supermarket_id string, units bigint, sales decimal(38,2), batch_id bigint"
@@ -65,7 +65,7 @@ def start_live_sales(
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
     )
-    with temporary_setting(spark, "spark.sql.shuffle.partitions", state_partitions):
+    with temporary_settings(spark, stream_settings(state_partitions)):
         return writer.start()
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 _local_roots: dict[str, str] = {}
@@ -33,11 +32,6 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a folder or file is there; with the schema given this starts no job."""
-    try:
-        spark.read.schema("value string").text(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
+    """Whether a folder or file is there, on whatever file system the path names."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)

@@ -4,12 +4,15 @@ import collections
 import json
 import os
 import random
+import time
 
 import pytest
-from conftest import log_line, sale, write_lines
+from conftest import as_lines, log_line, sale, write_lines
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from basketflow.operators.decode import decode_lines
+from basketflow.operators.dedupe import drop_already_loaded
 from basketflow.sources import read_fact
 from basketflow.streaming import read_live_sales, start_ingest, start_live_sales
 
@@ -103,6 +106,24 @@ def test_redelivery_under_another_name_in_a_later_run(feed):
     assert feed.count("rejects") == 2
 
 
+def test_copy_after_the_horizon_is_left_to_the_batch_check(feed):
+    """State lives only as long as the horizon; a check against the stored keys finds later copies."""
+    copy = log_line(sale(1))
+    feed.deliver(copy)
+    feed.load(horizon="1 second")
+    for number in (2, 3, 4):
+        time.sleep(2)
+        feed.deliver(log_line(sale(number)))
+        feed.load(horizon="1 second")
+    stored = read_fact(feed.spark, feed.facts, "headers", stored=True)
+    arrived = decode_lines(as_lines(feed.spark, [copy, log_line(sale(5))]))
+    new = drop_already_loaded(arrived, stored).select("tx.transaction_id").collect()
+    assert [r.transaction_id for r in new] == ["TX0000005"]
+    feed.deliver(copy)
+    feed.load(horizon="1 second")
+    assert feed.ids().count("TX0000001") == 2
+
+
 def test_late_sale_is_kept(feed):
     feed.deliver(log_line(sale(2, date="2024-04-10 10:00:00")))
     feed.load()
