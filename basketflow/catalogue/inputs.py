@@ -18,7 +18,7 @@ from basketflow import schemas
 from basketflow.functions import format_local_time, sku_key, store_key, transaction_key
 from basketflow.operators.shred import to_log_line
 from basketflow.sinks import write_skus_csv, write_supermarkets_csv, write_transactions_csv
-from basketflow.workspace import new_folder
+from basketflow.workspace import new_folder, path_exists
 
 PRICE_PRECISION = 12
 
@@ -211,7 +211,7 @@ _staged: dict[tuple[str, str, str], str] = {}
 
 def _stage(spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], None]) -> str:
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), label)
-    if key not in _staged:
+    if key not in _staged or not path_exists(spark, _staged[key]):
         folder = new_folder(spark, label)
         write(folder)
         _staged[key] = folder

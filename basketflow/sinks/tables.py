@@ -93,7 +93,8 @@ def _replace_load(records: DataFrame, path: str, origin: str, load_id: str) -> d
     written = {name: counts.get.get(name) or 0 for name in schemas.FACT_SCHEMAS}
     for name, count in written.items():
         if count == 0:
-            _empty_partition(records.sparkSession, f"{path}/table={name}/origin={origin}/stream_id={load_id}/batch_id=0", name)
+            folder = f"{path}/table={name}/origin={origin}/stream_id={load_id}/batch_id=0"
+            _empty_partition(records.sparkSession, folder, name)
     return written
 
 

@@ -174,6 +174,14 @@ def test_stream_that_keeps_running(feed):
         query.stop()
 
 
+def test_state_partitions(feed):
+    feed.deliver(log_line(sale(1)))
+    feed.load(state_partitions=2)
+    operators = [os.path.join(feed.progress, "state", name) for name in ("0", "1")]
+    assert [sorted(n for n in os.listdir(o) if n.isdigit()) for o in operators] == [["0", "1"], ["0", "1"]]
+    assert feed.spark.conf.get("spark.sql.shuffle.partitions") == "4"
+
+
 def test_batches_bounded_by_size(feed):
     crash_mix(feed)
     query = feed.load(max_bytes=200)
