@@ -35,16 +35,39 @@ def _parse_once(parsed: Column) -> Column:
     return F.explode_outer(F.array(parsed))
 
 
+def _alone(text: Column) -> Column:
+    """The text as the first of two array elements.
+
+    Spark's JSON functions stop after the first value and ignore what follows, so a line holding
+    two records would lose the second. Here anything beside one value breaks the array or its
+    length.
+    """
+    return F.concat(F.lit("["), text, F.lit(",null]"))
+
+
+def _parse_alone(text: str, kind: str) -> Column:
+    return F.from_json(_alone(F.col(text)), f"array<{kind}>", {"allowSingleQuotes": "false"})
+
+
+def _only_element(parsed: str) -> Column:
+    return F.when(F.size(parsed) == 2, F.get(parsed, F.lit(0)))
+
+
+def _variant_alone(text: str) -> Column:
+    array = _alone(F.col(text))
+    value = F.try_variant_get(F.try_parse_json(array), "$[0]", "variant")
+    return F.when(F.json_array_length(array) == 2, value)
+
+
 def _is_object(variant: Column) -> Column:
-    return F.schema_of_variant(variant).like("OBJECT%")
+    return F.coalesce(F.schema_of_variant(variant).like("OBJECT%"), F.lit(False))
 
 
 def _reject_reason() -> Column:
     """Needs a full parse of its own, so it is evaluated for refused rows only."""
-    outer = F.try_parse_json("value")
-    inner = F.try_parse_json("log")
+    outer, inner = _variant_alone("value"), _variant_alone("log")
     return (
-        F.when(outer.isNull() | ~_is_object(outer), "bad_line")
+        F.when(~_is_object(outer), "bad_line")
         .when(F.col("log").isNull() | (F.col("log") == ""), "no_log")
         .when(inner.isNull(), "not_json")
         .when(~_is_object(inner), "not_object")
@@ -73,13 +96,15 @@ def _flags(items_text: Column) -> Column:
 def decode_lines(lines: DataFrame) -> DataFrame:
     """Log lines (``value``, ``source_file``, ``arrived_at``) to records.
 
-    Each line is a JSON object whose ``log`` value is itself JSON text. ``from_json`` gives a
+    Each line is a JSON object whose ``log`` value is itself JSON text. ``from_json`` can give a
     struct of nulls, not null, for text it cannot read, so the test is on the transaction id.
     """
-    log = F.from_json("value", schemas.ENVELOPE_TYPE)["log"]
-    parsed = lines.withColumn("log", log).select(
-        "*", _parse_once(F.from_json("log", schemas.TRANSACTION_TYPE)).alias("tx")
+    opened = lines.withColumn("envelopes", _parse_alone("value", schemas.ENVELOPE_TYPE)).withColumn(
+        "log", _only_element("envelopes")["log"]
     )
+    parsed = opened.select(
+        "*", _parse_once(_parse_alone("log", schemas.TRANSACTION_TYPE)).alias("transactions")
+    ).withColumn("tx", _only_element("transactions"))
     refused = F.col("tx.transaction_id").isNull()
     items_text = F.get_json_object("log", "$.items")
     return parsed.select(

@@ -7,6 +7,7 @@ import pytest
 from conftest import as_lines, log_line, sale
 from pyspark.sql import functions as F
 
+from basketflow import schemas
 from basketflow.operators import audit
 from basketflow.operators.decode import accepted, decode_csv_rows, decode_lines, rejected
 from basketflow.operators.shred import details, headers
@@ -31,7 +32,17 @@ REFUSED = [
     ('{"log": ""}', "no_log", False),
     ('{"log": null}', "no_log", False),
     ('{"other": 1}', "no_log", False),
+    (log_line(sale(1)) + " more", "bad_line", False),
+    (log_line(sale(1)) + "}", "bad_line", False),
+    (log_line(sale(1)) + "]", "bad_line", False),
+    (log_line(sale(1)) + log_line(sale(2)), "bad_line", False),
+    (log_line(sale(1)) + "," + log_line(sale(2)), "bad_line", False),
+    ("{'log': 'x'}", "bad_line", False),
     ("Till number four is starting", "not_json", True),
+    (json.dumps(sale(1)) + " more", "not_json", True),
+    (json.dumps(sale(1)) + json.dumps(sale(2)), "not_json", True),
+    (json.dumps(sale(1)) + "," + json.dumps(sale(2)), "not_json", True),
+    (json.dumps(sale(1)).replace('"', "'"), "not_json", True),
     ("All tills are closed now", "not_json", True),
     (json.dumps(sale(1))[:-1], "not_json", True),
     (json.dumps([sale(1)]), "not_object", True),
@@ -57,6 +68,11 @@ def test_refused_lines(refused):
     assert details(records).count() == 0
 
 
+def test_every_reason_and_flag_has_a_case():
+    assert {reason for _, reason, _ in REFUSED} == set(schemas.REJECT_REASONS)
+    assert {flag for *_, flags in KEPT.values() for flag in flags} == set(schemas.FLAGS)
+
+
 def test_refused_lines_have_no_key_or_flags(refused):
     rows = decode_lines(refused[2]).select("tx_key", "flags").collect()
     assert all(r.tx_key is None and r.flags is None for r in rows)
@@ -86,6 +102,8 @@ KEPT = {
     "only a null item": (tx(items=[None]), WHEN, [], ["null_item"]),
     "a bare object as items": (tx(items={"sku": "S", "quantity": 1}), WHEN, [], ["bad_items"]),
     "item without SKU": (tx(items=[{"quantity": 1}]), WHEN, [(None, 1)], []),
+    "blanks around": ("  " + json.dumps(sale(1)) + " ", WHEN, [ITEM], []),
+    "the last of two equal names": (json.dumps(sale(9))[:-1] + ', "transaction_id": "TX0000001"}', WHEN, [ITEM], []),
     "more fields than known": (tx(cashier="A"), WHEN, [ITEM], []),
 }
 
