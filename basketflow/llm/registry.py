@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from basketflow.llm import chat, sharding
+from basketflow.llm import chat, quality_rules, sharding
 
 QUERIES = {
     "op2_sharding": sharding.op2_sharding,
+    "op4_quality_rules": quality_rules.op4_quality_rules,
     "op8_chat": chat.op8_chat,
 }
 
 ORACLE = {
+    "op4_quality_rules": quality_rules.OP4_SQL,
     "op8_chat": chat.OP8_SQL,
 }
