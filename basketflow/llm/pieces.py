@@ -39,6 +39,7 @@ MARK = "▁"
 MEMO = 150_000
 #: Texts of so many bytes are encoded at a time.
 SLICE_BYTES = 4 << 20
+IDS = T.ArrayType(T.IntegerType())
 
 
 def vocabulary(path: str = VOCABULARY) -> dict:
@@ -205,7 +206,7 @@ def encode(docs: DataFrame, *, text: str = "text", path: str = VOCABULARY, into:
     numbered = [F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(docs.columns)]
     rows = docs.select(*numbered, text_of(text).alias("t"))
     names = [f"c{i}" for i in range(len(docs.columns))]
-    schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, docs.schema)]).add("ids", "array<int>")
+    schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, docs.schema)]).add("ids", IDS)
     out = rows.mapInArrow(_encoder(words, "t", names, False), schema)
     return out.select(*[F.col(n).alias(name) for n, name in zip(names, docs.columns)], F.col("ids").alias(into))
 
@@ -229,7 +230,7 @@ def round_trip(docs: DataFrame, *, text: str = "text", path: str = VOCABULARY) -
     """Per document its ids, their number, and whether they decode to the text again."""
     words = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType)])
-    schema.add("token_ids", "array<int>").add("n_tokens", "long").add("round_trip", "boolean")
+    schema.add("token_ids", IDS).add("n_tokens", T.LongType()).add("round_trip", T.BooleanType())
     rows = docs.select("doc_id", text_of(text).alias("t"))
     return rows.mapInArrow(_round_tripper(words), schema)
 
