@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from basketflow.llm import chat, classifier, pieces, quality_rules, sharding
+from basketflow.llm import chat, classifier, pieces, pii, quality_rules, sharding
 
 QUERIES = {
     "op2_sharding": sharding.op2_sharding,
+    "op3_pii": pii.op3_pii,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op6_sentencepiece": pieces.op6_sentencepiece,
     "op7_quality_classifier": classifier.op7_quality_classifier,
