@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from basketflow.llm import chat, classifier, pieces, pii, quality_rules, sharding
+from basketflow.llm import chat, classifier, decontamination, pieces, pii, quality_rules, sharding
 
 QUERIES = {
+    "op1_decontamination": decontamination.op1_decontamination,
     "op2_sharding": sharding.op2_sharding,
     "op3_pii": pii.op3_pii,
     "op4_quality_rules": quality_rules.op4_quality_rules,
@@ -14,6 +15,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_decontamination": decontamination.OP1_SQL,
     "op4_quality_rules": quality_rules.OP4_SQL,
     "op8_chat": chat.OP8_SQL,
 }
