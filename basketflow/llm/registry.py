@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from basketflow.llm import chat, classifier, decontamination, pieces, pii, quality_rules, sharding
+from basketflow.llm import chat, classifier, decontamination, jaccard, pieces, pii, quality_rules, sharding
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_sentencepiece": pieces.op6_sentencepiece,
     "op7_quality_classifier": classifier.op7_quality_classifier,
     "op8_chat": chat.op8_chat,
+    "op10_jaccard_join": jaccard.op10_jaccard_join,
 }
 
 ORACLE = {
