@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from basketflow.llm import chat, classifier, decontamination, jaccard, pieces, pii, quality_rules, sharding
+from basketflow.llm import chat, classifier, decontamination, jaccard, pieces, pii, quality_rules, sharding, suffix_dedup
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
     "op2_sharding": sharding.op2_sharding,
     "op3_pii": pii.op3_pii,
     "op4_quality_rules": quality_rules.op4_quality_rules,
+    "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
     "op6_sentencepiece": pieces.op6_sentencepiece,
     "op7_quality_classifier": classifier.op7_quality_classifier,
     "op8_chat": chat.op8_chat,
