@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from basketflow.llm import chat, classifier, decontamination, jaccard, pieces, pii, quality_rules, sharding, suffix_dedup
+from basketflow.llm import chat, classifier, decontamination, jaccard, language_model, pieces, pii, quality_rules, sharding, suffix_dedup
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_sentencepiece": pieces.op6_sentencepiece,
     "op7_quality_classifier": classifier.op7_quality_classifier,
     "op8_chat": chat.op8_chat,
+    "op9_lm_scoring": language_model.op9_lm_scoring,
     "op10_jaccard_join": jaccard.op10_jaccard_join,
 }
 
