@@ -32,11 +32,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketflow.llm.base import table, text_of
+from basketflow.llm.bytehash import parts
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Runs kept per generation of the memo of a worker; there are two.
-MEMO = 150_000
+MEMO = 400_000
 #: Texts of so many bytes are encoded at a time.
 SLICE_BYTES = 4 << 20
 IDS = T.ArrayType(T.IntegerType())
@@ -102,6 +103,10 @@ class Codec:
                 self.table[i] = b""
         for value, i in self.bytes.items():
             self.table[i] = bytes([value])
+        self.table = [piece.replace(MARK.encode(), b" ") for piece in self.table]
+        self.lengths = np.array([len(piece) for piece in self.table])
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.bytes_of = np.frombuffer(b"".join(self.table), np.uint8)
 
     def viterbi(self, run: str) -> bytes:
         """The ids of the best segmentation, as the bytes of 32-bit numbers."""
@@ -149,7 +154,7 @@ class Codec:
         return b"".join(map(self.memo.__getitem__, self.runs(marked)))
 
     def decode(self, ids: list[int]) -> str:
-        text = b"".join(map(self.table.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ")
+        text = b"".join(map(self.table.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -161,33 +166,68 @@ def codec_of(words) -> Codec:
     return held["codec"]
 
 
+def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places ``start, start + 1, ...`` of every run, one after the other."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
+
+
+def _encode_plain(codec: Codec, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and offsets of texts whose words are apart by one space: each distinct word is looked up once."""
+    lists = pc.split_pattern(texts, " ")
+    coded = lists.flatten().dictionary_encode()
+    word = coded.indices.to_numpy()
+    found = list(map(codec.by_word.__getitem__, coded.dictionary.to_pylist()))
+    sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    pool = np.frombuffer(b"".join(found), np.int32)
+    lengths = sizes[word]
+    ids = pool[_spread((np.cumsum(sizes) - sizes)[word], lengths)]
+    upto = np.concatenate([[0], np.cumsum(lengths)])
+    words = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+    return ids, upto[words]
+
+
 def encode_texts(codec: Codec, texts: pa.Array) -> pa.Array:
     """Lists of ids; offsets are 32-bit, so callers pass slices of a few MB."""
-    encoded = [codec.encode(text or "") for text in texts.to_pylist()]
-    offsets = np.zeros(len(encoded) + 1, np.int32)
-    np.cumsum([len(ids) // 4 for ids in encoded], out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(encoded), np.int32)))
+    texts = pc.fill_null(texts, "")
+    odd = pc.match_substring_regex(texts, f"^$|^ |  | $|{MARK}").to_numpy(zero_copy_only=False)
+    if not codec.apart:
+        odd[:] = True
+    ids, offsets = _encode_plain(codec, texts.filter(pa.array(~odd)))
+    if odd.any():
+        singly = {i: np.frombuffer(codec.encode(texts[i].as_py()), np.int32) for i in np.flatnonzero(odd).tolist()}
+        plain = iter(zip(offsets, offsets[1:]))
+        lists = [singly[i] if i in singly else ids[slice(*next(plain))] for i in range(len(texts))]
+        ids, offsets = np.concatenate(lists), np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
 
 
 def decode_ids(codec: Codec, ids: pa.Array) -> pa.Array:
-    return pa.array([codec.decode(row or []) for row in ids.to_pylist()], pa.string())
-
-
-def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about ``SLICE_BYTES`` of text each."""
-    sizes = pc.fill_null(pc.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES
-    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
-    for start, end in zip(cuts, cuts[1:]):
-        if end > start:
-            yield batch.slice(start, end - start)
+    """The texts of lists of ids; bytes that are no UTF-8 become replacement characters."""
+    counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = ids.flatten().to_numpy()
+    lengths = codec.lengths[flat]
+    data = codec.bytes_of[_spread(codec.starts[flat], lengths)]
+    upto = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
+    # The space in front of a text stands for no character of it.
+    front = upto[:-1][(counts > 0)]
+    front = front[data[front] == 0x20] if len(data) else front[:0]
+    keep = np.ones(len(data), bool)
+    keep[front] = False
+    offsets = upto - np.searchsorted(front, upto)
+    texts = pa.StringArray.from_buffers(len(ids), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data[keep]))
+    try:
+        texts.validate(full=True)
+    except pa.ArrowInvalid:
+        return pa.array([codec.decode(row or []) for row in ids.to_pylist()], pa.string())
+    return texts
 
 
 def _encoder(words, text: str, names: list[str], check: bool):
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(words)
         for batch in batches:
-            for part in slices(batch, text):
+            for part in parts(batch, text, SLICE_BYTES):
                 ids = encode_texts(codec, part[text])
                 columns = [part[name] for name in names] + [ids]
                 if check:

@@ -82,3 +82,17 @@ def test_tables(spark):
 def test_query(spark):
     rows = op6_sentencepiece(spark, "/root/testdata/sf0.001").collect()
     assert len(rows) == 200 and all(r.round_trip and r.n_tokens == len(r.token_ids) for r in rows)
+
+
+def test_batches_agree_with_single_texts(codec):
+    """The batch forms, with odd and plain texts mixed, against one text at a time."""
+    import pyarrow as pa
+
+    from basketflow.llm.pieces import decode_ids, encode_texts
+
+    lists = encode_texts(codec, pa.array([*TEXTS, None]))
+    assert lists.to_pylist() == [ids_of(codec, t) for t in [*TEXTS, ""]]
+    assert decode_ids(codec, lists).to_pylist() == [t.replace(MARK, " ") for t in [*TEXTS, ""]]
+    broken = pa.array([[3 + 0xE2], [], None, [3 + 0x41]], pa.list_(pa.int32()))
+    assert decode_ids(codec, broken).to_pylist() == ["�", "", "", "A"]
+    assert encode_texts(codec, pa.array([], pa.string())).to_pylist() == []
