@@ -1,0 +1,108 @@
+import hashlib
+import re
+
+import pytest
+from conftest import SMALL
+from llm_tables import nothing, odd, small  # noqa: F401
+from pyspark.sql import functions as F
+
+from basketflow.llm import pii
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def stands(kind, match):
+    digits = re.sub("[^0-9]", "", match)
+    if kind == "ip":
+        return all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in match.split("."))
+    if kind == "card":
+        doubled = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
+        return 16 <= len(digits) <= 19 and sum(v - 9 if v > 9 else v for v in doubled) % 10 == 0
+    return kind == "email" or 8 <= len(digits) <= 15
+
+
+def plain_spans(text):
+    return ",".join(
+        f"{kind}:{m.start()}:{m.end()}" for kind, p in PLAIN.items() for m in re.finditer(p, text or "") if stands(kind, m[0])
+    )
+
+
+TEXTS = [
+    "a@b.c_d@e.f", "a@b", "x..y@z.de.", "é😀 me@host.org 漢 1.2.3.4.5.6.7.8", "999.1.1.1 0255.1.1.1 1.2.3", "4111 1111 1111 1111 and 4111-1111-1111-1112",
+    "4111111111111111 5", "+1 (212) 555-0100.", "+12", "+1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6", "a@b.c@d.e@f.g", "%+-.@a.b", "1--2 3", "(+49) 30-1234567 (", "@@a@b.c",
+]
+
+
+def test_base_spans_are_those_of_the_plain_patterns(spark, odd):
+    docs = odd.select("text").unionAll(spark.createDataFrame([(t,) for t in TEXTS], "text string"))
+    rows = docs.select("text", pii._joined(pii.base_spans(F.coalesce("text", F.lit("")))).alias("s")).collect()
+    for r in rows:
+        assert r.s == plain_spans(r.text), r.text
+
+
+def test_query(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    for r in pii.op3_pii(spark, SMALL).collect():
+        base = plain_spans(docs[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+        assert set(filter(None, base.split(","))) <= set(r.spans.split(","))
+        assert r.n_email == base.count("email:") and r.n_phone == base.count("phone:")
+
+
+def test_trees_learn_and_agree_with_their_expression(spark):
+    at = {name: i for i, name in enumerate(pii.FEATURES)}
+
+    def cell(digits, luhn, kind=2):
+        x = [0] * len(pii.FEATURES)
+        x[at["digits"]], x[at["luhn"]], x[at["kind"]] = digits, luhn, kind
+        return tuple(x)
+
+    cells = [(cell(d, l), 50 * (d >= 16 and l == 1), 50 * (not (d >= 16 and l == 1))) for d in range(10, 20) for l in (0, 1)]
+    model = pii.boost(cells)
+    for x, pos, _ in cells:
+        assert (model.margin(x) > 0) == (pos > 0)
+    rows = spark.createDataFrame([x for x, _, _ in cells], list(pii.FEATURES)).select(F.struct("*").alias("p"))
+    for r in rows.select("p", model.score(F.col("p")).alias("s")).collect():
+        assert r.s == pytest.approx(model.margin(tuple(r.p)))
+
+
+def test_proposals_above_the_threshold_are_added(spark):
+    """A model that trusts digits alone adds a number that no base pattern takes."""
+    model = pii.Trees()
+    model.bias, model.thresholds = 1.0, {3: 0.5}
+    docs = spark.createDataFrame([(1, "call (212) 555-0100 or +1 (212) 555-0101")], "doc_id long, text string")
+    rows, found = pii.with_spans(docs, model)
+    r = rows.select(pii._joined(F.col(f"{found}.all")).alias("s"), pii.redact(F.col("text"), F.col(f"{found}.all")).alias("r")).first()
+    assert r.s == "phone:5:19,phone:23:40" and r.r == "call [PHONE] or [PHONE]"
+
+
+def test_calibration_leaves_decoys_alone(spark):
+    good = [(i, f"the card 4111 1111 1111 1111 is mine number {i}") for i in range(200)]
+    decoys = [(1000 + i, f"the card 4111 1111 1111 1112 is mine number {i}") for i in range(200)]
+    rows, found = pii.with_spans(*(lambda d: (d, pii.fit(d)))(spark.createDataFrame(good + decoys, "doc_id long, text string")))
+    for r in rows.select("doc_id", F.size(f"{found}.all").alias("n")).collect():
+        assert r.n == (1 if r.doc_id < 1000 else 0)
+
+
+def test_odd_tables(spark, odd, nothing):
+    out = pii.redacted(odd)
+    assert out.columns == odd.columns and out.count() == odd.count()
+    text = {r.doc_id: r.text for r in out.collect()}
+    assert text[10] == "mail [EMAIL] or [PHONE] now, [CARD]" and text[4] is None and text[5] == ""
+    assert pii.redacted(nothing).count() == 0
+    assert not pii.fit(nothing).trees
+
+
+def test_overlapping_kinds_are_redacted_once(spark):
+    docs = spark.createDataFrame([("x +4111111111111111 y",)], "text string")
+    spans = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(s).alias("start"), F.lit(e).alias("end")) for k, s, e in ((2, 3, 19), (3, 2, 12))])
+    assert docs.select(pii.redact(F.col("text"), spans)).first()[0] == "x [PHONE] y"
+
+
+def test_no_python_in_the_plan(spark):
+    assert "Python" not in pii.op3_pii(spark, SMALL)._jdf.queryExecution().toString()
