@@ -22,6 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketflow.llm.base import fresh, stored, table, text_of
 
@@ -63,7 +64,7 @@ def statistics(text: str) -> np.ndarray:
     ])
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def statistics_of(texts: pd.Series) -> pd.Series:
     return texts.map(statistics)
 
@@ -131,7 +132,7 @@ def fit(
 def score_with(model: Discriminant):
     """A column function from statistics to scores."""
 
-    @F.pandas_udf("double")
+    @F.pandas_udf(T.DoubleType())
     def scores(x: pd.Series) -> pd.Series:
         return pd.Series(model.scores(np.array(x.tolist(), dtype=np.float64).reshape(len(x), -1)))
 
