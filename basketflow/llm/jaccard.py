@@ -38,7 +38,7 @@ THRESHOLD = (4, 5)
 RECALL = 0.99999
 MOST_HASHES = 128
 SEED = 1_117
-BLOCK = 64
+BLOCK = 128
 SLICE_BYTES = 2 << 20
 #: Candidate nodes beyond which their texts are fetched by a shuffle.
 BROADCAST = 250_000
@@ -175,6 +175,7 @@ def _verify(group: pa.Table) -> pa.Table:
         "to": [names[root(i)] for i in range(len(sets))],
         "text_links": linked.sum(axis=1).astype(np.int64),
         "doc_links": (linked * copies[None, :]).sum(axis=1).astype(np.int64),
+        "single": group["blocks"].to_numpy() == 1,
     })
 
 
@@ -197,11 +198,11 @@ def verified(docs: DataFrame, texts: DataFrame) -> DataFrame:
         .dropDuplicates(["node"])
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("node", "root", "copies", "t", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+        .select("node", "root", "copies", "blocks", "t", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     )
     schema = T.StructType([
         T.StructField("node", T.StringType()), T.StructField("to", T.StringType()),
-        T.StructField("text_links", T.LongType()), T.StructField("doc_links", T.LongType()),
+        T.StructField("text_links", T.LongType()), T.StructField("doc_links", T.LongType()), T.StructField("single", T.BooleanType()),
     ])
     return fetched.groupBy("root", "low", "high").applyInArrow(_verify, schema)
 
@@ -212,7 +213,9 @@ def classes(docs: DataFrame) -> DataFrame:
     texts = stored(nodes(docs, bands, rows), "texts")
     found = stored(verified(docs, texts), "links")
     links = found.groupBy("node").agg(F.sum("text_links").alias("text_links"), F.sum("doc_links").alias("doc_links"))
-    roots = components(found.select(F.col("node").alias("a"), F.col("to").alias("b")))
+    # A group of one block is settled by its task; the forests of several blocks are joined.
+    single = found.filter("single").select("node", F.col("to").alias("root"))
+    roots = components(found.filter("not single").select(F.col("node").alias("a"), F.col("to").alias("b"))).unionAll(single)
     known = (
         texts.select("node", "first_id", "copies")
         .join(links, "node", "left")
