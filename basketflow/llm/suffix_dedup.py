@@ -39,9 +39,9 @@ DEPTH = 200
 GRAM = 32
 #: Windows of a block after each further pass.
 DIGITS = (24, 4, 1)
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 1 << 20
 #: Longer texts are read in overlapping pieces of so many window starts.
-PIECE = 8 << 20
+PIECE = 1 << 20
 #: Rows of passages by document beyond which they meet their documents by a shuffle.
 BROADCAST = 250_000
 BROADCAST_PASSAGES = 2_000_000
@@ -117,7 +117,7 @@ def _first_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         for part in parts(batch, "t", SLICE_BYTES):
             data, offsets = flat(part["t"])
-            if len(data) <= PIECE:
+            if len(data) <= 2 * PIECE:
                 pieces = [(0, data, offsets, 0)]
             else:
                 pieces = [
