@@ -21,6 +21,8 @@ from basketflow.sinks import write_skus_csv, write_supermarkets_csv, write_trans
 from basketflow.workspace import new_folder, path_exists
 
 PRICE_PRECISION = 12
+# Items of a record, about: an order comes as the records that its lineitems fill at this size, at least one.
+RECORD_ITEMS = 20
 
 
 _table_schemas: dict[str, StructType] = {}
@@ -85,12 +87,9 @@ def details(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item lists by order and ``part``.
-
-    No list is collected for a whole order whatever its size: an order larger than the largest
-    basket of the domain is dealt out over parts of about that size.
-    """
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item lists by order and ``part``: exactly ceil(items / RECORD_ITEMS) parts of an order, so that no
+    list is collected for a whole order whatever its size. A part may be empty."""
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"),
         F.struct(
@@ -98,26 +97,25 @@ def _baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("item"),
         F.monotonically_increasing_id().alias("place"),
     )
-    large = (
+    sizes = (
         table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-        .agg(F.ceil(F.count("*") / schemas.MAX_BASKET).alias("parts"))
-        .where("parts > 1")
+        .agg(F.ceil(F.count("*") / RECORD_ITEMS).cast("int").alias("parts"))
     )
-    part = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("place"), "parts"))
-    return (
-        lines.join(large, "o_orderkey", "left")
-        .groupBy("o_orderkey", part.alias("part"))
+    lists = (
+        lines.join(sizes, "o_orderkey")
+        .groupBy("o_orderkey", F.pmod(F.xxhash64("place"), "parts").cast("int").alias("part"))
         .agg(F.collect_list("item").alias("items"))
     )
+    parts = sizes.select("o_orderkey", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    return parts.join(lists, ["o_orderkey", "part"], "left")
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested transactions as a till sends them, dates as text; an order without lineitems has an
-    empty list. A very large order comes as several transactions with the same header, told apart
-    by ``part``."""
-    baskets = _baskets(spark, sf_dir)
-    return _numbered_headers(spark, sf_dir).join(baskets, "o_orderkey", "left").select(
+    empty list. A large order comes as several transactions with the same header, told apart by
+    ``part``."""
+    return _numbered_headers(spark, sf_dir).join(_records(spark, sf_dir), "o_orderkey", "left").select(
         "transaction_id",
         "supermarket_id",
         format_local_time(F.col("transaction_date")).alias("transaction_date"),
@@ -206,6 +204,56 @@ def flawed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(value.alias("value"))
 
 
+ITEMS_CSV = '[{""sku"": ""SKU00001"", ""quantity"": 1}]'
+# Rows of a CSV export by order key, the id left out: how each is broken, and what becomes of it is in the
+# oracle of `csv_broken_rows`. The last one has a line break inside its item list.
+CSV_ROWS = [
+    f',STORE0001,2024-04-10 19:22:28,"{ITEMS_CSV}"',
+    f',STORE0001,2024-04-10 19:22:28,"{ITEMS_CSV} {ITEMS_CSV}"',
+    f',STORE0001,2024-04-10 19:22:28,"{ITEMS_CSV}",more',
+    ",STORE0001",
+    f',STORE0001,2024-04-10,"{ITEMS_CSV}"',
+    ',STORE0001,2024-04-10 19:22:28,"[{""sku"": ""SKU00001"",\n""quantity"": 1}]"',
+]
+CSV_HEADER = "transaction_id,supermarket_id,transaction_date,items"
+
+
+def broken_csv_folder(spark: SparkSession, sf_dir: str) -> str:
+    """CSV files with a header each and one row for every order."""
+    files = 4
+    value = F.lit(None).cast("string")
+    for kind, rest in enumerate(CSV_ROWS):
+        row = F.concat(transaction_key(F.col("o_orderkey") + 1), F.lit(rest))
+        value = F.when(F.col("o_orderkey") % len(CSV_ROWS) == kind, row).otherwise(value)
+    rows = table(spark, sf_dir, "orders").select(
+        (F.col("o_orderkey") % files).cast("int").alias("file"), F.lit(1).alias("place"), value.alias("value")
+    )
+    heads = spark.range(files).select(F.col("id").cast("int").alias("file"), F.lit(0).alias("place"), F.lit(CSV_HEADER).alias("value"))
+    lines = rows.unionAll(heads).repartitionById(files, "file").sortWithinPartitions("place").select("value")
+    return _stage(spark, sf_dir, "broken-csv", lines.write.text)
+
+
+def reused_id_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Log files in which ids are handed out again: half as many ids as orders."""
+    half = table(spark, sf_dir, "orders").count() // 2
+    sent = transactions(spark, sf_dir)
+    number = F.substring("transaction_id", 3, 20).cast("bigint") - 1
+    again = sent.withColumn("transaction_id", transaction_key(number % half + 1))
+    lines = again.select(to_log_line(F.struct(*again.columns)).alias("value"))
+    return _stage(spark, sf_dir, "reused-ids", lines.write.text)
+
+
+def deliver(spark: SparkSession, lines: DataFrame, folder: str, days_old: int = 0) -> None:
+    """Add files of these lines to a folder, dated some days back."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    before = {f.getPath().toString() for f in files.listStatus(path)} if files.exists(path) else set()
+    lines.write.mode("append").text(folder)
+    for found in files.listStatus(path):
+        if days_old and found.getPath().toString() not in before:
+            files.setTimes(found.getPath(), found.getModificationTime() - days_old * 86_400_000, -1)
+
+
 _staged: dict[tuple[str, str, str], str] = {}
 
 

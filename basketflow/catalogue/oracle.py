@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from basketflow.catalogue.inputs import BROKEN_KINDS, FLAWS
-from basketflow.catalogue.queries import HEADERS_UNTIL, ORIGIN_SPLIT, REPORT_SINCE, REPORT_UNTIL, TOP_K
+from basketflow.catalogue.inputs import BROKEN_KINDS, CSV_ROWS, FLAWS, RECORD_ITEMS
+from basketflow.catalogue.queries import HEADERS_UNTIL, ORIGIN_SPLIT, PREVIEW, REPORT_SINCE, REPORT_UNTIL, TOP_K
 
 SUPERMARKETS = """
     select format('STORE{:04d}', n_nationkey + 1) as supermarket_id, n_name as supermarket_name from nation
@@ -69,13 +69,42 @@ _FLAW_FLAGS = [
 assert len(_FLAW_FLAGS) == len(FLAWS)
 _FLAGS_OF_ORDER = " ".join(f"when {kind} then {flags}::varchar[]" for kind, flags in enumerate(_FLAW_FLAGS))
 
-_HEADERS = _with_tables("select * from headers")
+# A header for each record that an order comes as.
+_SENT = f"""
+    select * exclude (part) from (
+        select h.*, unnest(range(cast(greatest(1, ceil(coalesce(c.n, 0) / {RECORD_ITEMS}.0)) as bigint))) as part
+        from headers h left join (select transaction_id, count(*) as n from details group by transaction_id) c
+        on c.transaction_id = h.transaction_id
+    )
+"""
+_HEADERS = _with_tables(_SENT)
 _DETAILS = _with_tables("select * from details")
 
+# Outcomes of each CSV row, in the order of the rows.
+_CSV_OUTCOMES = [["kept"], ["bad_items"], ["bad_row"], ["bad_row"], ["bad_date"], ["bad_items", "bad_row"]]
+assert len(_CSV_OUTCOMES) == len(CSV_ROWS)
+_OUTCOMES_OF_ORDER = " ".join(f"when {kind} then {outcomes}::varchar[]" for kind, outcomes in enumerate(_CSV_OUTCOMES))
+
+
+def _contents(rejects: str) -> str:
+    """Headers and details as text, and the number of refused lines."""
+    return _with_tables(
+        f"""
+        select 'headers' as stored_in, transaction_id,
+               supermarket_id || ' ' || strftime(transaction_date, '%Y-%m-%d %H:%M:%S') as content from ({_SENT})
+        union all select 'details', transaction_id, sku || ' ' || quantity from details
+        union all select 'rejects', 'none', cast({rejects} as varchar)
+        """
+    )
+
+
+# Every text of a conversation is sent bare and in an envelope.
+_JUNK = "(select 2 * count(*) from conversations)"
+
 ORACLE: dict[str, str] = {
     "shred_headers": _HEADERS,
     "shred_details": _DETAILS,
-    "filter_valid_tx": "select format('TX{:07d}', o_orderkey + 1) as transaction_id from orders",
+    "filter_valid_tx": _with_tables(f"select transaction_id from ({_SENT})"),
     "quarantine_reasons": f"""
         select reason, count(*) as lines from (
             select case o_orderkey % {BROKEN_KINDS} {_REASON_OF_ORDER} end as reason from orders
@@ -99,7 +128,7 @@ ORACLE: dict[str, str] = {
     "dim_stores": _with_tables("select * from supermarkets"),
     "scan_headers": _with_tables(
         "select count(*) as headers, min(transaction_date) as first_sale, max(transaction_date) as last_sale "
-        "from headers"
+        f"from ({_SENT})"
     ),
     "scan_details": _with_tables(
         "select count(*) as details, cast(sum(quantity) as bigint) as units, "
@@ -109,9 +138,34 @@ ORACLE: dict[str, str] = {
     "write_append_readback": _HEADERS,
     "stream_shred_headers": _HEADERS,
     "stream_shred_details": _DETAILS,
-    "stream_dedupe": _DETAILS,
-    "dedupe_transactions": _DETAILS,
-    "late_copies_dropped": _DETAILS,
+    # Refused lines are never dropped as copies.
+    "stream_dedupe": _contents(f"3 * {_JUNK}"),
+    "dedupe_transactions": _contents(f"2 * {_JUNK}"),
+    "late_copies_dropped": _contents(f"3 * {_JUNK}"),
+    "stream_late_files": _contents(_JUNK),
+    "stream_archive": _contents(_JUNK),
+    "csv_broken_rows": f"""
+        select outcome, count(*) as lines from (
+            select unnest(case o_orderkey % {len(CSV_ROWS)} {_OUTCOMES_OF_ORDER} end) as outcome from orders
+        ) group by outcome
+    """,
+    "sales_after_redelivery": _sales(),
+    "stream_top_skus": _with_tables(
+        f"""
+        select d.sku, k.article_name, cast(sum(d.quantity) as bigint) as units
+        from details d join skus k on k.sku = d.sku
+        group by d.sku, k.article_name order by units desc, d.sku limit {TOP_K}
+        """
+    ),
+    "preview": _with_tables(f"select * from headers order by transaction_date, transaction_id limit {PREVIEW}"),
+    "sql_reused_ids": """
+        select format('TX{:07d}', o_orderkey % (select count(*) // 2 from orders) + 1) as transaction_id,
+               format('STORE{:04d}', c_nationkey + 1) as supermarket_id,
+               cast(o_orderdate + to_seconds((o_orderkey * 7919) % 86400) as timestamp) as transaction_date,
+               cast(sum(cast(l_quantity as integer)) as bigint) as units
+        from orders join customer on c_custkey = o_custkey join lineitem on l_orderkey = o_orderkey
+        group by all
+    """,
     "stream_sales_by_store": _with_tables(
         """
         select h.supermarket_id, cast(sum(d.quantity) as bigint) as units,
@@ -226,9 +280,8 @@ ORACLE: dict[str, str] = {
     """,
     "union_origins": _with_tables(
         f"""
-        select *, 'historical' as origin from headers where transaction_date < timestamp '{ORIGIN_SPLIT}'
-        union all
-        select *, 'realtime' as origin from headers where transaction_date >= timestamp '{ORIGIN_SPLIT}'
+        select *, case when transaction_date < timestamp '{ORIGIN_SPLIT}' then 'historical' else 'realtime' end as origin
+        from ({_SENT})
         """
     ),
     "sql_three_way": _with_tables(

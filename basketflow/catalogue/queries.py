@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from basketflow.catalogue import inputs
 from basketflow.functions import format_local_time, sku_key, store_key, transaction_key, zone_time
 from basketflow.operators import audit
-from basketflow.operators.decode import accepted, decode_csv_rows, decode_lines
+from basketflow.operators.decode import accepted, decode_csv_rows, decode_lines, rejected
 from basketflow.operators.dedupe import drop_already_loaded, drop_copies
 from basketflow.operators.numbering import assign_transaction_ids
 from basketflow.operators.shred import details as shred_details
@@ -19,8 +19,8 @@ from basketflow.operators.shred import to_log_line
 from basketflow.plans import reports, views
 from basketflow.sinks import append_load, overwrite_historical
 from basketflow.sources import read_fact, read_log_lines, read_skus, read_supermarkets, read_transactions_csv
-from basketflow.streaming import read_live_sales, start_ingest, start_live_sales
-from basketflow.workspace import new_folder
+from basketflow.streaming import read_live_sales, read_live_top_skus, start_ingest, start_live_sales
+from basketflow.workspace import new_folder, path_exists
 
 # Where the two origins meet, the report's year, and the last day with a header in
 # the orphan check.
@@ -28,6 +28,7 @@ ORIGIN_SPLIT = "2000-01-01"
 REPORT_SINCE, REPORT_UNTIL = "1997-01-01", "1998-01-01"
 HEADERS_UNTIL = "2000-01-01"
 TOP_K = 10
+PREVIEW = 20
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,16 +41,32 @@ def _csv_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_csv_rows(read_transactions_csv(spark, inputs.csv_file(spark, sf_dir)))
 
 
-def _one_header(headers: DataFrame) -> DataFrame:
-    """An order delivered in parts has one header per part."""
-    return headers.distinct()
+def _contents(headers: DataFrame, details: DataFrame, rejects: DataFrame | None = None) -> DataFrame:
+    """Whole tables as rows of text, so that one query shows them all, each row as often as it is stored."""
+    of_headers = headers.select(
+        F.lit("headers").alias("stored_in"), "transaction_id",
+        F.concat_ws(" ", "supermarket_id", format_local_time(F.col("transaction_date"))).alias("content"),
+    )
+    of_details = details.select(
+        F.lit("details").alias("stored_in"), "transaction_id",
+        F.concat_ws(" ", "sku", F.col("quantity").cast("string")).alias("content"),
+    )
+    rows = of_headers.unionAll(of_details)
+    if rejects is None:
+        return rows
+    count = rejects.agg(F.count("*").cast("string").alias("content"))
+    return rows.unionAll(count.select(F.lit("rejects"), F.lit("none"), "content"))
+
+
+def _stored_contents(spark: SparkSession, folder: str) -> DataFrame:
+    return _contents(*[read_fact(spark, folder, name) for name in ("headers", "details", "rejects")])
 
 
 # --- raw records ---------------------------------------------------------------------------
 
 
 def headers_from_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _one_header(shred_headers(_log_records(spark, sf_dir)))
+    return shred_headers(_log_records(spark, sf_dir))
 
 
 def details_from_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +75,7 @@ def details_from_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def filter_valid_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = accepted(_log_records(spark, sf_dir))
-    return kept.select(F.col("tx.transaction_id").alias("transaction_id")).distinct()
+    return kept.select(F.col("tx.transaction_id").alias("transaction_id"))
 
 
 def quarantine_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +117,14 @@ def csv_items_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _one_header(shred_headers(_csv_records(spark, sf_dir)))
+    return shred_headers(_csv_records(spark, sf_dir))
+
+
+def csv_broken_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What becomes of CSV rows broken in the ways an export can be, kept ones without a flag as well."""
+    records = decode_csv_rows(read_transactions_csv(spark, inputs.broken_csv_folder(spark, sf_dir)))
+    outcome = F.coalesce("reason", F.when(F.size("flags") == 0, F.lit("kept")).otherwise(F.array_join("flags", " ")))
+    return records.groupBy(outcome.alias("outcome")).agg(F.count("*").alias("lines"))
 
 
 # --- dimensions and facts ------------------------------------------------------------------
@@ -121,8 +145,15 @@ def _historical_facts(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
+def _log_facts(spark: SparkSession, sf_dir: str) -> str:
+    """In the log files the records of one order differ in their part, so none is a copy of another."""
+    folder = new_folder(spark, "facts")
+    append_load(_log_records(spark, sf_dir), folder, "logs")
+    return folder
+
+
 def scan_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    headers = _one_header(read_fact(spark, _historical_facts(spark, sf_dir), "headers"))
+    headers = read_fact(spark, _historical_facts(spark, sf_dir), "headers")
     return headers.agg(
         F.count("*").alias("headers"),
         F.min("transaction_date").alias("first_sale"),
@@ -154,7 +185,7 @@ def write_append_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     earlier = F.col("tx.transaction_date") < ORIGIN_SPLIT
     append_load(records.where(earlier), folder, "earlier", origin="historical")
     append_load(records.where(~earlier), folder, "later")
-    return _one_header(read_fact(spark, folder, "headers"))
+    return read_fact(spark, folder, "headers")
 
 
 # --- joins, reports ------------------------------------------------------------------------
@@ -181,14 +212,8 @@ def sales_by_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales_by_store_dated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.sales_by_store(
-        inputs.headers(spark, sf_dir, since=REPORT_SINCE, until=REPORT_UNTIL),
-        inputs.details(spark, sf_dir),
-        inputs.skus(spark, sf_dir),
-        inputs.supermarkets(spark, sf_dir),
-        since=REPORT_SINCE,
-        until=REPORT_UNTIL,
-    )
+    """Over stored facts: the range cuts both scans."""
+    return _stored_sales(spark, sf_dir, _log_facts(spark, sf_dir), since=REPORT_SINCE, until=REPORT_UNTIL)
 
 
 def top_skus_by_units(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,12 +228,25 @@ def end_to_end_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw log lines, without copies, to stored facts to the sales report, joined on the record key."""
     folder = new_folder(spark, "facts")
     append_load(drop_copies(_log_records(spark, sf_dir)), folder, "logs")
+    return _stored_sales(spark, sf_dir, folder)
+
+
+def sales_after_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every log line stored twice, in two loads, counts once."""
+    folder = new_folder(spark, "facts")
+    for load_id in ("first", "again"):
+        append_load(_log_records(spark, sf_dir), folder, load_id)
+    return _stored_sales(spark, sf_dir, folder)
+
+
+def _stored_sales(spark: SparkSession, sf_dir: str, folder: str, **dates: str) -> DataFrame:
     return reports.sales_by_store(
         read_fact(spark, folder, "headers", stored=True),
         read_fact(spark, folder, "details", stored=True),
         inputs.skus(spark, sf_dir),
         inputs.supermarkets(spark, sf_dir),
         on="tx_key",
+        **dates,
     )
 
 
@@ -246,7 +284,8 @@ def out_of_hours_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dedupe_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read_log_lines(spark, inputs.redelivered_log_folder(spark, sf_dir))
-    return shred_details(drop_copies(decode_lines(lines)))
+    records = drop_copies(decode_lines(lines))
+    return _contents(shred_headers(records), shred_details(records), rejected(records))
 
 
 def late_copies_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,7 +295,7 @@ def late_copies_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = decode_lines(read_log_lines(spark, inputs.redelivered_log_folder(spark, sf_dir)))
     stored = read_fact(spark, folder, "headers", stored=True)
     append_load(drop_already_loaded(again, stored), folder, "second")
-    return read_fact(spark, folder, "details")
+    return _stored_contents(spark, folder)
 
 
 # --- keys, times, numbers ------------------------------------------------------------------
@@ -289,18 +328,37 @@ def assign_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def union_origins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    past = inputs.headers(spark, sf_dir, until=ORIGIN_SPLIT).withColumn("origin", F.lit("historical"))
-    live = inputs.headers(spark, sf_dir, since=ORIGIN_SPLIT).withColumn("origin", F.lit("realtime"))
-    return past.unionByName(live)
+    """A historical load and a live one in one table; each row tells where it came from."""
+    folder = new_folder(spark, "facts")
+    earlier = F.col("tx.transaction_date") < ORIGIN_SPLIT
+    overwrite_historical(_csv_records(spark, sf_dir).where(earlier), folder)
+    append_load(_log_records(spark, sf_dir).where(~earlier), folder, "live")
+    rows = read_fact(spark, folder, "headers", stored=True)
+    return rows.select("transaction_id", "supermarket_id", "transaction_date", "origin")
+
+
+def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first sales of all, in order."""
+    return inputs.headers(spark, sf_dir).orderBy("transaction_date", "transaction_id").limit(PREVIEW)
 
 
-def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "supermarkets": inputs.supermarkets(spark, sf_dir),
-        "skus": inputs.skus(spark, sf_dir),
-        "headers": inputs.headers(spark, sf_dir),
-        "details": inputs.details(spark, sf_dir),
-    }
+def _tables(spark: SparkSession, sf_dir: str, folder: str | None = None) -> dict[str, DataFrame]:
+    folder = folder or _log_facts(spark, sf_dir)
+    return views.load_tables(spark, folder, inputs.skus(spark, sf_dir), inputs.supermarkets(spark, sf_dir))
+
+
+def sql_reused_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units of each sale though every id is handed out to two orders."""
+    folder = new_folder(spark, "facts")
+    append_load(decode_lines(read_log_lines(spark, inputs.reused_id_folder(spark, sf_dir))), folder, "reused")
+    views.register(_tables(spark, sf_dir, folder), prefix="basketflow_reused_")
+    return spark.sql(
+        """
+        select h.transaction_id, h.supermarket_id, h.transaction_date, sum(d.quantity) as units
+        from basketflow_reused_headers h join basketflow_reused_details d on d.tx_key = h.tx_key
+        group by h.transaction_id, h.supermarket_id, h.transaction_date
+        """
+    )
 
 
 def sql_three_way(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,7 +369,7 @@ def sql_three_way(spark: SparkSession, sf_dir: str) -> DataFrame:
                sum(d.quantity) as units,
                cast(sum(d.quantity * k.price) as double) as sales
         from basketflow_details d
-        join basketflow_headers h on h.transaction_id = d.transaction_id
+        join basketflow_headers h on h.tx_key = d.tx_key
         join basketflow_skus k on k.sku = d.sku
         join basketflow_supermarkets s on s.supermarket_id = h.supermarket_id
         group by s.supermarket_name, k.article_name
@@ -326,7 +384,7 @@ def readme_views(spark: SparkSession, sf_dir: str) -> DataFrame:
         select t.transaction_id, t.store_id, s.store_name, t.transaction_datetime,
                i.sku_id, k.product_name, cast(k.price as double) as price, i.quantity
         from basketflow_public_transactions t
-        join basketflow_public_transaction_items i on i.transaction_id = t.transaction_id
+        join basketflow_public_transaction_items i on i.tx_key = t.tx_key
         join basketflow_public_skus k on k.sku_id = i.sku_id
         join basketflow_public_supermarkets s on s.store_id = t.store_id
         """
@@ -354,7 +412,7 @@ def _ingested_logs(spark: SparkSession, sf_dir: str) -> str:
 
 
 def stream_shred_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _one_header(read_fact(spark, _ingested_logs(spark, sf_dir), "headers"))
+    return read_fact(spark, _ingested_logs(spark, sf_dir), "headers")
 
 
 def stream_shred_details(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -368,21 +426,55 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     for delivery in (inputs.redelivered_log_folder, inputs.log_folder):
         spark.read.text(delivery(spark, sf_dir)).write.mode("append").text(incoming)
         _ingest(spark, incoming, facts, progress)
-    return read_fact(spark, facts, "details")
+    return _stored_contents(spark, facts)
+
+
+def stream_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the lines land; the other half lands later, in files dated a month before."""
+    incoming, facts, progress = (new_folder(spark, name) for name in ("incoming", "facts", "progress"))
+    lines = spark.read.text(inputs.log_folder(spark, sf_dir))
+    for half, days_old in ((0, 0), (1, 30)):
+        inputs.deliver(spark, lines.where(F.pmod(F.xxhash64("value"), F.lit(2)) == half), incoming, days_old)
+        _ingest(spark, incoming, facts, progress, horizon=None)
+    return _stored_contents(spark, facts)
+
+
+def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines by where they are after three deliveries with an archive; together they are those delivered."""
+    incoming, facts, progress, archive = (new_folder(spark, name) for name in ("incoming", "facts", "progress", "archive"))
+    lines = spark.read.text(inputs.log_folder(spark, sf_dir))
+    for third in range(3):
+        inputs.deliver(spark, lines.where(F.pmod(F.xxhash64("value"), F.lit(3)) == third), incoming)
+        _ingest(spark, incoming, facts, progress, horizon=None, archive_dir=archive)
+    moved = spark.read.option("recursiveFileLookup", True).text(archive) if path_exists(spark, archive) else spark.createDataFrame([], "value string")
+    left = spark.read.text(incoming)
+    records = decode_lines(moved.unionAll(left).select("value", F.lit("").alias("source_file"), F.current_timestamp().alias("arrived_at")))
+    return _contents(shred_headers(records), shred_details(records), rejected(records))
 
 
 def stream_sales_by_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a stream that was started again with a new checkpoint."""
     report = new_folder(spark, "live-sales")
-    query = start_live_sales(
+    for _ in range(2):
+        _live_sales(spark, sf_dir, report)
+    live = read_live_sales(spark, report, inputs.skus(spark, sf_dir))
+    return live.withColumn("sales", F.col("sales").cast("double"))
+
+
+def _live_sales(spark: SparkSession, sf_dir: str, report: str) -> None:
+    start_live_sales(
         spark,
         inputs.log_folder(spark, sf_dir),
-        inputs.skus(spark, sf_dir),
         report,
         new_folder(spark, "progress"),
         state_partitions=_state_partitions(spark),
-    )
-    query.awaitTermination()
-    return read_live_sales(spark, report).withColumn("sales", F.col("sales").cast("double"))
+    ).awaitTermination()
+
+
+def stream_top_skus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = new_folder(spark, "live-sales")
+    _live_sales(spark, sf_dir, report)
+    return read_live_top_skus(spark, report, inputs.skus(spark, sf_dir), TOP_K)
 
 
 QUERIES: dict[str, Query] = {
@@ -424,6 +516,13 @@ QUERIES: dict[str, Query] = {
     "format_keys": format_keys,
     "local_time": local_time,
     "union_origins": union_origins,
+    "preview": preview,
+    "csv_broken_rows": csv_broken_rows,
+    "sales_after_redelivery": sales_after_redelivery,
+    "stream_late_files": stream_late_files,
+    "stream_archive": stream_archive,
+    "stream_top_skus": stream_top_skus,
+    "sql_reused_ids": sql_reused_ids,
     "sql_three_way": sql_three_way,
     "readme_views": readme_views,
 }

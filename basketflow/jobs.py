@@ -2,7 +2,9 @@
 
 historical  load a CSV export, replacing earlier historical rows
 live        load log files as they land, or what is there if no interval is given
+live-sales  keep units by store and SKU up to date while log files land
 sales       write the sales-by-store report
+top-skus    write the best-selling SKUs
 """
 
 from __future__ import annotations
@@ -10,11 +12,11 @@ from __future__ import annotations
 import argparse
 
 from basketflow.operators.decode import decode_csv_rows
-from basketflow.plans.reports import sales_by_store
+from basketflow.plans.reports import in_dates, once, sales_by_store, top_skus_by_sales, top_skus_by_units
 from basketflow.session import job_session
 from basketflow.sinks import overwrite_historical
 from basketflow.sources import read_fact, read_skus, read_supermarkets, read_transactions_csv
-from basketflow.streaming import start_ingest
+from basketflow.streaming import start_ingest, start_live_sales
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -35,7 +37,28 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     live.add_argument("--max-files", type=int)
     live.add_argument("--max-bytes", type=int)
     live.add_argument("--archive")
-    live.add_argument("--compact", action="store_true")
+    live.add_argument("--archive-threads", type=int, default=1)
+    live.add_argument("--files", type=int, help="at most so many files for each table and batch")
+    live.add_argument("--state-partitions", type=int, help="tasks that keep the keys; fixed at the first start")
+    live.add_argument("--check-stored", action="store_true", help="also drop copies of what earlier loads stored")
+
+    live_sales = jobs.add_parser("live-sales")
+    live_sales.add_argument("--input", required=True)
+    live_sales.add_argument("--report", required=True)
+    live_sales.add_argument("--checkpoint", required=True)
+    live_sales.add_argument("--every")
+    live_sales.add_argument("--horizon", default="1 hour")
+    live_sales.add_argument("--lanes", type=int, default=8)
+    live_sales.add_argument("--state-partitions", type=int)
+
+    top = jobs.add_parser("top-skus")
+    top.add_argument("--facts", required=True)
+    top.add_argument("--skus", required=True)
+    top.add_argument("--by", choices=["units", "sales"], default="units")
+    top.add_argument("--since")
+    top.add_argument("--until")
+    top.add_argument("-k", type=int, default=10)
+    top.add_argument("--out", required=True)
 
     sales = jobs.add_parser("sales")
     sales.add_argument("--facts", required=True)
@@ -61,12 +84,31 @@ def main(argv: list[str] | None = None) -> None:
             args.checkpoint,
             horizon=None if args.horizon == "none" else args.horizon,
             lanes=args.lanes,
-            compact=args.compact,
+            files=args.files,
+            state_partitions=args.state_partitions,
+            archive_threads=args.archive_threads,
+            check_stored=args.check_stored,
             trigger={"processingTime": args.every} if args.every else None,
             max_files=args.max_files,
             max_bytes=args.max_bytes,
             archive_dir=args.archive,
         ).awaitTermination()
+    elif args.job == "live-sales":
+        start_live_sales(
+            spark,
+            args.input,
+            args.report,
+            args.checkpoint,
+            horizon=None if args.horizon == "none" else args.horizon,
+            lanes=args.lanes,
+            state_partitions=args.state_partitions,
+            trigger={"processingTime": args.every} if args.every else None,
+        ).awaitTermination()
+    elif args.job == "top-skus":
+        details = in_dates(read_fact(spark, args.facts, "details", stored=True), args.since, args.until)
+        items = once(details, "tx_key", "sku", "quantity")
+        best = top_skus_by_units if args.by == "units" else top_skus_by_sales
+        best(items, read_skus(spark, args.skus), args.k).write.mode("overwrite").parquet(args.out)
     else:
         sales_by_store(
             read_fact(spark, args.facts, "headers", stored=True),

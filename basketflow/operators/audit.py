@@ -82,7 +82,7 @@ def _broken(rule: Column) -> Column:
 
 
 def _key_shape(column: str, prefix: str, digits: int) -> Column:
-    return F.col(column).rlike(f"^{prefix}[0-9]{{{digits},}}$")
+    return F.col(column).rlike(f"^{prefix}[0-9]{{{digits},}}\\z")
 
 
 def _as_rows(checks: DataFrame) -> DataFrame:

@@ -118,23 +118,37 @@ def decode_lines(lines: DataFrame) -> DataFrame:
     )
 
 
+def _bare_item() -> Column:
+    """An object that is the whole field stands for a list of one."""
+    alone = F.json_array_length(_alone(F.col("items"))) == 2
+    bare = F.ltrim("items").startswith("{") & alone
+    return F.when(bare, F.from_json(F.concat(F.lit("["), "items", F.lit("]")), schemas.ITEMS_TYPE))
+
+
 def decode_csv_rows(rows: DataFrame) -> DataFrame:
-    """CSV rows (the four text columns, ``source_file``, ``arrived_at``) to records."""
+    """CSV rows (the four text columns, ``source_file``, ``arrived_at``) to records.
+
+    A row with more or fewer fields than the header is refused. An item list with anything beside it
+    cannot be read and is flagged, as in a log line.
+    """
+    if schemas.CSV_BROKEN not in rows.columns:
+        rows = rows.withColumn(schemas.CSV_BROKEN, F.lit(None).cast("string"))
+    broken = F.col(schemas.CSV_BROKEN)
     parsed = rows.select(
-        "*", _parse_once(F.from_json("items", schemas.ITEMS_TYPE)).alias("parsed_items")
-    )
+        "*", _parse_once(_parse_alone("items", schemas.ITEMS_TYPE)).alias("item_lists")
+    ).withColumn("parsed_items", F.coalesce(_only_element("item_lists"), _bare_item()))
     tx = F.struct(
-        "transaction_id",
+        F.when(broken.isNull(), F.col("transaction_id")).alias("transaction_id"),
         "supermarket_id",
         "transaction_date",
         F.col("parsed_items").alias("items"),
     )
     text = F.to_json(F.struct("transaction_id", "supermarket_id", "transaction_date", "items"))
-    refused = F.col("transaction_id").isNull()
-    return parsed.withColumn("tx", tx).withColumn("text", text).select(
+    refused = broken.isNotNull() | F.col("transaction_id").isNull()
+    return parsed.withColumn("tx", tx).withColumn("text", F.coalesce(broken, text)).select(
         "tx",
         F.when(~refused, _key_of(F.col("text"))).alias("tx_key"),
-        F.when(refused, "null_id").alias("reason"),
+        F.when(broken.isNotNull(), "bad_row").when(refused, "null_id").alias("reason"),
         F.when(~refused, _flags(F.col("items"))).alias("flags"),
         F.when(refused, F.col("text")).alias("raw"),
         "source_file",

@@ -12,7 +12,9 @@ from basketflow.workspace import new_folder
 _PLACE_BITS = 33
 
 
-def number_rows(rows: DataFrame, order_by: list[str], column: str = "row_number", partitions: int | None = None) -> DataFrame:
+def number_rows(
+    rows: DataFrame, order_by: list[str], column: str = "row_number", partitions: int | None = None, folder: str | None = None
+) -> DataFrame:
     """Number rows 1, 2, 3 ... in the order of ``order_by``, which must be unique.
 
     ``row_number`` over the whole table would sort it in one task. Here the rows are range
@@ -21,11 +23,12 @@ def number_rows(rows: DataFrame, order_by: list[str], column: str = "row_number"
     of the rows is still split over partitions.
 
     The sorted rows are stored first: the range bounds come from sampling, and the counts and
-    the numbers must see the same bounds, also after an executor is lost.
+    the numbers must see the same bounds, also after an executor is lost. The result reads that
+    copy, in ``folder`` if given; whoever stores the result may delete it then.
     """
     spark = rows.sparkSession
     count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    folder = new_folder(spark, "sorted")
+    folder = folder or new_folder(spark, "sorted")
     (
         rows.repartitionByRange(count, *order_by)
         .sortWithinPartitions(*order_by)
@@ -46,7 +49,9 @@ def number_rows(rows: DataFrame, order_by: list[str], column: str = "row_number"
     )
 
 
-def assign_transaction_ids(rows: DataFrame, order_by: list[str]) -> DataFrame:
-    """Give rows transaction ids that ascend in ``order_by``."""
-    numbered = number_rows(rows, order_by, "_number")
+def assign_transaction_ids(
+    rows: DataFrame, order_by: list[str], partitions: int | None = None, folder: str | None = None
+) -> DataFrame:
+    """Give rows transaction ids that ascend in ``order_by``; the rest as in ``number_rows``."""
+    numbered = number_rows(rows, order_by, "_number", partitions, folder)
     return numbered.withColumn("transaction_id", transaction_key(F.col("_number"))).drop("_number")

@@ -18,20 +18,26 @@ def headers(records: DataFrame) -> DataFrame:
     )
 
 
-def details(records: DataFrame) -> DataFrame:
-    """One row per item; a record without items yields none and a null element is dropped.
+def items(records: DataFrame, field: str) -> DataFrame:
+    """One row per item with a field of its record; a record without items yields none and a null element
+    is dropped.
 
     The outer generator with a test on its output gives the same rows as the inner one, without
     the second parse that the optimizer's inferred size test would bring.
     """
     return (
         accepted(records)
-        .select(F.col("tx.transaction_id").alias("transaction_id"), F.explode_outer("tx.items").alias("item"))
+        .select(F.col(f"tx.{field}").alias(field), F.explode_outer("tx.items").alias("item"))
         .where(F.col("item").isNotNull())
-        .select("transaction_id", F.col("item.sku").alias("sku"), F.col("item.quantity").alias("quantity"))
+        .select(field, F.col("item.sku").alias("sku"), F.col("item.quantity").alias("quantity"))
     )
 
 
+def details(records: DataFrame) -> DataFrame:
+    """One row per item with the id of its transaction."""
+    return items(records, "transaction_id")
+
+
 def to_log_line(tx: Column) -> Column:
     """The envelope a log router puts around one printed transaction."""
     return F.to_json(F.struct(F.to_json(tx).alias("log")))

@@ -5,7 +5,8 @@ Joins carry no broadcast hint. Catalyst broadcasts a dimension when its size is
 joined by sort-merge, where AQE splits a hot key.
 
 ``on`` names the column that links details to headers: ``transaction_id``, or ``tx_key`` for
-stored facts, where ids may occur again.
+stored facts, where ids may occur again. Under ``tx_key`` a record counts once, however often it was
+delivered and stored: a header is known by its key, an item by key and position.
 """
 
 from __future__ import annotations
@@ -25,8 +26,18 @@ def in_dates(rows: DataFrame, since: str | None, until: str | None) -> DataFrame
     return rows
 
 
+def once(rows: DataFrame, on: str, *columns: str) -> DataFrame:
+    """Each record or item of stored facts once. Copies are equal in all columns that a record's text
+    decides, so grouping by them is a hash aggregate that combines on the map side."""
+    wanted = [c for c in dict.fromkeys([on, "position", *columns]) if c in rows.columns]
+    return rows.select(wanted).distinct() if on == "tx_key" else rows.select([c for c in wanted if c != "position"])
+
+
 def header_lines(headers: DataFrame, details: DataFrame, on: str = "transaction_id") -> DataFrame:
     """Each detail with its header."""
+    if on == "tx_key":
+        headers = once(headers, on, "transaction_id", "supermarket_id", "transaction_date")
+        details = once(details, on, "sku", "quantity")
     own = [column for column in details.columns if column == on or column not in headers.columns]
     return headers.join(details.select(own), on)
 
@@ -63,9 +74,9 @@ def sales_by_store(
     if "transaction_date" in details.columns:
         details = in_dates(details, since, until)
     sale = ["transaction_id"] if on == "transaction_id" else ["transaction_id", "transaction_date"]
-    wanted = in_dates(headers, since, until).select(*dict.fromkeys([on, *sale]), "supermarket_id")
+    wanted = once(in_dates(headers, since, until), on, *sale, "supermarket_id")
     by_transaction = (
-        details.select(on, "sku", "quantity")
+        once(details, on, "sku", "quantity")
         .join(skus.select("sku", in_cents(F.col("price")).alias("cents")), "sku")
         .groupBy(on)
         .agg(F.sum("quantity").alias("units"), F.sum(F.col("quantity") * F.col("cents")).alias("cents"))

@@ -10,6 +10,8 @@ TRANSACTION_TYPE = (
 ENVELOPE_TYPE = "struct<log:string>"
 
 CSV_TRANSACTIONS = "transaction_id string, supermarket_id string, transaction_date string, items string"
+# Where the text of a CSV row that does not fit the header is kept.
+CSV_BROKEN = "_broken"
 CSV_SKUS = "`sku` string, `name of article` string, `price` string"
 CSV_SUPERMARKETS = "supermarket_id string, supermarket_name string"
 
@@ -20,7 +22,7 @@ _LINEAGE = f"source_file string, arrived_at timestamp, {_LOAD}"
 FACT_SCHEMAS = {
     "headers": "tx_key binary, transaction_id string, supermarket_id string, "
     f"transaction_date timestamp_ntz, flags array<string>, {_LINEAGE}",
-    "details": "tx_key binary, transaction_id string, sku string, quantity int, "
+    "details": "tx_key binary, position int, transaction_id string, sku string, quantity int, "
     f"transaction_date timestamp_ntz, {_LOAD}",
     "rejects": f"raw string, reason string, {_LINEAGE}",
 }
@@ -39,9 +41,9 @@ MIN_BASKET, MAX_BASKET = 1, 20
 OPENING_HOUR, CLOSING_HOUR = 9, 21
 SUNDAY = 6
 STORE_ZONE = "Europe/Madrid"
-DATE_SHAPE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+DATE_SHAPE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z"
 
 # Reasons a line is refused; each refused line has exactly one.
-REJECT_REASONS = ["bad_line", "no_log", "not_json", "not_object", "no_id", "null_id"]
+REJECT_REASONS = ["bad_line", "no_log", "not_json", "not_object", "no_id", "null_id", "bad_row"]
 # Notes on a kept record; a record may carry several.
 FLAGS = ["bad_date", "bad_items", "null_item", "bad_quantity"]

@@ -37,6 +37,8 @@ def fact_rows(records: DataFrame) -> DataFrame:
     return spread.where(on_header | F.col("item").isNotNull()).select(
         F.when(~kept, "rejects").when(on_header, "headers").otherwise("details").alias("table"),
         "tx_key",
+        # The place of an item in its record, from 1.
+        F.when(~on_header, F.col("position")).alias("position"),
         F.col("tx.transaction_id").alias("transaction_id"),
         F.when(on_header, F.col("tx.supermarket_id")).alias("supermarket_id"),
         "transaction_date",

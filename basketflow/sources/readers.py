@@ -18,15 +18,22 @@ def _with_lineage(rows: DataFrame) -> DataFrame:
 def _quoted_csv(spark: SparkSession, schema: str):
     """Header, double quotes, and a quote inside a field written twice.
 
-    ``multiLine`` stays off so that one large file is read by many tasks; the item lists hold no
-    line breaks. With Spark's default escape the JSON would be cut at its first comma.
+    With Spark's default escape the JSON would be cut at its first comma.
     """
     return spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"')
 
 
-def read_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Historical export: four text columns, the item list as JSON text."""
-    return _with_lineage(_quoted_csv(spark, schemas.CSV_TRANSACTIONS).csv(path))
+def read_transactions_csv(spark: SparkSession, path: str, *, multi_line: bool = False) -> DataFrame:
+    """Historical export: four text columns, the item list as JSON text.
+
+    A row with more or fewer fields keeps its text in the fifth column and is refused later.
+    ``multi_line`` reads fields with line breaks in them; a file is then read by one task, so it is
+    off by default, and the halves of such a row are refused.
+    """
+    rows = _quoted_csv(spark, f"{schemas.CSV_TRANSACTIONS}, {schemas.CSV_BROKEN} string")
+    return _with_lineage(
+        rows.option("columnNameOfCorruptRecord", schemas.CSV_BROKEN).option("multiLine", multi_line).csv(path)
+    )
 
 
 def read_skus(spark: SparkSession, path: str, precision: int = 10) -> DataFrame:
@@ -53,21 +60,30 @@ def stream_log_lines(
     max_files: int | None = None,
     max_bytes: int | None = None,
     archive_dir: str | None = None,
+    archive_threads: int = 1,
+    max_file_age: str = "36500d",
 ) -> DataFrame:
     """The same lines from files as they land.
 
     ``max_files`` or ``max_bytes`` bounds a batch. With ``archive_dir`` a file is moved there
-    once a later batch has started, so only files whose rows are committed are ever moved.
+    once a later batch has started, so only files whose rows are committed are ever moved; the
+    files of the last batch stay until the next one, in this run or a later one, and a move that
+    fails is only logged. ``archive_threads`` is how many files are moved at a time.
+
+    Spark ignores a file for good when it is older than ``maxFileAge`` against the newest one
+    seen. A late file must be loaded, so the default here never cuts. The list of files seen then
+    grows with the folder; the archive keeps both small.
     """
     if max_files and max_bytes:
         raise ValueError("give max_files or max_bytes, not both")
-    reader = spark.readStream.format("text")
+    reader = spark.readStream.format("text").option("maxFileAge", max_file_age)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+        spark.conf.set("spark.sql.streaming.fileSource.cleaner.numThreads", archive_threads)
     return _with_lineage(reader.load(path))
 
 

@@ -1,4 +1,4 @@
-"""A sales report that is kept up to date while log files land."""
+"""Sales reports that are kept up to date while log files land."""
 
 from __future__ import annotations
 
@@ -7,57 +7,55 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from basketflow.functions import from_cents, in_cents, wide_cents
-from basketflow.operators.decode import accepted, decode_lines
+from basketflow.operators.decode import decode_lines
 from basketflow.operators.dedupe import drop_copies_in_stream
+from basketflow.operators.shred import items
 from basketflow.session import stream_settings, temporary_settings
 from basketflow.sources import stream_log_lines
+from basketflow.streaming.clock import clock_guard
 
-REPORT_SCHEMA = "supermarket_id string, units bigint, sales decimal(38,2), batch_id bigint"
+TOTALS = "supermarket_id string, sku string, units bigint, batch_id bigint, refreshed_at timestamp"
 SLOTS = 2
 
 
 def start_live_sales(
     spark: SparkSession,
     input_dir: str,
-    skus: DataFrame,
     report_path: str,
     checkpoint: str,
     *,
-    horizon: str | None = None,
-    lanes: int = 1,
+    horizon: str | None = "1 hour",
+    lanes: int = 8,
     state_partitions: int | None = None,
     trigger: dict | None = None,
     max_files: int | None = None,
     max_bytes: int | None = None,
 ) -> StreamingQuery:
-    """Running units and sales by store; state is one row per store.
+    """Running units by store and SKU: the state has a row for each pair that was sold.
 
-    Rows are summed within each task before the shuffle, so a store with a third of all sales
-    costs its reducer one row per task. Refreshes take turns in two slots: the newest complete one
-    stays readable while the next is written, and the folder does not grow.
+    Prices are joined when the report is read, so it shows current prices as the batch report does,
+    and the stream joins nothing. Rows are summed within each task before the shuffle, so a store or
+    SKU with a third of all sales costs its reducer one row per task. Copies are dropped by the same
+    rule and default as in the load.
+
+    Refreshes take turns in two slots below a folder of the query: the newest complete one stays
+    readable while the next is written, and the folder does not grow. A new checkpoint is a new
+    query, whose report replaces the old one's with its first refresh.
     """
     records = decode_lines(stream_log_lines(spark, input_dir, max_files=max_files, max_bytes=max_bytes))
+    check_clock = clock_guard(spark, checkpoint, horizon) if horizon else None
     if horizon:
         records = drop_copies_in_stream(records, horizon, lanes)
-    items = (
-        accepted(records)
-        .select(F.col("tx.supermarket_id").alias("supermarket_id"), F.explode_outer("tx.items").alias("item"))
-        .where(F.col("item").isNotNull())
-        .select("supermarket_id", F.col("item.sku").alias("sku"), F.col("item.quantity").alias("quantity"))
-    )
-    totals = (
-        items.join(skus.select("sku", in_cents(F.col("price")).alias("cents")), "sku")
-        .groupBy("supermarket_id")
-        .agg(
-            F.sum("quantity").alias("units"),
-            F.sum(wide_cents(F.col("quantity") * F.col("cents"))).alias("cents"),
-        )
-        .select("supermarket_id", "units", from_cents("cents").alias("sales"))
-    )
+    totals = items(records, "supermarket_id").groupBy("supermarket_id", "sku").agg(F.sum("quantity").alias("units"))
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        numbered = batch.hint("rebalance").withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        numbered.write.mode("overwrite").parquet(f"{report_path}/slot={batch_id % SLOTS}")
+        if check_clock:
+            check_clock()
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        numbered = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).withColumn(
+            "refreshed_at", F.current_timestamp()
+        )
+        numbered.write.mode("overwrite").parquet(f"{report_path}/query={query}/slot={batch_id % SLOTS}")
 
     writer = (
         totals.writeStream.outputMode("complete")
@@ -69,8 +67,30 @@ def start_live_sales(
         return writer.start()
 
 
-def read_live_sales(spark: SparkSession, report_path: str) -> DataFrame:
-    """The latest refresh."""
-    refreshes = spark.read.schema(REPORT_SCHEMA).parquet(report_path)
-    latest = refreshes.agg(F.max("batch_id").alias("batch_id"))
-    return refreshes.join(latest, "batch_id").drop("batch_id", "slot")
+def read_live_totals(spark: SparkSession, report_path: str) -> DataFrame:
+    """Units by store and SKU of the latest refresh of the latest query."""
+    refreshes = spark.read.schema(f"{TOTALS}, query string, slot int").parquet(report_path)
+    # One row: which refresh it is.
+    latest = refreshes.agg(F.max_by(F.struct("query", "batch_id"), F.struct("refreshed_at", "batch_id")).alias("last"))
+    return refreshes.join(F.broadcast(latest), (F.col("query") == F.col("last.query")) & (F.col("batch_id") == F.col("last.batch_id"))).select(
+        "supermarket_id", "sku", "units"
+    )
+
+
+def read_live_sales(spark: SparkSession, report_path: str, skus: DataFrame) -> DataFrame:
+    """Units and sales by store at current prices; items without a known SKU do not count."""
+    priced = skus.select("sku", in_cents(F.col("price")).alias("cents"))
+    return (
+        read_live_totals(spark, report_path)
+        .join(priced, "sku")
+        .groupBy("supermarket_id")
+        .agg(F.sum("units").alias("units"), F.sum(wide_cents("units") * F.col("cents")).alias("cents"))
+        .select("supermarket_id", "units", from_cents("cents").alias("sales"))
+    )
+
+
+def read_live_top_skus(spark: SparkSession, report_path: str, skus: DataFrame, k: int = 10) -> DataFrame:
+    """The ``k`` SKUs that sold most pieces; ties go to the lower SKU."""
+    units = read_live_totals(spark, report_path).groupBy("sku").agg(F.sum("units").alias("units"))
+    named = units.join(skus.select("sku", "article_name"), "sku").select("sku", "article_name", "units")
+    return named.orderBy(F.desc_nulls_last("units"), "sku").limit(k)

@@ -10,12 +10,12 @@ from basketflow.catalogue import inputs
 from basketflow.catalogue.queries import QUERIES
 from basketflow.operators import audit
 from basketflow.operators.decode import decode_lines
-from basketflow.operators.dedupe import drop_copies
+from basketflow.operators.dedupe import drop_already_loaded, drop_copies
 from basketflow.operators.numbering import number_rows
 from basketflow.operators.shred import details, headers
 from basketflow.plans import reports
-from basketflow.sinks import fact_rows
-from basketflow.sources import read_log_lines
+from basketflow.sinks import append_load, fact_rows
+from basketflow.sources import read_fact, read_log_lines
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +26,7 @@ def records(spark, tmp_path_factory):
 
 
 LAZY = ["join_header_detail", "line_revenue", "sales_by_store", "orphan_details", "quantity_profile",
-        "basket_size_profile", "domain_violations", "open_hours_filter", "format_keys", "local_time", "sql_three_way"]
+        "basket_size_profile", "domain_violations", "open_hours_filter", "format_keys", "local_time"]
 
 
 @pytest.mark.parametrize("name", LAZY)
@@ -105,7 +105,6 @@ SKEW_SETTINGS = {
     [
         ("join_header_detail", "l_orderkey"),
         ("orphan_details", "l_orderkey"),
-        ("sql_three_way", "l_orderkey"),
         ("line_revenue", "l_partkey"),
         ("sales_by_store", "l_partkey"),
     ],
@@ -139,10 +138,19 @@ def test_top_k_keeps_k_rows_per_task(spark):
     assert "TakeOrderedAndProject" in plan_of(QUERIES["top_skus_by_units"](spark, SMALL))
 
 
-def test_dated_report_prunes_the_orders_scan(spark):
+def test_dated_report_cuts_both_scans(spark):
     plan = plan_of(QUERIES["sales_by_store_dated"](spark, SMALL))
-    assert "GreaterThanOrEqual(o_orderdate" in plan
-    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>" in plan
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "table=" in line]
+    assert len(scans) == 2 and all("GreaterThanOrEqual(transaction_date" in scan for scan in scans)
+
+
+def test_late_copies_do_not_shuffle_the_history(spark, records, tmp_path):
+    append_load(records, str(tmp_path), "first")
+    stored = read_fact(spark, str(tmp_path), "headers", stored=True)
+    new = drop_already_loaded(records, stored)
+    assert new.where("tx is not null and reason is null").count() == 0
+    history = [line for line in plan_of(new).splitlines() if "BroadcastHashJoin" in line and "LeftSemi" in line]
+    assert len(history) == 1
 
 
 def test_baskets_are_bounded(spark, skewed_dir):

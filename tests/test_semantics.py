@@ -11,6 +11,7 @@ from basketflow import schemas
 from basketflow.operators import audit
 from basketflow.operators.decode import accepted, decode_csv_rows, decode_lines, rejected
 from basketflow.operators.shred import details, headers
+from basketflow.sources import read_transactions_csv
 
 WHEN = datetime.datetime(2024, 4, 10, 19, 22, 28)
 ITEM = ("SKU00001", 1)
@@ -69,7 +70,7 @@ def test_refused_lines(refused):
 
 
 def test_every_reason_and_flag_has_a_case():
-    assert {reason for _, reason, _ in REFUSED} == set(schemas.REJECT_REASONS)
+    assert {reason for _, reason, _ in REFUSED} == set(schemas.REJECT_REASONS) - {"bad_row"}  # CSV only
     assert {flag for *_, flags in KEPT.values() for flag in flags} == set(schemas.FLAGS)
 
 
@@ -161,21 +162,39 @@ def test_csv_rows(spark):
                 ("TX3", "A", "10/04/2024", "[]"),
                 ("TX4", "A", "2024-04-10 19:22:28", None),
                 ("TX5", "A", "2024-04-10 19:22:28", '{"sku": "T", "quantity": 1}'),
+                ("TX6", "A", "2024-04-10 19:22:28", good + good),
                 (None, "A", "2024-04-10 19:22:28", good),
             ],
         )
     )
     assert {r.transaction_id: r.transaction_date for r in headers(records).collect()} == {
-        "TX1": WHEN, "TX2": WHEN, "TX3": None, "TX4": WHEN, "TX5": WHEN}
+        "TX1": WHEN, "TX2": WHEN, "TX3": None, "TX4": WHEN, "TX5": WHEN, "TX6": WHEN}
     # A bare object stands for a list of one when it is the whole field.
     assert {tuple(r) for r in details(records).collect()} == {("TX1", "S", 2), ("TX5", "T", 1)}
     flags = {r.tx.transaction_id: r.flags for r in accepted(records).collect()}
-    assert flags == {"TX1": [], "TX2": ["bad_items"], "TX3": ["bad_date"], "TX4": [], "TX5": []}
+    assert flags == {"TX1": [], "TX2": ["bad_items"], "TX3": ["bad_date"], "TX4": [], "TX5": [], "TX6": ["bad_items"]}
     refused = rejected(records).collect()
     assert [r.reason for r in refused] == ["null_id"]
     assert json.loads(refused[0].raw)["items"] == good
 
 
+def test_broken_csv_rows(spark, tmp_path):
+    """A row that does not fit the header is refused whole; a line break inside a field needs ``multi_line``."""
+    text = (
+        "transaction_id,supermarket_id,transaction_date,items\n"
+        'TX1,A,2024-04-10 19:22:28,"[{""sku"": ""S"", ""quantity"": 2}]",more\n'
+        "TX2,A\n"
+        'TX3,A,2024-04-10 19:22:28,"[{""sku"": ""S"",\n""quantity"": 2}]"\n'
+    )
+    (tmp_path / "a.csv").write_text(text, encoding="utf-8")
+    records = decode_csv_rows(read_transactions_csv(spark, str(tmp_path)))
+    assert sorted(r.reason for r in rejected(records).collect()) == ["bad_row"] * 3
+    assert [(r.tx.transaction_id, r.flags) for r in accepted(records).collect()] == [("TX3", ["bad_items"])]
+    whole = decode_csv_rows(read_transactions_csv(spark, str(tmp_path), multi_line=True))
+    assert [tuple(r) for r in details(whole).collect()] == [("TX3", "S", 2)]
+    assert rejected(whole).count() == 2
+
+
 def test_counts(spark):
     lines = [log_line(tx(transaction_date="bad")), log_line("prose"), log_line("prose"), "prose"]
     records = decode_lines(as_lines(spark, lines))

@@ -15,6 +15,7 @@ from basketflow.operators.decode import decode_lines
 from basketflow.operators.dedupe import drop_already_loaded
 from basketflow.sources import read_fact
 from basketflow.streaming import read_live_sales, start_ingest, start_live_sales
+from basketflow.streaming.clock import ClockError, clock_guard
 
 
 class Feed:
@@ -189,10 +190,50 @@ def test_batches_bounded_by_size(feed):
     assert (feed.count("headers"), feed.count("details"), feed.count("rejects")) == (4, 8, 4)
 
 
-def test_compacted_batches_hold_the_same_rows(feed):
-    crash_mix(feed)
-    feed.load(compact=True)
-    assert (feed.count("headers"), feed.count("details"), feed.count("rejects")) == (4, 8, 4)
+def parquet_files(folder):
+    return [name for _, _, names in os.walk(folder) for name in names if name.endswith(".parquet")]
+
+
+def test_a_batch_has_few_files(feed):
+    """Without a number of files there is one for each task and table."""
+    for part in range(12):
+        feed.deliver(*[log_line(sale(100 * part + n)) for n in range(20)], "banner")
+    feed.load(horizon=None, files=1)
+    assert len(parquet_files(feed.facts)) == 3
+    assert (feed.count("headers"), feed.count("rejects")) == (240, 12)
+    other = os.path.join(feed.root, "loose")
+    start_ingest(feed.spark, feed.incoming, other, feed.progress + "2", horizon="1 hour", lanes=1).awaitTermination()
+    assert len(parquet_files(other)) > 3
+
+
+def test_files_dated_long_before_are_loaded(feed):
+    feed.deliver(log_line(sale(1)))
+    feed.load(horizon=None)
+    old = feed.deliver(log_line(sale(2)))
+    os.utime(old, (time.time() - 400 * 86400,) * 2)
+    feed.deliver(log_line(sale(3)))
+    feed.load(horizon=None)
+    assert feed.ids() == ["TX0000001", "TX0000002", "TX0000003"]
+
+
+def test_clock_behind_the_watermark_stops_the_load(feed):
+    """The stream would drop what arrives before its watermark; nothing is written instead."""
+    feed.deliver(log_line(sale(1)))
+    feed.load()
+    assert clock_guard(feed.spark, feed.progress, "1 hour", now=lambda: time.time() - 3000)
+    with pytest.raises(ClockError):
+        clock_guard(feed.spark, feed.progress, "1 hour", now=lambda: time.time() - 4000)
+    times = iter([time.time(), time.time() - 7200])
+    check = clock_guard(feed.spark, feed.progress, "1 hour", now=lambda: next(times))
+    with pytest.raises(ClockError):
+        check()
+
+
+def test_copies_of_stored_records_can_be_refused(feed):
+    for _ in range(3):
+        feed.deliver(log_line(sale(1)), log_line(sale(2)))
+        feed.load(horizon=None, check_stored=True)
+    assert feed.ids() == ["TX0000001", "TX0000001", "TX0000002", "TX0000002"][::2]
 
 
 @pytest.mark.parametrize("horizon", [None, "1 hour"])
@@ -202,15 +243,24 @@ def test_live_sales_follow_the_feed(feed, horizon):
     report = os.path.join(feed.root, "report")
 
     def refresh():
-        start_live_sales(feed.spark, feed.incoming, skus, report, feed.progress, horizon=horizon, lanes=2,
+        start_live_sales(feed.spark, feed.incoming, report, feed.progress, horizon=horizon, lanes=2,
                          max_files=1).awaitTermination()
-        return {r.supermarket_id: (r.units, str(r.sales)) for r in read_live_sales(feed.spark, report).collect()}
+        return shown(skus)
+
+    def shown(skus):
+        return {r.supermarket_id: (r.units, str(r.sales)) for r in read_live_sales(feed.spark, report, skus).collect()}
 
     feed.deliver(log_line(sale(1, items=[("A", 2), ("B", 1), ("unknown", 9)])), "banner")
     assert refresh() == {"STORE0001": (3, "5.10")}
     feed.deliver(log_line(sale(2, items=[("B", 3)])))
     feed.deliver(log_line(sale(3, items=[("A", 1)], store="STORE0002")))
     assert refresh() == {"STORE0001": (6, "5.40"), "STORE0002": (1, "2.50")}
+    # Current prices, as in the batch report.
+    assert shown(skus.selectExpr("sku", "cast(price * 2 as decimal(10,2)) as price"))["STORE0002"] == (1, "5.00")
+    # A new checkpoint starts to count again, and its report is the one shown.
+    feed.progress += "-new"
+    feed.deliver(log_line(sale(4, items=[("A", 10)])))
+    assert refresh() == {"STORE0001": (16, "30.40"), "STORE0002": (1, "2.50")}
 
 
 line = st.one_of(

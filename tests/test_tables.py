@@ -152,7 +152,7 @@ def test_jobs(spark, tmp_path, capsys, monkeypatch):
     assert "1500" in capsys.readouterr().out
     write_lines(live, [log_line(sale(100001, store="STORE0099")), "banner"])
     jobs.main(["live", "--input", str(live), "--facts", facts, "--checkpoint", str(tmp_path / "progress"),
-               "--lanes", "2", "--compact"])
+               "--lanes", "2", "--files", "1", "--state-partitions", "2", "--check-stored"])
     (tmp_path / "skus.csv").write_text("sku,name of article,price\nSKU00001,Bread,2.5\n", encoding="utf-8")
     (tmp_path / "stores.csv").write_text("supermarket_id,supermarket_name\nSTORE0099,Main\n", encoding="utf-8")
     for since, expected in [("2024-04-10", [("STORE0099", 1, 1, 2.5)]), ("2024-04-11", [])]:
