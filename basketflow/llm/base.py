@@ -9,6 +9,7 @@ from basketflow.workspace import new_folder
 
 #: Words end at ASCII white space only.
 SPACES = r"[\x20\x09-\x0D]+"
+TEXTS_IN_BATCH = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +34,13 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, SPACES), lambda word: word != "")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Fewer texts in an Arrow batch than Spark's default, which is meant for short rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= TEXTS_IN_BATCH:
+        spark.conf.set(key, TEXTS_IN_BATCH)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts the lineage, survives lost executors."""
     path = new_folder(df.sparkSession, label)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketflow.llm.base import fresh, stored, table, text_of
+from basketflow.llm.base import fresh, small_batches, stored, table, text_of
 
 SHRINK_TO_POOLED = 0.1
 SHRINK_TO_IDENTITY = 0.02
@@ -141,6 +141,7 @@ def score_with(model: Discriminant):
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per document: held_out, score, predicted. Statistics are stored once and used twice."""
+    small_batches(docs.sparkSession)
     features = stored(docs.select("doc_id", statistics_of(text_of()).alias("x")), "statistics")
     scores = score_with(fit(features, labels))
     return features.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), scores("x").alias("score")).withColumn(
@@ -150,6 +151,7 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, that the classifier does not reject."""
+    small_batches(docs.sparkSession)
     features = docs.select("doc_id", statistics_of(text_of()).alias("x"))
     scores = score_with(fit(features, labels))
     mark = fresh(docs, "score")

@@ -19,11 +19,12 @@ def _sized(df: DataFrame, edges: int) -> DataFrame:
 def _stars(edges: DataFrame, n: int) -> DataFrame:
     """One round: every node hands the smallest of its neighbours to the larger ones, then to the smaller."""
     both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = _sized(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m")), n)
+    # Stored, so that the join has two plain shuffles and the edges of a hub can be split.
+    least = stored(_sized(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m")), n), "least")
     large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
     large = stored(_sized(large, n), "large-stars")
     # Now each edge points from the larger node to the smaller.
-    least = _sized(large.groupBy("a").agg(F.min("b").alias("m")), n)
+    least = stored(_sized(large.groupBy("a").agg(F.min("b").alias("m")), n), "least")
     small = _sized(large.join(least, "a"), n).select(F.explode(F.array(F.struct("a", "m"), F.struct(F.col("b").alias("a"), "m"))).alias("e"))
     return _sized(small.select(F.col("e.a").alias("a"), F.col("e.m").alias("b")).filter("a <> b").distinct(), n)
 

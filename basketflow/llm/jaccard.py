@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketflow.llm.base import fresh, stored, table, text_of
+from basketflow.llm.base import fresh, small_batches, stored, table, text_of
 from basketflow.llm.bytehash import U64, Ranges, flat, mixed, parts, words
 from basketflow.llm.components import components
 
@@ -103,6 +103,7 @@ def node_of(text: Column) -> Column:
 
 def nodes(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     """One row per text: its hash, band hashes, number of copies, smallest id."""
+    small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("node", T.StringType()), T.StructField("bands", T.ArrayType(T.LongType()))])
     texts = docs.select("doc_id", node_of(text_of()).alias("node"), text_of().alias("t"))
@@ -182,7 +183,7 @@ def _verify(group: pa.Table) -> pa.Table:
 def verified(docs: DataFrame, texts: DataFrame) -> DataFrame:
     """Per block task and node of a candidate group: a node it is joined to, and its links there."""
     groups = stored(candidates(texts), "candidates")
-    sizes = groups.groupBy(F.col("root").alias("of")).agg(F.count(F.lit(1)).alias("size"))
+    sizes = stored(groups.groupBy(F.col("root").alias("of")).agg(F.count(F.lit(1)).alias("size")), "group-sizes")
     members = stored(
         groups.join(sizes, groups["root"] == sizes["of"])
         .join(texts.select(F.col("node").alias("n"), "first_id", "copies"), F.col("node") == F.col("n"))

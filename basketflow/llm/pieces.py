@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketflow.llm.base import table, text_of
+from basketflow.llm.base import small_batches, table, text_of
 from basketflow.llm.bytehash import parts
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -242,6 +242,7 @@ def encode(docs: DataFrame, *, text: str = "text", path: str = VOCABULARY, into:
     """``docs`` with all its columns and the ids of the text's pieces."""
     if into.lower() in {name.lower() for name in docs.columns}:
         raise ValueError(f"choose another name than {into} for the ids")
+    small_batches(docs.sparkSession)
     words = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
     numbered = [F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(docs.columns)]
     rows = docs.select(*numbered, text_of(text).alias("t"))
@@ -268,6 +269,7 @@ def decode(rows: DataFrame, *, ids: str = "token_ids", path: str = VOCABULARY) -
 
 def round_trip(docs: DataFrame, *, text: str = "text", path: str = VOCABULARY) -> DataFrame:
     """Per document its ids, their number, and whether they decode to the text again."""
+    small_batches(docs.sparkSession)
     words = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType)])
     schema.add("token_ids", IDS).add("n_tokens", T.LongType()).add("round_trip", T.BooleanType())

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketflow.llm.base import stored, table, text_of
+from basketflow.llm.base import small_batches, stored, table, text_of
 from basketflow.llm.bytehash import U64, Ranges, flat, mixed, parts
 
 DEPTH = 200
@@ -169,11 +169,13 @@ def split_groups(blocks: DataFrame) -> DataFrame:
     """Blocks that are not unique: ``doc_id, copy, place``, whether they are repeated as a whole (``done``),
     and whether the next pass takes them: those that are not, and one of each kind that others may share in part.
     """
-    cores = (
+    # Stored, so that the join has two plain shuffles and a frequent anchor can be split.
+    cores = stored(
         blocks.groupBy("core")
         .agg(F.count(F.lit(1)).alias("n"), F.min("whole").alias("least"), F.max("whole").alias("most"))
         .filter("n > 1")
-        .select(F.col("core").alias("c"), (F.col("least") != F.col("most")).alias("differ"))
+        .select(F.col("core").alias("c"), (F.col("least") != F.col("most")).alias("differ")),
+        "anchors",
     )
     shared = blocks.join(cores, F.col("core") == F.col("c"))
     shared = stored(
@@ -181,11 +183,12 @@ def split_groups(blocks: DataFrame) -> DataFrame:
         "shared-blocks",
     )
     differ = shared.filter("differ")
-    equal = (
+    equal = stored(
         differ.groupBy("core", "whole")
         .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("copy", "place", "doc_id")).alias("one"))
         .filter("n > 1")
-        .select(F.col("core").alias("c"), F.col("whole").alias("w"), "one")
+        .select(F.col("core").alias("c"), F.col("whole").alias("w"), "one"),
+        "equal-blocks",
     )
     judged = differ.join(equal, (F.col("core") == F.col("c")) & (F.col("whole") == F.col("w")), "left")
     stands_for_others = F.col("one").eqNullSafe(F.struct("copy", "place", "doc_id"))
@@ -195,6 +198,7 @@ def split_groups(blocks: DataFrame) -> DataFrame:
 
 
 def _rows(docs: DataFrame) -> DataFrame:
+    small_batches(docs.sparkSession)
     return docs.select("doc_id", F.xxhash64(text_of()).alias("copy"), text_of().alias("t"))
 
 
