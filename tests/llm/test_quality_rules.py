@@ -28,7 +28,7 @@ def test_repeated_words(spark):
 def hosts(spark):
     """Two hosts: on ``a`` a line stands in every document, one of them copied often; on ``b`` in one."""
     line = "Subscribe  to our NEWSLETTER now"
-    body = [" ".join(f"{w}{i}" for w in "some words that this document has alone".split() * 9) for i in range(60)]
+    body = [" ".join(f"{w}{i}x{k}" for k, w in enumerate("some words that this document has alone".split() * 9)) for i in range(60)]
     rows = [(i, f"{line}\n{body[i]}", "a") for i in range(30)]
     rows += [(100 + i, f"subscribe to our newsletter now \n{body[31]}", "a") for i in range(40)]
     rows += [(200, f"{line}\n{body[32]}", "b"), (201, "\n".join([line] * 15 + body[33].split()[:60]), "a"), (202, "\n".join([line] * 30 + body[34].split()[:60]), "a")]
