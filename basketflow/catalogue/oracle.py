@@ -144,6 +144,7 @@ ORACLE: dict[str, str] = {
     "late_copies_dropped": _contents(f"3 * {_JUNK}"),
     "stream_late_files": _contents(_JUNK),
     "stream_archive": _contents(_JUNK),
+    "compacted_readback": _contents(_JUNK),
     "csv_broken_rows": f"""
         select outcome, count(*) as lines from (
             select unnest(case o_orderkey % {len(CSV_ROWS)} {_OUTCOMES_OF_ORDER} end) as outcome from orders

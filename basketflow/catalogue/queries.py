@@ -18,6 +18,7 @@ from basketflow.operators.shred import headers as shred_headers
 from basketflow.operators.shred import to_log_line
 from basketflow.plans import reports, views
 from basketflow.sinks import append_load, overwrite_historical
+from basketflow.sinks.merge import merge_batches
 from basketflow.sources import read_fact, read_log_lines, read_skus, read_supermarkets, read_transactions_csv
 from basketflow.streaming import read_live_sales, read_live_top_skus, start_ingest, start_live_sales
 from basketflow.workspace import new_folder, path_exists
@@ -439,6 +440,19 @@ def stream_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_contents(spark, facts)
 
 
+def compacted_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches merged into one folder for each table, then one more."""
+    incoming, facts, progress = (new_folder(spark, name) for name in ("incoming", "facts", "progress"))
+    lines = spark.read.text(inputs.log_folder(spark, sf_dir))
+    for quarter in range(4):
+        inputs.deliver(spark, lines.where(F.pmod(F.xxhash64("value"), F.lit(4)) == quarter), incoming)
+        query = start_ingest(spark, incoming, facts, progress, horizon=None)
+        query.awaitTermination()
+        if quarter == 2:
+            merge_batches(spark, facts, progress, query.id)
+    return _stored_contents(spark, facts)
+
+
 def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines by where they are after three deliveries with an archive; together they are those delivered."""
     incoming, facts, progress, archive = (new_folder(spark, name) for name in ("incoming", "facts", "progress", "archive"))
@@ -521,6 +535,7 @@ QUERIES: dict[str, Query] = {
     "sales_after_redelivery": sales_after_redelivery,
     "stream_late_files": stream_late_files,
     "stream_archive": stream_archive,
+    "compacted_readback": compacted_readback,
     "stream_top_skus": stream_top_skus,
     "sql_reused_ids": sql_reused_ids,
     "sql_three_way": sql_three_way,

@@ -3,6 +3,7 @@
 historical  load a CSV export, replacing earlier historical rows
 live        load log files as they land, or what is there if no interval is given
 live-sales  keep units by store and SKU up to date while log files land
+merge       merge the folders of a stream's committed batches
 sales       write the sales-by-store report
 top-skus    write the best-selling SKUs
 """
@@ -15,6 +16,7 @@ from basketflow.operators.decode import decode_csv_rows
 from basketflow.plans.reports import in_dates, once, sales_by_store, top_skus_by_sales, top_skus_by_units
 from basketflow.session import job_session
 from basketflow.sinks import overwrite_historical
+from basketflow.sinks.merge import merge_batches
 from basketflow.sources import read_fact, read_skus, read_supermarkets, read_transactions_csv
 from basketflow.streaming import start_ingest, start_live_sales
 
@@ -42,6 +44,11 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     live.add_argument("--state-partitions", type=int, help="tasks that keep the keys; fixed at the first start")
     live.add_argument("--check-stored", action="store_true", help="also drop copies of what earlier loads stored")
 
+    merge = jobs.add_parser("merge")
+    merge.add_argument("--facts", required=True)
+    merge.add_argument("--checkpoint", required=True)
+    merge.add_argument("--stream", required=True, help="the id in the names of the stream's folders")
+
     live_sales = jobs.add_parser("live-sales")
     live_sales.add_argument("--input", required=True)
     live_sales.add_argument("--report", required=True)
@@ -93,6 +100,8 @@ def main(argv: list[str] | None = None) -> None:
             max_bytes=args.max_bytes,
             archive_dir=args.archive,
         ).awaitTermination()
+    elif args.job == "merge":
+        print(merge_batches(spark, args.facts, args.checkpoint, args.stream))
     elif args.job == "live-sales":
         start_live_sales(
             spark,

@@ -13,6 +13,8 @@ from hypothesis import strategies as st
 
 from basketflow.operators.decode import decode_lines
 from basketflow.operators.dedupe import drop_already_loaded
+from basketflow.sinks import merge
+from basketflow.sinks.merge import merge_batches
 from basketflow.sources import read_fact
 from basketflow.streaming import read_live_sales, start_ingest, start_live_sales
 from basketflow.streaming.clock import ClockError, clock_guard
@@ -206,6 +208,45 @@ def test_a_batch_has_few_files(feed):
     assert len(parquet_files(other)) > 3
 
 
+def test_merged_batches(feed):
+    for n in range(4):
+        feed.deliver(log_line(sale(n)), "banner")
+        query = feed.load(horizon=None)
+    home = os.path.join(feed.facts, "table=headers", "origin=realtime", f"stream_id={query.id}")
+    assert len(os.listdir(home)) == 4
+    assert merge_batches(feed.spark, feed.facts, feed.progress, query.id) == 9
+    assert os.listdir(home) == ["batch_id=3"] and len(parquet_files(feed.facts)) == 3
+    assert merge_batches(feed.spark, feed.facts, feed.progress, query.id) == 0
+    feed.deliver(log_line(sale(4)))
+    feed.load(horizon=None)
+    assert feed.ids() == [f"TX{n:07d}" for n in range(5)]
+    assert (feed.count("details"), feed.count("rejects")) == (5, 4)
+
+
+def test_a_merge_that_broke_off_is_finished_or_dropped(feed, monkeypatch):
+    for n in range(3):
+        feed.deliver(log_line(sale(n)))
+        query = feed.load(horizon=None)
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    for method in ("remove", "move"):  # before anything is removed, and after the old folders are gone
+        with monkeypatch.context() as broken:
+            calls = []
+            original = getattr(merge._Files, method)
+            broken.setattr(merge._Files, method, lambda self, *a: lost() if calls or method == "move" or "batch_id" in a[0] else original(self, *a))
+            with pytest.raises(RuntimeError, match="lost"):
+                merge_batches(feed.spark, feed.facts, feed.progress, query.id)
+        merge_batches(feed.spark, feed.facts, feed.progress, query.id)
+        assert feed.ids() == [f"TX{n:07d}" for n in range(3)]
+        if method == "remove":
+            feed.deliver(log_line(sale(1)))
+            feed.load(horizon=None)
+            feed.ids = lambda: sorted({r.transaction_id for r in read_fact(feed.spark, feed.facts, "headers").collect()})
+    assert feed.count("headers") == 4
+
+
 def test_files_dated_long_before_are_loaded(feed):
     feed.deliver(log_line(sale(1)))
     feed.load(horizon=None)
