@@ -10,7 +10,7 @@ tokens of a window are replaced, one mask at one place picks only tokens that ar
 all). Hashes under the masks, with the token's place, are taken at each place of items and documents and
 joined; a hit names a diagonal, and the tokens around it are compared one by one.
 
-A benchmark's hashes are broadcast up to ``BROADCAST`` rows and joined by a shuffle beyond. Hits of one
+A benchmark's hashes are broadcast up to ``BROADCAST_SEEDS`` rows and joined by a shuffle beyond. Hits of one
 document and diagonal are counted once before anything else; a document's row carries its own hits only.
 
 Defined results: null texts are empty and leak nothing; null ids are ids like any other; repeated rows,
@@ -31,7 +31,9 @@ WINDOW = 13
 SUBSTITUTIONS = 2
 LEAST = 5
 MASKS = ((0, 1, 3, 5, 6, 7), (0, 1, 2, 5, 7, 8))
-BROADCAST = 2_000_000
+#: Seeds of the benchmark, and documents with hits, beyond which they are joined by a shuffle.
+BROADCAST_SEEDS = 1_000_000
+BROADCAST = 250_000
 
 
 def _let(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -98,7 +100,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .select("item_id", F.col("place").alias("item_place"), "hash").distinct(),
         "benchmark-seeds",
     )
-    small = marks.count() <= BROADCAST
+    small = marks.count() <= BROADCAST_SEEDS
     rows = docs.select("doc_id", F.xxhash64(text_of()).alias("copy"), tokens(text_of()).alias("words"))
     placed = _placed(rows.select("doc_id", "copy", seeds(F.col("words"), masks).alias("seeds")), "doc_id", "copy")
     hits = stored(

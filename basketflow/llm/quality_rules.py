@@ -29,8 +29,8 @@ MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 3
-#: Hosts with frequent lines beyond which the list is joined by a shuffle.
-BROADCAST_HOSTS = 100_000
+#: Frequent lines of all hosts beyond which they are joined by a shuffle.
+BROADCAST_LINES = 1_000_000
 
 
 def _let(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -110,7 +110,8 @@ def rate(
 ) -> DataFrame:
     """Per document: counts, the text without frequent lines, and whether it is kept."""
     frequent = stored(frequent_lines(docs, min_documents=min_documents, share=share, host=host), "frequent-lines")
-    if frequent.count() <= BROADCAST_HOSTS:
+    (total,) = frequent.agg(F.coalesce(F.sum(F.size("lines")), F.lit(0))).first()
+    if total <= BROADCAST_LINES:
         frequent = F.broadcast(frequent)
     text = text_of()
     rows = docs.select("doc_id", text.alias("t"), F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"))

@@ -70,6 +70,7 @@ def test_shuffled_beyond_the_broadcast(spark, small, monkeypatch):
     bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     broadcast = {tuple(r) for r in d.leaks(small, bench).collect()}
     monkeypatch.setattr(d, "BROADCAST", 0)
+    monkeypatch.setattr(d, "BROADCAST_SEEDS", 0)
     assert {tuple(r) for r in d.leaks(small, bench).collect()} == broadcast
     assert d.decontaminated(small, bench).count() == small.count() - len({r[0] for r in broadcast})
 

@@ -45,7 +45,7 @@ def test_frequent_lines(spark):
 
 def test_joined_by_shuffle_beyond_the_bound(spark, monkeypatch):
     before = {tuple(r) for r in q.rate(hosts(spark)).collect()}
-    monkeypatch.setattr(q, "BROADCAST_HOSTS", -1)
+    monkeypatch.setattr(q, "BROADCAST_LINES", -1)
     assert {tuple(r) for r in q.rate(hosts(spark)).collect()} == before
 
 
