@@ -37,7 +37,7 @@ from basketflow.llm.bytehash import parts
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Runs kept per generation of the memo of a worker; there are two.
-MEMO = 400_000
+MEMO = 250_000
 #: Texts of so many bytes are encoded at a time.
 SLICE_BYTES = 4 << 20
 IDS = T.ArrayType(T.IntegerType())
