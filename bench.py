@@ -3,8 +3,8 @@
 BENCH_SF_DIR  tables to read (default /root/testdata/sf0.1)
 BENCH_CPUS    local cores (default: all)
 
-Raw input (log files, CSV) is written first and timed on its own. Every query then runs three times, whole,
-into a sink that discards rows, and the median counts; queries that write or stream do so within their
+Raw input (log files, CSV) is written first and timed on its own. Every query then runs twice, whole, into
+a sink that discards rows, and the median (the mean of the two) counts; queries that write or stream do so within their
 time. The total is that of the medians and of writing the input.
 """
 
@@ -95,25 +95,13 @@ def arrival_to_visible(spark: SparkSession, files: int = 5) -> list[float]:
     return times[1:]  # the first file waits for the query to start
 
 
-def dedupe_by_lanes(spark: SparkSession, sf_dir: str) -> dict[str, float]:
-    """Seconds to load lines that came twice, by lanes of the first pass."""
-    folder = inputs.redelivered_log_folder(spark, sf_dir)
-
-    def load(lanes: int) -> None:
-        facts, progress = new_folder(spark, "facts"), new_folder(spark, "progress")
-        start_ingest(spark, folder, facts, progress, lanes=lanes, state_partitions=int(CPUS)).awaitTermination()
-
-    return {str(lanes): seconds(lambda: load(lanes)) for lanes in (1, 8)}
-
-
 def main() -> None:
     spark = session()
     names = sys.argv[1:] or list(QUERIES)
     staging = {name: seconds(lambda: stage(spark, SF_DIR)) for name, stage in STAGES.items()}
     first = run(spark, SF_DIR, names)
     latency = [] if sys.argv[1:] or not os.path.isdir(LATENCY_DIR) else arrival_to_visible(spark)
-    lanes = {} if sys.argv[1:] else dedupe_by_lanes(spark, SF_DIR)
-    runs = [first, run(spark, SF_DIR, names), run(spark, SF_DIR, names)]
+    runs = [first, run(spark, SF_DIR, names)]
     timed = {name: median(times[name] for times in runs) for name in names}
     transactions = inputs.table(spark, SF_DIR, "orders").count()
     result = {
@@ -128,8 +116,6 @@ def main() -> None:
         },
         "cpus": int(CPUS),
     }
-    if lanes:
-        result["dedupe_seconds_by_lanes"] = lanes
     if latency:
         result["arrival_to_visible_seconds"] = latency
     spark.stop()
