@@ -1,11 +1,16 @@
 """SentencePiece encoding and decoding with a public vocabulary.
 
-An Aho-Corasick automaton over the pieces reads a text once; at each position its output links name
-every piece that ends there, and each relaxes the best score of that position (Viterbi). Characters
-without a piece cost more than any piece and become byte pieces. The result is the segmentation with
-the highest sum of piece scores; between equal sums the longest last piece wins.
+A BPE model (its scores are ranks of merges, not log probabilities) is encoded as the library does it: of
+all neighbours whose union is a piece, those with the best score are joined, the leftmost first, until
+there are none. The ids of the queries are therefore the model's own.
 
-No piece has a word mark after another character, so a text falls apart before each run of marks and
+For other models an Aho-Corasick automaton over the pieces reads a text once; at each position its output
+links name every piece that ends there, and each relaxes the best score of that position (Viterbi). The
+result is the segmentation with the highest sum of piece scores; between equal sums the longest last piece
+wins. On a BPE model that is another segmentation; ``Codec`` alone gives it unless told to merge.
+
+In both forms characters without a piece become byte pieces. No piece has a word mark after another
+character, so a text falls apart before each run of marks and
 the pieces of a run with its word are looked up once and kept in a bounded memo. A vocabulary without
 that property is read as one run.
 
@@ -22,6 +27,7 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import ahocorasick
 import numpy as np
@@ -38,6 +44,8 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Runs kept per generation of the memo of a worker; there are two.
 MEMO = 250_000
+#: Runs up to so many characters are merged by scanning their pairs, longer ones with a heap.
+SHORT = 64
 #: Texts of so many bytes are encoded at a time.
 SLICE_BYTES = 4 << 20
 IDS = T.ArrayType(T.IntegerType())
@@ -46,9 +54,16 @@ IDS = T.ArrayType(T.IntegerType())
 def vocabulary(path: str = VOCABULARY) -> dict:
     """Pieces, scores and byte pieces of a model file: plain values, a few hundred kB, for a broadcast."""
     import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as model_pb
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     ids = range(model.get_piece_size())
+    proto = model_pb.ModelProto()
+    proto.ParseFromString(model.serialized_model_proto())
+    merges = proto.trainer_spec.model_type == model_pb.TrainerSpec.BPE
+    odd = {model_pb.ModelProto.SentencePiece.USER_DEFINED, model_pb.ModelProto.SentencePiece.UNUSED}
+    if merges and (any(piece.type in odd for piece in proto.pieces) or not any(map(model.is_byte, ids))):
+        raise ValueError("a BPE model needs byte pieces and may have no user-defined or unused ones")
     special = [model.is_control(i) or model.is_unknown(i) or model.is_unused(i) for i in ids]
     return {
         "pieces": [model.id_to_piece(i) for i in ids],
@@ -56,6 +71,7 @@ def vocabulary(path: str = VOCABULARY) -> dict:
         "plain": [not special[i] and not model.is_byte(i) for i in ids],
         "bytes": {int(model.id_to_piece(i)[3:5], 16): i for i in ids if model.is_byte(i)},
         "unknown": model.unk_id(),
+        "merges": merges,
     }
 
 
@@ -79,9 +95,9 @@ class _Memo(dict):
 
 
 class Codec:
-    """One worker's automaton, memo and decoding table."""
+    """One worker's automaton, memo and decoding table; ``merges`` as a BPE model has it, else Viterbi."""
 
-    def __init__(self, words: dict) -> None:
+    def __init__(self, words: dict, merges: bool = False) -> None:
         self.automaton = ahocorasick.Automaton()
         self.single: set[str] = set()
         for i, piece in enumerate(words["pieces"]):
@@ -95,8 +111,12 @@ class Codec:
         self.runs = re.compile(f"{MARK}+[^{MARK}]*" if self.apart else "(?s).+").findall
         self.unknown_score = min(s for s, is_plain in zip(words["scores"], words["plain"]) if is_plain) - 10
         self.bytes, self.unknown = words["bytes"], words["unknown"]
-        self.memo = _Memo(self.viterbi)
-        self.by_word = _Memo(lambda word: self.viterbi(MARK + word))
+        self.ids = {p: i for i, (p, is_plain) in enumerate(zip(words["pieces"], words["plain"])) if is_plain}
+        self.rank = {p: -words["scores"][i] for p, i in self.ids.items()}
+        self.longest = max(map(len, self.ids))
+        segment = self.merged if merges else self.viterbi
+        self.memo = _Memo(segment)
+        self.by_word = _Memo(lambda word: segment(MARK + word))
         self.table = [p.encode() for p in words["pieces"]]
         for i, (piece, is_plain) in enumerate(zip(words["pieces"], words["plain"])):
             if not is_plain:
@@ -132,6 +152,58 @@ class Codec:
         ids.reverse()
         return array("i", ids).tobytes()
 
+    def merged(self, run: str) -> bytes:
+        """The ids after all merges, best score first and leftmost among equals, as the bytes of 32-bit numbers."""
+        parts = list(run) if len(run) <= SHORT else self._merged_long(run)
+        rank = self.rank.get
+        ranks = [rank(a + b, np.inf) for a, b in zip(parts, parts[1:])]
+        while ranks and (low := min(ranks)) < np.inf:
+            at = ranks.index(low)
+            parts[at] += parts.pop(at + 1)
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank(parts[at - 1] + parts[at], np.inf)
+            if at < len(ranks):
+                ranks[at] = rank(parts[at] + parts[at + 1], np.inf)
+        ids: list[int] = []
+        for part in parts:
+            found = self.ids.get(part)
+            if found is None:
+                ids += [self.bytes[b] for b in part.encode("utf-8", "surrogatepass")]
+            else:
+                ids.append(found)
+        return array("i", ids).tobytes()
+
+    def _merged_long(self, run: str) -> list[str]:
+        """The same merges with a heap, in time n log n. A part lies at the place of its first character."""
+        n = len(run)
+        ends = list(range(1, n + 1))
+        before = list(range(-1, n))  # the start of the part in front, by the start of a part
+        rank, alive = self.rank.get, [True] * n
+
+        def union(at: int):
+            """The rank, place and end of a part and its right neighbour."""
+            if at < 0 or ends[at] >= n:
+                return None
+            end = ends[ends[at]]
+            found = rank(run[at:end]) if end - at <= self.longest else None
+            return None if found is None else (found, at, end)
+
+        heap = [pair for pair in map(union, range(n)) if pair]
+        heapify(heap)
+        while heap:
+            _, at, end = heappop(heap)
+            right = ends[at]
+            if not alive[at] or right >= n or ends[right] != end:
+                continue
+            ends[at], alive[right] = end, False
+            if end < n:
+                before[end] = at
+            for pair in (union(before[at]), union(at)):
+                if pair:
+                    heappush(heap, pair)
+        return [run[at : ends[at]] for at in range(n) if alive[at]]
+
     def _with_unknown(self, run: str, best: list[float], step: list) -> None:
         """The same relaxation for a run with characters that are no pieces."""
         matches = self.automaton.iter(run)
@@ -162,7 +234,7 @@ def codec_of(words) -> Codec:
     """The worker's codec, kept beside the broadcast vocabulary for the worker's next tasks."""
     held = words.value
     if "codec" not in held:
-        held["codec"] = Codec(held)
+        held["codec"] = Codec(held, held["merges"])
     return held["codec"]
 
 

@@ -96,3 +96,41 @@ def test_batches_agree_with_single_texts(codec):
     broken = pa.array([[3 + 0xE2], [], None, [3 + 0x41]], pa.list_(pa.int32()))
     assert decode_ids(codec, broken).to_pylist() == ["�", "", "", "A"]
     assert encode_texts(codec, pa.array([], pa.string())).to_pylist() == []
+
+
+@pytest.mark.parametrize("short", [0, 64])
+def test_merges_are_those_of_the_library(short, monkeypatch):
+    """The unpatched library and ours on the BPE model as it is, by scanning and by the heap."""
+    import random
+
+    import basketflow.llm.pieces as module
+
+    monkeypatch.setattr(module, "SHORT", short)
+    words = vocabulary()
+    assert words["merges"]
+    library, merging = sentencepiece.SentencePieceProcessor(model_file=VOCABULARY), Codec(words, merges=True)
+    assert [library.id_to_piece(i) for i in ids_of(merging, "The cat sat")] == ["▁The", "▁cat", "▁sat"]
+    draw = random.Random(7)
+    parts = ["a", "b", "the", " ", "  ", "é", "漢", "😀", MARK, "\n", "\u0000", "x", "in", "er", "́", "1"]
+    mixed = ["".join(draw.choices(parts, k=draw.choice([3, 20, 200]))) for _ in range(300)]
+    for text in [*TEXTS, *mixed, "ab" * 3000, " " * 100]:
+        assert ids_of(merging, text) == library.encode(text), text
+
+
+def test_ids_of_the_query_are_those_of_the_model(spark):
+    library = sentencepiece.SentencePieceProcessor(model_file=VOCABULARY)
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    rows = op6_sentencepiece(spark, "/root/testdata/sf0.001").collect()
+    assert {r.doc_id: list(r.token_ids) for r in rows} == {i: library.encode(t or "") for i, t in texts.items()}
+
+
+def test_bpe_models_with_other_pieces_are_refused(tmp_path):
+    from sentencepiece import sentencepiece_model_pb2 as model_pb
+
+    proto = model_pb.ModelProto()
+    with open(VOCABULARY, "rb") as source:
+        proto.ParseFromString(source.read())
+    proto.pieces[-1].type = model_pb.ModelProto.SentencePiece.USER_DEFINED
+    (tmp_path / "other.model").write_bytes(proto.SerializeToString())
+    with pytest.raises(ValueError):
+        vocabulary(str(tmp_path / "other.model"))
