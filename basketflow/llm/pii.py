@@ -7,8 +7,9 @@ Luhn, parts) and context (neighbouring characters, cue words before it). They le
 the texts themselves: one that meets a base span of its kind is a positive, any other a negative. The
 features are small integers, so equal ones are counted together in Spark, and only the ``CELLS`` most
 frequent combinations are collected to grow the trees. For each kind a threshold is set on a held-out
-quarter of the texts so that at least ``PRECISION`` of the selected proposals meet a base span. Proposals
-above it that meet no base span of their kind are added.
+quarter of the texts so that at least ``PRECISION`` of the selected proposals meet a base span. It is taken
+from all proposals of that quarter, however rare: Spark counts them by kind and rounded margin, and of these
+counts at most ``TOP`` a kind are collected. Proposals above it that meet no base span of their kind are added.
 
 Patterns are run with possessive loops and look-behinds, which find the same matches in time linear in
 the text and without deep recursion, however long a run of digits or letters is.
@@ -26,7 +27,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.llm.base import fresh, table, text_of
+from basketflow.llm.base import fresh, stored, table, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 #: Base patterns; the same matches as the plain forms.
@@ -48,10 +49,14 @@ NEEDS = {"email": r"@|[\[(]\s?at", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20./
 CUES = r"(?i)(mail|contact|write|tel|phone|call|fax|mobil|card|visa|pay|ip|addr|host|server)\W{0,3}\w{0,6}\W{0,3}$"
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 FEATURES = ("kind", "digits", "width", "parts", "luhn", "octets", "plus", "left", "right", "cue", "domain")
+#: Combinations of features that the trees are grown on; thresholds take all of them.
 CELLS = 4096
 ROUNDS = 24
 RATE = 0.4
 PRECISION = 0.99
+#: Margins are rounded up to parts of ``STEP``; those beyond ``TOP`` such parts count as one.
+STEP = 128
+TOP = 4096
 CALIBRATE = 4
 
 
@@ -155,6 +160,7 @@ class Trees:
     def __init__(self) -> None:
         self.trees: list[tuple] = []
         self.bias = 0.0
+        #: For each kind the least rounded margin that is selected.
         self.thresholds: dict[int, float] = {}
 
     def margin(self, x: tuple) -> float:
@@ -175,10 +181,14 @@ class Trees:
             total = total + F.when(x[FEATURES[f]] > cut, leaf(high_side)).otherwise(leaf(low_side))
         return total
 
+    def rounded(self, x: Column) -> Column:
+        """The margin in parts of ``STEP``, 1 at least for a margin above 0."""
+        return F.ceil(F.least(self.score(x) * STEP, F.lit(float(TOP)))).cast("int")
+
     def chosen(self, x: Column) -> Column:
         test = F.lit(False)
         for kind, threshold in self.thresholds.items():
-            test = F.when(x["kind"] == kind, self.score(x) >= threshold).otherwise(test)
+            test = F.when(x["kind"] == kind, self.rounded(x) >= threshold).otherwise(test)
         return test
 
 
@@ -233,28 +243,33 @@ def fit(docs: DataFrame) -> Trees:
     """Trees from the texts' own proposals."""
     rows = docs.select(text_of().alias("t")).select("t", base_spans(F.col("t")).alias("b"))
     rows = rows.select((F.pmod(F.xxhash64("t"), F.lit(CALIBRATE)) == 0).alias("held"), F.explode(proposals(F.col("t"), F.col("b"))).alias("p"))
-    counts = (
+    counts = stored(
         rows.groupBy(*[F.col(f"p.{name}") for name in FEATURES], "held")
-        .agg(F.count_if("p.met").alias("pos"), F.count_if(~F.col("p.met")).alias("neg"))
-        .orderBy(F.desc(F.col("pos") + F.col("neg")), *FEATURES, "held")
-        .limit(CELLS)
-        .collect()
+        .agg(F.count_if("p.met").alias("pos"), F.count_if(~F.col("p.met")).alias("neg")),
+        "pii-cells",
     )
-    cells = {held: [(tuple(r[name] for name in FEATURES), r.pos, r.neg) for r in counts if r.held == held] for held in (False, True)}
-    if not sum(c[1] for c in cells[False]):
+    often = counts.filter(~F.col("held")).orderBy(F.desc(F.col("pos") + F.col("neg")), *FEATURES).limit(CELLS).collect()
+    cells = [(tuple(r[name] for name in FEATURES), r.pos, r.neg) for r in often]
+    if not sum(c[1] for c in cells):
         return Trees()
-    model = boost(cells[False])
-    for kind in range(len(KINDS)):
-        ranked = sorted(((model.margin(x), pos, neg) for x, pos, neg in cells[True] if x[0] == kind), reverse=True)
-        pos = neg = 0
-        for i, (margin, p, n) in enumerate(ranked):
-            pos, neg = pos + p, neg + n
-            last = i + 1 == len(ranked) or ranked[i + 1][0] < margin
-            if last and pos >= PRECISION * (pos + neg) and margin > 0:
-                model.thresholds[kind] = margin
+    model = boost(cells)
+    model.thresholds = calibrated(model, counts.filter("held"))
     return model
 
 
+def calibrated(model: Trees, counts: DataFrame) -> dict[int, float]:
+    """For each kind the least rounded margin above 0 from which on ``PRECISION`` is met over all of ``counts``."""
+    margins = counts.select("kind", model.rounded(F.struct(*FEATURES)).alias("margin"), "pos", "neg").filter("margin > 0")
+    sums = margins.groupBy("kind", "margin").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).collect()
+    thresholds, seen = {}, {kind: [0, 0] for kind in range(len(KINDS))}
+    for r in sorted(sums, key=lambda r: r.margin, reverse=True):
+        total = seen[r.kind]
+        total[0], total[1] = total[0] + r.pos, total[1] + r.neg
+        if total[0] >= PRECISION * sum(total):
+            thresholds[r.kind] = r.margin
+    return thresholds
+
+
 def with_spans(docs: DataFrame, model: Trees) -> tuple[DataFrame, str]:
     """``docs`` with one more column: a struct of the base spans and all spans, both in order."""
     text, base, into = fresh(docs, "pii_text"), fresh(docs, "pii_base"), fresh(docs, "pii")

@@ -106,3 +106,21 @@ def test_overlapping_kinds_are_redacted_once(spark):
 
 def test_no_python_in_the_plan(spark):
     assert "Python" not in pii.op3_pii(spark, SMALL)._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("n_decoys, added", [(60, False), (1, True)])
+def test_thresholds_count_rare_proposals(spark, monkeypatch, n_decoys, added):
+    """Held-out proposals whose features are too rare to grow trees on still decide the threshold."""
+    monkeypatch.setattr(pii, "CELLS", 2)
+    word = lambda i: "".join(chr(97 + int(c)) for c in str(i))
+    good = [(i, f"write to somebody@example.org now {word(i)}") for i in range(1600)]
+    rare = [(10_000 + i, f"write to some{'b' * (i % 12)}@localhost now {word(i)}") for i in range(12 * n_decoys)]
+    held = F.pmod(F.xxhash64("text"), F.lit(pii.CALIBRATE)) == 0
+    texts = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    decoys = texts(rare).filter(held).orderBy("doc_id").limit(n_decoys)
+    assert decoys.count() == n_decoys
+    docs = texts(good).unionAll(decoys)
+    rows, found = pii.with_spans(docs, pii.fit(docs))
+    n = {r.doc_id: r.n for r in rows.select("doc_id", F.size(f"{found}.all").alias("n")).collect()}
+    assert all(n[i] == 1 for i, _ in good)
+    assert sum(n[i] for i in n if i >= 10_000) == (n_decoys if added else 0)
