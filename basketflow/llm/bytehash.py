@@ -71,14 +71,43 @@ class Ranges:
         return (sums[ends] - sums[starts]) * self.inverses[starts]
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and for each text the number of words before it (and in all)."""
-    white = WHITE[data]
-    edge = np.zeros(len(data) + 1, bool)
+def runs(member: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs of marked bytes that no text border cuts, and for each text the number
+    of runs before it (and in all)."""
+    edge = np.zeros(len(member) + 1, bool)
     edge[offsets] = True
-    begins = ~white
-    begins[1:] &= white[:-1] | edge[1:-1]
-    stops = ~white
-    stops[:-1] &= white[1:] | edge[1:-1]
+    begins = member.copy()
+    begins[1:] &= ~member[:-1] | edge[1:-1]
+    stops = member.copy()
+    stops[:-1] &= ~member[1:] | edge[1:-1]
     starts = np.flatnonzero(begins)
     return starts, np.flatnonzero(stops) + 1, np.searchsorted(starts, offsets)
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, and for each text the number of words before it (and in all)."""
+    return runs(~WHITE[data], offsets)
+
+
+#: Bytes with A to Z in lower case.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 0x20
+_CHUNK = 1 << 20
+
+
+def token_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of byte ranges that do not overlap: sums of a mixed number for each byte and its place. Unlike a
+    polynomial modulo a power of two it has no structure that regular texts could meet."""
+    out = np.zeros(len(starts), U64)
+    sizes = ends - starts
+    upto = np.cumsum(sizes)
+    low = 0
+    while low < len(starts):
+        before = upto[low] - sizes[low]
+        high = max(low + 1, int(np.searchsorted(upto, before + _CHUNK, "right")))
+        begin = upto[low:high] - sizes[low:high] - before
+        place = np.arange(upto[high - 1] - before) - np.repeat(begin, sizes[low:high])
+        bytes_of = data[np.repeat(starts[low:high], sizes[low:high]) + place].astype(U64)
+        out[low:high] = np.add.reduceat(mixed(bytes_of + (place.astype(U64) << U64(8)) + U64(1)), begin)
+        low = high
+    return mixed(out + sizes.astype(U64))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from basketflow.llm import chat, classifier, decontamination, jaccard, language_model, pieces, pii, quality_rules, sharding, suffix_dedup
+from basketflow.llm import chat, classifier, decontamination, jaccard, language_model, lexical_search, pieces, pii, quality_rules, sharding, suffix_dedup
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_chat": chat.op8_chat,
     "op9_lm_scoring": language_model.op9_lm_scoring,
     "op10_jaccard_join": jaccard.op10_jaccard_join,
+    "op13_lexical_search": lexical_search.op13_lexical_search,
 }
 
 ORACLE = {
     "op1_decontamination": decontamination.OP1_SQL,
     "op4_quality_rules": quality_rules.OP4_SQL,
     "op8_chat": chat.OP8_SQL,
+    "op13_lexical_search": lexical_search.OP13_SQL,
 }
