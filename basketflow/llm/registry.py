@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from basketflow.llm import chat, classifier, decontamination, jaccard, language_model, lexical_search, pieces, pii, quality_rules, setsketch, sharding, suffix_dedup
+from basketflow.llm import chat, classifier, conversation_repair, decontamination, jaccard, language_model, lexical_search, pieces, pii, quality_rules, setsketch, sharding, suffix_dedup
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_chat": chat.op8_chat,
     "op9_lm_scoring": language_model.op9_lm_scoring,
     "op10_jaccard_join": jaccard.op10_jaccard_join,
+    "op11_conversation_repair": conversation_repair.op11_conversation_repair,
     "op12_setsketch": setsketch.op12_setsketch,
     "op13_lexical_search": lexical_search.op13_lexical_search,
 }
