@@ -45,10 +45,12 @@ from basketflow.llm.components import components
 N = 4
 #: Similarity as a fraction of whole numbers.
 THRESHOLD = (4, 5)
-RECALL = 0.999999
-#: Base of the register values, and the largest of them.
-BASE = 1.2
-LARGEST = 254
+RECALL = 0.99999
+#: Base of the register values, and the largest of them. Two unrelated sets agree in a register with a probability of
+#: about (base - 1) / 4, so four registers hold 1 / 2.5e14 of all nodes together; a base of 1.2 holds 1 / 2.3e5, too many.
+BASE = 1.001
+LARGEST = 65_535
+REGISTER = np.dtype("<u2")
 ROWS = 4
 #: Rate of the exponential draws: keeps registers of single shingles above zero.
 RATE = 20.0
@@ -118,8 +120,8 @@ def _draws() -> np.ndarray:
 
 
 def registers(hashes: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    """Registers of the non-empty sets, a row each, as bytes."""
-    out = np.zeros((len(begin) - 1, REGISTERS), np.uint8)
+    """Registers of the non-empty sets, a row each."""
+    out = np.zeros((len(begin) - 1, REGISTERS), REGISTER)
     full = np.flatnonzero(np.diff(begin))
     if len(full):
         for k, draw in enumerate(_draws()):
@@ -170,7 +172,7 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 def merged(one: bytes, other: bytes) -> bytes:
     """The sketch of the union of two sets."""
-    return np.maximum(np.frombuffer(one, np.uint8), np.frombuffer(other, np.uint8)).tobytes()
+    return np.maximum(np.frombuffer(one, REGISTER), np.frombuffer(other, REGISTER)).tobytes()
 
 
 def plausible(size: np.ndarray, other_size: np.ndarray, more: np.ndarray, less: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -200,7 +202,7 @@ def plausible(size: np.ndarray, other_size: np.ndarray, more: np.ndarray, less:
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sketch = np.frombuffer(b"".join(batch["sketch"].to_pylist()), np.uint8).reshape(batch.num_rows, BANDS, ROWS)
+        sketch = np.frombuffer(b"".join(batch["sketch"].to_pylist()), REGISTER).reshape(batch.num_rows, BANDS, ROWS)
         keys = np.zeros((batch.num_rows, BANDS), U64)
         for k in range(ROWS):
             keys = mixed(keys * U64(5) + sketch[:, :, k].astype(U64))
@@ -218,7 +220,7 @@ def buckets(nodes: DataFrame) -> DataFrame:
 def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs that pass the likelihood, with their likeliest similarity."""
     for batch in batches:
-        one, two = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint8).reshape(batch.num_rows, REGISTERS) for c in ("a_sketch", "b_sketch"))
+        one, two = (np.frombuffer(b"".join(batch[c].to_pylist()), REGISTER).reshape(batch.num_rows, REGISTERS) for c in ("a_sketch", "b_sketch"))
         passes, likeliest = plausible(batch["a_size"].to_numpy(), batch["b_size"].to_numpy(), (one > two).sum(axis=1), (one < two).sum(axis=1))
         kept = pa.array(np.flatnonzero(passes))
         yield pa.RecordBatch.from_arrays([batch["a"].take(kept), batch["b"].take(kept), pa.array(likeliest[passes])], names=["a", "b", "likeliest"])
@@ -320,7 +322,7 @@ def _open_pairs(group: pa.Table, starts: np.ndarray) -> Iterator[tuple[np.ndarra
     """Pairs of rows of a group that must be compared: of different components, of both blocks if there are two, in
     no earlier band together, and passing the likelihood. A few at a time."""
     count = group.num_rows
-    sketch = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint8).reshape(count, REGISTERS)
+    sketch = np.frombuffer(b"".join(group["sketch"].to_pylist()), REGISTER).reshape(count, REGISTERS)
     block, size, low, high = (group[c].to_numpy() for c in ("block", "size", "low", "high"))
     label = np.unique(np.array(group["label"].to_pylist(), "S16"), return_inverse=True)[1]
     banded = sketch.reshape(count, BANDS, ROWS)
@@ -412,13 +414,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     known = stored(sketches(docs), "sketches")
     sample = F.min(F.struct("doc_id", "of")).alias("sample")
-    nodes = known.filter("node is not null").groupBy("node").agg(sample, F.first("size").alias("size"), F.first("sketch").alias("sketch"))
+    nodes = known.filter("node is not null").groupBy("node").agg(
+        sample, F.min("doc_id").alias("first_id"), F.first("size").alias("size"), F.first("sketch").alias("sketch")
+    )
     nodes = stored(nodes, "nodes")
-    labels = _labels(nodes, links(docs, nodes))
-    rows = stored(known.select("doc_id", "node", "size").join(labels, "node", "left").drop("node"), "labelled")
-    heads = rows.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("head")).withColumnRenamed("label", "of")
-    component = F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("head"))
-    return rows.join(heads, F.col("label") == F.col("of"), "left").select(
+    labels = stored(_labels(nodes, links(docs, nodes)).join(nodes.select("node", "first_id"), "node"), "components")
+    heads = labels.groupBy(F.col("label").alias("of")).agg(F.min("first_id").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    heads = stored(heads.select("of", "head", F.lit(True).alias("several")), "component-heads")
+    if heads.count() <= BROADCAST:
+        heads = F.broadcast(heads)
+    head = F.when(F.col("several"), F.col("head")).otherwise(F.col("first_id"))
+    component_of = labels.join(heads, F.col("label") == F.col("of"), "left").select(F.col("node").alias("of_node"), head.alias("head"))
+    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("head"))
+    return known.select("doc_id", "node", "size").join(component_of, F.col("node") == F.col("of_node"), "left").select(
         "doc_id", F.col("size").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )
 
