@@ -215,7 +215,6 @@ CSV_ROWS = [
     f',STORE0001,2024-04-10,"{ITEMS_CSV}"',
     ',STORE0001,2024-04-10 19:22:28,"[{""sku"": ""SKU00001"",\n""quantity"": 1}]"',
 ]
-CSV_HEADER = "transaction_id,supermarket_id,transaction_date,items"
 
 
 def broken_csv_folder(spark: SparkSession, sf_dir: str) -> str:
@@ -228,7 +227,7 @@ def broken_csv_folder(spark: SparkSession, sf_dir: str) -> str:
     rows = table(spark, sf_dir, "orders").select(
         (F.col("o_orderkey") % files).cast("int").alias("file"), F.lit(1).alias("place"), value.alias("value")
     )
-    heads = spark.range(files).select(F.col("id").cast("int").alias("file"), F.lit(0).alias("place"), F.lit(CSV_HEADER).alias("value"))
+    heads = spark.range(files).select(F.col("id").cast("int").alias("file"), F.lit(0).alias("place"), F.lit(schemas.CSV_HEADER).alias("value"))
     lines = rows.unionAll(heads).repartitionById(files, "file").sortWithinPartitions("place").select("value")
     return _stage(spark, sf_dir, "broken-csv", lines.write.text)
 
@@ -292,6 +291,25 @@ def redelivered_log_folder(spark: SparkSession, sf_dir: str) -> str:
     return _stage(spark, sf_dir, "redelivered-logs", write)
 
 
+def share_of(parts: int) -> Column:
+    """The part that a log line is in, by the number in its id; lines without one are in the first."""
+    number = F.regexp_extract("value", "TX([0-9]+)", 1)
+    return F.pmod(F.coalesce(F.when(number != "", number.cast("bigint")), F.lit(0)), F.lit(parts))
+
+
+def multi_line_csv_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The export with a line break after each comma of an item list, in two files."""
+    sent = transactions(spark, sf_dir)
+    spread = sent.select(
+        "transaction_id", "supermarket_id", "transaction_date",
+        F.regexp_replace(F.to_json("items"), ",", ",\n").alias("items"),
+    ).repartition(2)
+    return _stage(
+        spark, sf_dir, "multi-line-csv",
+        lambda folder: spread.write.option("header", True).option("quote", '"').option("escape", '"').csv(folder),
+    )
+
+
 def csv_file(spark: SparkSession, sf_dir: str) -> str:
     return _stage(
         spark, sf_dir, "csv", lambda folder: write_transactions_csv(transactions(spark, sf_dir), folder)

@@ -143,8 +143,25 @@ ORACLE: dict[str, str] = {
     "dedupe_transactions": _contents(f"2 * {_JUNK}"),
     "late_copies_dropped": _contents(f"3 * {_JUNK}"),
     "stream_late_files": _contents(_JUNK),
-    "stream_archive": _contents(_JUNK),
-    "compacted_readback": _contents(_JUNK),
+    "stream_archive": f"""
+        select *, 'archive' as place from ({_contents(_JUNK)}) union all select 'rejects', 'none', '0', 'incoming'
+    """,
+    "compacted_readback": f"""
+        select stored_in, transaction_id, content,
+               case when stored_in = 'rejects' then 'all'
+                    when cast(substr(transaction_id, 3) as bigint) % 4 < 3 then 'unit' else 'load' end as place
+        from ({_contents(_JUNK)}) union all select 'folders', 'none', '[3]', 'load'
+    """,
+    "csv_multi_line": _DETAILS,
+    "sales_on_quarter_ends": _with_tables(
+        """
+        select day, count(*) as transactions, cast(coalesce(sum(units), 0) as bigint) as units from (
+            select cast(date_trunc('month', h.transaction_date) as timestamp) as day, h.transaction_id, sum(d.quantity) as units
+            from headers h left join details d on d.transaction_id = h.transaction_id
+            where month(h.transaction_date) % 3 = 0 group by all
+        ) group by day
+        """
+    ),
     "csv_broken_rows": f"""
         select outcome, count(*) as lines from (
             select unnest(case o_orderkey % {len(CSV_ROWS)} {_OUTCOMES_OF_ORDER} end) as outcome from orders

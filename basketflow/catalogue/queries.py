@@ -11,16 +11,18 @@ from basketflow.catalogue import inputs
 from basketflow.functions import format_local_time, sku_key, store_key, transaction_key, zone_time
 from basketflow.operators import audit
 from basketflow.operators.decode import accepted, decode_csv_rows, decode_lines, rejected
-from basketflow.operators.dedupe import drop_already_loaded, drop_copies
+from basketflow.operators.dedupe import drop_copies
 from basketflow.operators.numbering import assign_transaction_ids
 from basketflow.operators.shred import details as shred_details
 from basketflow.operators.shred import headers as shred_headers
 from basketflow.operators.shred import to_log_line
 from basketflow.plans import reports, views
-from basketflow.sinks import append_load, overwrite_historical
-from basketflow.sinks.merge import merge_batches
+from basketflow.sinks import append_load, generations, overwrite_historical
+from basketflow.sinks.merge import arrange_load, merge_batches
+from basketflow.sinks.stored_copies import drop_stored_copies, settled
 from basketflow.sources import read_fact, read_log_lines, read_skus, read_supermarkets, read_transactions_csv
 from basketflow.streaming import read_live_sales, read_live_top_skus, start_ingest, start_live_sales
+from basketflow.streaming.archive import close_archive
 from basketflow.workspace import new_folder, path_exists
 
 # Where the two origins meet, the report's year, and the last day with a header in
@@ -121,6 +123,11 @@ def csv_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shred_headers(_csv_records(spark, sf_dir))
 
 
+def csv_multi_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of an export whose fields hold line breaks, its files read in splits."""
+    return shred_details(decode_csv_rows(read_transactions_csv(spark, inputs.multi_line_csv_folder(spark, sf_dir), multi_line=True)))
+
+
 def csv_broken_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What becomes of CSV rows broken in the ways an export can be, kept ones without a flag as well."""
     records = decode_csv_rows(read_transactions_csv(spark, inputs.broken_csv_folder(spark, sf_dir)))
@@ -212,9 +219,26 @@ def sales_by_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _facts_by_month(spark: SparkSession, sf_dir: str) -> str:
+    """A load laid out in folders of a month."""
+    folder = _log_facts(spark, sf_dir)
+    arrange_load(spark, folder, "realtime", "logs", period="month")
+    return folder
+
+
 def sales_by_store_dated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Over stored facts: the range cuts both scans."""
-    return _stored_sales(spark, sf_dir, _log_facts(spark, sf_dir), since=REPORT_SINCE, until=REPORT_UNTIL)
+    """Over stored facts laid out by month: the range cuts both scans to its folders."""
+    return _stored_sales(spark, sf_dir, _facts_by_month(spark, sf_dir), since=REPORT_SINCE, until=REPORT_UNTIL)
+
+
+def sales_on_quarter_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales of the last month of each quarter, over facts laid out by month: the set of months is a table, and only the
+    folders in it are read."""
+    folder = _facts_by_month(spark, sf_dir)
+    months = inputs.table(spark, sf_dir, "orders").select(F.trunc("o_orderdate", "month").alias("day")).distinct()
+    months = months.where(F.month("day") % 3 == 0)
+    sales = reports.sales_by_day(*[read_fact(spark, folder, name, stored=True, on_days=months) for name in ("headers", "details")])
+    return sales.withColumn("day", F.col("day").cast("timestamp_ntz"))
 
 
 def top_skus_by_units(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,8 +266,8 @@ def sales_after_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stored_sales(spark: SparkSession, sf_dir: str, folder: str, **dates: str) -> DataFrame:
     return reports.sales_by_store(
-        read_fact(spark, folder, "headers", stored=True),
-        read_fact(spark, folder, "details", stored=True),
+        read_fact(spark, folder, "headers", stored=True, **dates),
+        read_fact(spark, folder, "details", stored=True, **dates),
         inputs.skus(spark, sf_dir),
         inputs.supermarkets(spark, sf_dir),
         on="tx_key",
@@ -290,12 +314,14 @@ def dedupe_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def late_copies_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A whole second delivery after the first is stored adds nothing."""
+    """A whole second delivery after two loads are stored adds nothing; sketches tell which loads to look in."""
     folder = new_folder(spark, "facts")
-    append_load(_log_records(spark, sf_dir), folder, "first")
-    again = decode_lines(read_log_lines(spark, inputs.redelivered_log_folder(spark, sf_dir)))
-    stored = read_fact(spark, folder, "headers", stored=True)
-    append_load(drop_already_loaded(again, stored), folder, "second")
+    records = _log_records(spark, sf_dir)
+    earlier = F.col("tx.transaction_date") < ORIGIN_SPLIT
+    append_load(records.where(earlier), folder, "earlier", sketch=True)
+    append_load(records.where(~F.coalesce(earlier, F.lit(False))), folder, "later", sketch=True)
+    again = settled(decode_lines(read_log_lines(spark, inputs.redelivered_log_folder(spark, sf_dir))))
+    append_load(drop_stored_copies(again, folder), folder, "second")
     return _stored_contents(spark, folder)
 
 
@@ -440,54 +466,72 @@ def stream_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_contents(spark, facts)
 
 
+def _placed(headers: DataFrame, details: DataFrame, place: str) -> DataFrame:
+    """Whole tables as rows of text with the place that each row was found in."""
+    return _contents(headers.withColumn("place", F.lit(place)), details).withColumn("place", F.lit(place))
+
+
 def compacted_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three batches merged into one folder for each table, then one more."""
+    """Three batches merged into a unit, then one more; each row with where it lies. What the unit replaced is gone."""
     incoming, facts, progress = (new_folder(spark, name) for name in ("incoming", "facts", "progress"))
     lines = spark.read.text(inputs.log_folder(spark, sf_dir))
     for quarter in range(4):
-        inputs.deliver(spark, lines.where(F.pmod(F.xxhash64("value"), F.lit(4)) == quarter), incoming)
+        inputs.deliver(spark, lines.where(inputs.share_of(4) == quarter), incoming)
         query = start_ingest(spark, incoming, facts, progress, horizon=None)
         query.awaitTermination()
         if quarter == 2:
-            merge_batches(spark, facts, progress, query.id)
-    return _stored_contents(spark, facts)
+            for _ in range(2):  # what a merge replaced goes with the next one
+                merge_batches(spark, facts, progress, query.id, fan=3, base_bytes=1 << 40, keep_seconds=0)
+    tables = ("headers", "details")
+    parts = generations.parts(spark, facts, [*tables, "rejects"])
+    found = None
+    for kind, chosen in (("unit", [p for p in parts if p.run]), ("load", [p for p in parts if not p.run])):
+        rows = _placed(*[generations.read_parts(spark, facts, name, chosen) for name in tables], kind)
+        found = rows if found is None else found.unionAll(rows)
+    loads = sorted({number for name in tables for *_, number in generations.loads(spark, facts, name)})
+    folders = spark.range(1).select(F.lit("folders").alias("stored_in"), F.lit("none").alias("transaction_id"), F.lit(str(loads)).alias("content"), F.lit("load").alias("place"))
+    rejects = read_fact(spark, facts, "rejects").agg(F.count("*").cast("string").alias("content"))
+    return found.unionAll(folders).unionAll(rejects.select(F.lit("rejects"), F.lit("none"), "content", F.lit("all")))
 
 
 def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines by where they are after three deliveries with an archive; together they are those delivered."""
+    """Lines by where they are after three deliveries with an archive and the closing pass: all in the archive."""
     incoming, facts, progress, archive = (new_folder(spark, name) for name in ("incoming", "facts", "progress", "archive"))
     lines = spark.read.text(inputs.log_folder(spark, sf_dir))
     for third in range(3):
         inputs.deliver(spark, lines.where(F.pmod(F.xxhash64("value"), F.lit(3)) == third), incoming)
         _ingest(spark, incoming, facts, progress, horizon=None, archive_dir=archive)
-    moved = spark.read.option("recursiveFileLookup", True).text(archive) if path_exists(spark, archive) else spark.createDataFrame([], "value string")
-    left = spark.read.text(incoming)
-    records = decode_lines(moved.unionAll(left).select("value", F.lit("").alias("source_file"), F.current_timestamp().alias("arrived_at")))
-    return _contents(shred_headers(records), shred_details(records), rejected(records))
+    close_archive(spark, incoming, progress, archive)
+    found = None
+    for place, folder in (("archive", archive), ("incoming", incoming)):
+        lines = spark.read.schema("value string").option("recursiveFileLookup", True).text(folder) if path_exists(spark, folder) else spark.createDataFrame([], "value string")
+        records = decode_lines(lines.select("value", F.lit("").alias("source_file"), F.current_timestamp().alias("arrived_at")))
+        rows = _contents(shred_headers(records), shred_details(records), rejected(records)).withColumn("place", F.lit(place))
+        found = rows if found is None else found.unionAll(rows)
+    return found
 
 
 def stream_sales_by_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report of a stream that was started again with a new checkpoint."""
-    report = new_folder(spark, "live-sales")
-    for _ in range(2):
-        _live_sales(spark, sf_dir, report)
+    """The report of a stream that a new checkpoint began anew, was stopped and went on as more files landed."""
+    report, incoming = new_folder(spark, "live-sales"), new_folder(spark, "incoming")
+    _live_sales(spark, inputs.redelivered_log_folder(spark, sf_dir), report, new_folder(spark, "progress"), horizon=None)
+    lines, progress = spark.read.text(inputs.log_folder(spark, sf_dir)), new_folder(spark, "progress")
+    for third in range(3):
+        inputs.deliver(spark, lines.where(inputs.share_of(3) == third), incoming)
+        _live_sales(spark, incoming, report, progress, fan=2)
     live = read_live_sales(spark, report, inputs.skus(spark, sf_dir))
     return live.withColumn("sales", F.col("sales").cast("double"))
 
 
-def _live_sales(spark: SparkSession, sf_dir: str, report: str) -> None:
+def _live_sales(spark: SparkSession, folder: str, report: str, progress: str, **options) -> None:
     start_live_sales(
-        spark,
-        inputs.log_folder(spark, sf_dir),
-        report,
-        new_folder(spark, "progress"),
-        state_partitions=_state_partitions(spark),
+        spark, folder, report, progress, state_partitions=_state_partitions(spark), **options
     ).awaitTermination()
 
 
 def stream_top_skus(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = new_folder(spark, "live-sales")
-    _live_sales(spark, sf_dir, report)
+    _live_sales(spark, inputs.log_folder(spark, sf_dir), report, new_folder(spark, "progress"))
     return read_live_top_skus(spark, report, inputs.skus(spark, sf_dir), TOP_K)
 
 
@@ -532,6 +576,8 @@ QUERIES: dict[str, Query] = {
     "union_origins": union_origins,
     "preview": preview,
     "csv_broken_rows": csv_broken_rows,
+    "csv_multi_line": csv_multi_line,
+    "sales_on_quarter_ends": sales_on_quarter_ends,
     "sales_after_redelivery": sales_after_redelivery,
     "stream_late_files": stream_late_files,
     "stream_archive": stream_archive,

@@ -3,7 +3,9 @@
 historical  load a CSV export, replacing earlier historical rows
 live        load log files as they land, or what is there if no interval is given
 live-sales  keep units by store and SKU up to date while log files land
+live-report show units, sales and best-selling SKUs of the live-sales report at current prices
 merge       merge the folders of a stream's committed batches
+arrange     lay the rows of one load out by day, week or month
 sales       write the sales-by-store report
 top-skus    write the best-selling SKUs
 """
@@ -16,9 +18,10 @@ from basketflow.operators.decode import decode_csv_rows
 from basketflow.plans.reports import in_dates, once, sales_by_store, top_skus_by_sales, top_skus_by_units
 from basketflow.session import job_session
 from basketflow.sinks import overwrite_historical
-from basketflow.sinks.merge import merge_batches
+from basketflow.sinks.merge import arrange_load, merge_batches
 from basketflow.sources import read_fact, read_skus, read_supermarkets, read_transactions_csv
-from basketflow.streaming import start_ingest, start_live_sales
+from basketflow.streaming import read_live_sales, read_live_top_skus, start_ingest, start_live_sales
+from basketflow.streaming.archive import close_archive
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -28,6 +31,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     historical = jobs.add_parser("historical")
     historical.add_argument("--csv", required=True)
     historical.add_argument("--facts", required=True)
+    historical.add_argument("--multi-line", action="store_true", help="fields may hold line breaks")
 
     live = jobs.add_parser("live")
     live.add_argument("--input", required=True)
@@ -48,6 +52,19 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     merge.add_argument("--facts", required=True)
     merge.add_argument("--checkpoint", required=True)
     merge.add_argument("--stream", required=True, help="the id in the names of the stream's folders")
+    merge.add_argument("--period", choices=["day", "week", "month"], help="lay rows out in a folder for each")
+
+    arrange = jobs.add_parser("arrange")
+    arrange.add_argument("--facts", required=True)
+    arrange.add_argument("--origin", default="historical")
+    arrange.add_argument("--load", default="batch")
+    arrange.add_argument("--period", choices=["day", "week", "month"], default="day")
+
+    live_report = jobs.add_parser("live-report")
+    live_report.add_argument("--report", required=True)
+    live_report.add_argument("--skus", required=True)
+    live_report.add_argument("-k", type=int, default=10)
+    live_report.add_argument("--out", help="folder for the two tables; default: print them")
 
     live_sales = jobs.add_parser("live-sales")
     live_sales.add_argument("--input", required=True)
@@ -81,7 +98,7 @@ def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
     spark = job_session(f"basketflow-{args.job}")
     if args.job == "historical":
-        written = overwrite_historical(decode_csv_rows(read_transactions_csv(spark, args.csv)), args.facts)
+        written = overwrite_historical(decode_csv_rows(read_transactions_csv(spark, args.csv, multi_line=args.multi_line)), args.facts)
         print(written)
     elif args.job == "live":
         start_ingest(
@@ -100,8 +117,19 @@ def main(argv: list[str] | None = None) -> None:
             max_bytes=args.max_bytes,
             archive_dir=args.archive,
         ).awaitTermination()
+        if args.archive:
+            print(close_archive(spark, args.input, args.checkpoint, args.archive), "files moved")
     elif args.job == "merge":
-        print(merge_batches(spark, args.facts, args.checkpoint, args.stream))
+        print(merge_batches(spark, args.facts, args.checkpoint, args.stream, period=args.period))
+    elif args.job == "arrange":
+        print(arrange_load(spark, args.facts, args.origin, args.load, period=args.period))
+    elif args.job == "live-report":
+        skus = read_skus(spark, args.skus)
+        for name, rows in (("stores", read_live_sales(spark, args.report, skus)), ("skus", read_live_top_skus(spark, args.report, skus, args.k))):
+            if args.out:
+                rows.write.mode("overwrite").parquet(f"{args.out}/{name}")
+            else:
+                rows.show(1000, truncate=False)
     elif args.job == "live-sales":
         start_live_sales(
             spark,
@@ -114,14 +142,14 @@ def main(argv: list[str] | None = None) -> None:
             trigger={"processingTime": args.every} if args.every else None,
         ).awaitTermination()
     elif args.job == "top-skus":
-        details = in_dates(read_fact(spark, args.facts, "details", stored=True), args.since, args.until)
+        details = in_dates(read_fact(spark, args.facts, "details", stored=True, since=args.since, until=args.until), args.since, args.until)
         items = once(details, "tx_key", "sku", "quantity")
         best = top_skus_by_units if args.by == "units" else top_skus_by_sales
         best(items, read_skus(spark, args.skus), args.k).write.mode("overwrite").parquet(args.out)
     else:
         sales_by_store(
-            read_fact(spark, args.facts, "headers", stored=True),
-            read_fact(spark, args.facts, "details", stored=True),
+            read_fact(spark, args.facts, "headers", stored=True, since=args.since, until=args.until),
+            read_fact(spark, args.facts, "details", stored=True, since=args.since, until=args.until),
             read_skus(spark, args.skus),
             read_supermarkets(spark, args.supermarkets),
             since=args.since,

@@ -33,6 +33,29 @@ def once(rows: DataFrame, on: str, *columns: str) -> DataFrame:
     return rows.select(wanted).distinct() if on == "tx_key" else rows.select([c for c in wanted if c != "position"])
 
 
+def _records_once(headers: DataFrame) -> DataFrame:
+    """Each record's header once. Copies are equal, so any one will do; grouping by the key alone leaves the rows
+    where a join on it needs them."""
+    columns = ["transaction_id", "transaction_date", "supermarket_id"]
+    return headers.groupBy("tx_key").agg(*[F.first(name).alias(name) for name in columns])
+
+
+def _items_once(details: DataFrame) -> DataFrame:
+    """Each item of each record once, in place by ``tx_key``. A record's items are those of one line of text."""
+    items = details.groupBy("tx_key").agg(F.collect_set(F.struct("position", "sku", "quantity")).alias("items"))
+    return items.select("tx_key", F.explode("items").alias("item")).select("tx_key", "item.sku", "item.quantity")
+
+
+def sales_by_day(headers: DataFrame, details: DataFrame) -> DataFrame:
+    """Transactions and units by ``day``, over stored facts read with their ``day``, which ``read_fact`` may have cut to a
+    set of days."""
+    columns = ["day", "transaction_id", "transaction_date"]
+    records = headers.groupBy("tx_key").agg(*[F.first(name).alias(name) for name in columns])
+    units = _items_once(details).groupBy("tx_key").agg(F.sum("quantity").alias("units"))
+    sales = records.join(units, "tx_key", "left").groupBy(*columns).agg(F.sum("units").alias("units"))
+    return sales.groupBy("day").agg(F.count("*").alias("transactions"), F.coalesce(F.sum("units"), F.lit(0)).alias("units"))
+
+
 def header_lines(headers: DataFrame, details: DataFrame, on: str = "transaction_id") -> DataFrame:
     """Each detail with its header."""
     if on == "tx_key":
@@ -69,14 +92,19 @@ def sales_by_store(
     one row. The grouping by transaction and store needs no shuffle after a join on the id; it
     counts each transaction of a store once. Under ``tx_key`` a transaction is an id and a date.
 
-    Stored details carry the date of their header, so their scan is cut to the dates as well.
+    Stored details carry the date of their header, so their scan is cut to the dates as well. They are shuffled
+    once, by key: copies of an item fall together in the set of its record's items, within the task first, and the
+    join and the sums find their rows in place.
     """
     if "transaction_date" in details.columns:
         details = in_dates(details, since, until)
     sale = ["transaction_id"] if on == "transaction_id" else ["transaction_id", "transaction_date"]
-    wanted = once(in_dates(headers, since, until), on, *sale, "supermarket_id")
+    if on == "tx_key":
+        wanted, items = _records_once(in_dates(headers, since, until)), _items_once(details)
+    else:
+        wanted, items = once(in_dates(headers, since, until), on, *sale, "supermarket_id"), once(details, on, "sku", "quantity")
     by_transaction = (
-        once(details, on, "sku", "quantity")
+        items
         .join(skus.select("sku", in_cents(F.col("price")).alias("cents")), "sku")
         .groupBy(on)
         .agg(F.sum("quantity").alias("units"), F.sum(F.col("quantity") * F.col("cents")).alias("cents"))

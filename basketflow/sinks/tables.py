@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from basketflow import schemas
 from basketflow.functions import parse_local_time
 from basketflow.session import temporary_settings
+from basketflow.sinks import generations
+from basketflow.sinks.generations import Unit
+from basketflow.sinks.sketches import drop_sketch, write_sketch
 from basketflow.workspace import path_exists
 
 _NO_ITEM = "named_struct('sku', cast(null as string), 'quantity', cast(null as int))"
@@ -55,6 +58,7 @@ def fact_rows(records: DataFrame) -> DataFrame:
 
 def write_batch(rows: DataFrame, path: str, origin: str, stream_id: str, batch_id: int) -> None:
     """Write tagged fact rows as one load, replacing the rows of the same load if any."""
+    drop_sketch(rows.sparkSession, path, Unit(origin, stream_id, batch_id, batch_id, "", 0).name)
     placed = (
         rows.withColumn("origin", F.lit(origin))
         .withColumn("stream_id", F.lit(stream_id))
@@ -80,7 +84,7 @@ def _empty_partition(spark: SparkSession, folder: str, table: str) -> None:
     spark.range(0, 0, 1, 1).selectExpr(*stored).write.mode("overwrite").parquet(folder)
 
 
-def _replace_load(records: DataFrame, path: str, origin: str, load_id: str) -> dict[str, int]:
+def _replace_load(records: DataFrame, path: str, origin: str, load_id: str, sketch: bool) -> dict[str, int]:
     """Write a whole load and empty the tables it no longer has rows for.
 
     A dynamic overwrite leaves a partition alone when the new rows have none for it, so refused
@@ -97,17 +101,25 @@ def _replace_load(records: DataFrame, path: str, origin: str, load_id: str) -> d
         if count == 0:
             folder = f"{path}/table={name}/origin={origin}/stream_id={load_id}/batch_id=0"
             _empty_partition(records.sparkSession, folder, name)
+    spark, load = records.sparkSession, Unit(origin, load_id, 0, 0, "", 0)
+    # Rows laid out by date stand for the load as it was; from here on it is the new one, in one step.
+    generations.release(spark, path, origin, load_id, 0)
+    keys = generations.read_parts(spark, path, "headers", [load]) if sketch else None
+    if keys is not None:
+        write_sketch(spark, path, load.name, keys)
     return written
 
 
 def overwrite_historical(records: DataFrame, path: str) -> dict[str, int]:
     """Replace the historical rows of all fact tables; returns the rows written to each."""
-    return _replace_load(records, path, "historical", "batch")
+    return _replace_load(records, path, "historical", "batch", False)
 
 
-def append_load(records: DataFrame, path: str, load_id: str, origin: str = "realtime") -> dict[str, int]:
-    """Add a load to the fact tables; the same ``load_id`` again replaces it, not doubles it."""
-    return _replace_load(records, path, origin, load_id)
+def append_load(
+    records: DataFrame, path: str, load_id: str, origin: str = "realtime", *, sketch: bool = False
+) -> dict[str, int]:
+    """Add a load to the fact tables; the same ``load_id`` again replaces it, not doubles it. ``sketch`` stores a sketch of its keys."""
+    return _replace_load(records, path, origin, load_id, sketch)
 
 
 def write_transactions_csv(transactions: DataFrame, path: str) -> None:

@@ -1,0 +1,82 @@
+"""Layout by day, pruning, and the number of shuffles over stored facts."""
+
+import os
+import re
+
+from conftest import as_lines, log_line, plan_of, sale
+
+from basketflow.operators.decode import decode_lines
+from basketflow.plans.reports import sales_by_store, sales_by_day
+from basketflow.sinks import append_load, generations, overwrite_historical
+from basketflow.sinks.merge import arrange_load
+from basketflow.sources import read_fact
+
+
+def records(spark, numbers, year=2024):
+    return decode_lines(as_lines(spark, [log_line(sale(n, date=f"{year}-{n % 12 + 1:02d}-{n % 28 + 1:02d} 10:00:00")) for n in numbers] + ["banner"]))
+
+
+def read(spark, facts, **options):
+    return read_fact(spark, facts, "details", stored=True, **options)
+
+
+def test_days_outside_are_not_read(spark, tmp_path):
+    facts = str(tmp_path)
+    append_load(records(spark, range(60)), facts, "a")
+    append_load(records(spark, range(60, 72), 2025), facts, "b")
+    assert arrange_load(spark, facts, "realtime", "a", period="month").folders == 1
+    folder = generations.unit_folder(facts, generations.current(spark, facts).units[0], "details")
+    assert len([d for d in os.listdir(folder) if d.startswith("day=")]) == 12
+    rows = read(spark, facts, since="2024-03-05", until="2024-05-01")
+    assert re.search(r"PartitionFilters: \[[^]]*day#\d+ >= 2024-03-01", plan_of(rows))
+    assert {r.transaction_date.month for r in rows.collect() if r.transaction_date.year == 2024} == {3, 4}
+    assert read(spark, facts).count() == 72
+    assert read_fact(spark, facts, "rejects").count() == 2
+
+
+def test_days_of_rows_without_a_date_and_other_layouts(spark, tmp_path):
+    facts = str(tmp_path)
+    lost = decode_lines(as_lines(spark, [log_line(sale(1, date="bad")), log_line(sale(2))]))
+    overwrite_historical(lost, facts)
+    append_load(records(spark, [5]), facts, "b")
+    arrange_load(spark, facts, period="day")
+    days = {r.transaction_id: str(r.day) for r in read(spark, facts, days=True).collect()}
+    assert days == {"TX0000001": "None", "TX0000002": "2024-04-10", "TX0000005": "2024-06-06"}
+
+
+def test_a_load_that_is_run_again_replaces_its_layout_in_one_step(spark, tmp_path):
+    facts = str(tmp_path)
+    overwrite_historical(records(spark, range(10)), facts)
+    arrange_load(spark, facts, period="month", keep_seconds=0)
+    overwrite_historical(records(spark, range(3)), facts)
+    assert read(spark, facts).count() == 3 and not generations.current(spark, facts).units
+    arrange_load(spark, facts, period="month", keep_seconds=0)
+    assert read(spark, facts).count() == 3 and len(os.listdir(tmp_path / "_merged")) == 1
+
+
+def test_a_joined_set_of_days_prunes_folders(spark, tmp_path):
+    facts = str(tmp_path)
+    append_load(records(spark, range(60)), facts, "a")
+    arrange_load(spark, facts, "realtime", "a", period="month")
+    days = spark.createDataFrame([("2024-03-01",), ("2024-04-01",), ("2024-05-01",)], "day string").selectExpr("cast(day as date) as day")
+    chosen = days.where("month(day) <> 4")
+    out = sales_by_day(*[read_fact(spark, facts, t, stored=True, on_days=chosen) for t in ("headers", "details")])
+    assert plan_of(out).count("dynamicpruning") >= 2
+    assert {(str(r.day), r.transactions, r.units) for r in out.collect()} == {("2024-03-01", 5, 5), ("2024-05-01", 5, 5)}
+
+
+def test_details_are_shuffled_once(spark, tmp_path):
+    """Over stored facts: one exchange of details, one of headers, one of sales, one of stores."""
+    facts = str(tmp_path)
+    for load in ("a", "b"):
+        append_load(records(spark, range(40)), facts, load)
+    # A file, so that the planner knows how small it is.
+    spark.createDataFrame([("SKU00001", "x", 2.5)], "sku string, article_name string, price double").write.parquet(facts + "/_skus")
+    skus = spark.read.parquet(facts + "/_skus")
+    stores = spark.createDataFrame([("STORE0001", "one")], "supermarket_id string, supermarket_name string")
+    report = sales_by_store(*[read_fact(spark, facts, t, stored=True) for t in ("headers", "details")], skus, stores, on="tx_key")
+    shuffles = [line for line in plan_of(report).splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("tx_key" in line for line in shuffles) == 2
+    assert len([line for line in shuffles if "transaction_id" in line]) == 1
+    row = report.first()
+    assert (row.transactions, row.units, row.sales) == (40, 40, 100.0)

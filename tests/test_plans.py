@@ -2,6 +2,8 @@
 
 import random
 
+import re
+
 import pytest
 from conftest import SMALL, plan_of, write_lines, log_line, sale
 from pyspark.sql import functions as F
@@ -140,8 +142,9 @@ def test_top_k_keeps_k_rows_per_task(spark):
 
 def test_dated_report_cuts_both_scans(spark):
     plan = plan_of(QUERIES["sales_by_store_dated"](spark, SMALL))
-    scans = [line for line in plan.splitlines() if "FileScan" in line and "table=" in line]
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "_merged" in line]
     assert len(scans) == 2 and all("GreaterThanOrEqual(transaction_date" in scan for scan in scans)
+    assert all(re.search(r"PartitionFilters: \[[^]]*day#\d+ >= 1997-01-01[^]]*day#\d+ < 1998", scan) for scan in scans)
 
 
 def test_late_copies_do_not_shuffle_the_history(spark, records, tmp_path):
