@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from basketflow import schemas
+from basketflow.files import Files
 from basketflow.functions import format_local_time, sku_key, store_key, transaction_key
 from basketflow.operators.shred import to_log_line
 from basketflow.sinks import write_skus_csv, write_supermarkets_csv, write_transactions_csv
@@ -297,6 +298,28 @@ def share_of(parts: int) -> Column:
     return F.pmod(F.coalesce(F.when(number != "", number.cast("bigint")), F.lit(0)), F.lit(parts))
 
 
+# Parts of the log lines: how they are sent, in a folder with broken files.
+SENT_PLAIN, SENT_PACKED, SENT_BROKEN = 0, 1, 2
+BROKEN_FILES = 2
+
+
+def part_broken_log_folder(spark: SparkSession, sf_dir: str) -> str:
+    """A third of the log lines in plain files, one in compressed files, and one in compressed files cut off half-way."""
+
+    def write(folder: str) -> None:
+        lines = spark.read.text(log_folder(spark, sf_dir))
+        broken = new_folder(spark, "broken-files")
+        lines.where(share_of(3) == SENT_BROKEN).repartition(BROKEN_FILES).write.option("compression", "gzip").text(broken)
+        files = Files(spark, folder)
+        for number, path in enumerate(p for p in files.below(broken) if p.endswith(".gz")):
+            files.halve(path)
+            files.move(path, f"{folder}/broken-{number}.txt.gz")
+        lines.where(share_of(3) == SENT_PLAIN).write.mode("append").text(folder)
+        lines.where(share_of(3) == SENT_PACKED).write.mode("append").option("compression", "gzip").text(folder)
+
+    return _stage(spark, sf_dir, "part-broken-logs", write)
+
+
 def multi_line_csv_folder(spark: SparkSession, sf_dir: str) -> str:
     """The export with a line break after each comma of an item list, in two files."""
     sent = transactions(spark, sf_dir)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from basketflow.catalogue.inputs import BROKEN_KINDS, CSV_ROWS, FLAWS, RECORD_ITEMS
+from basketflow.catalogue.inputs import BROKEN_FILES, BROKEN_KINDS, CSV_ROWS, FLAWS, RECORD_ITEMS, SENT_BROKEN
 from basketflow.catalogue.queries import HEADERS_UNTIL, ORIGIN_SPLIT, PREVIEW, REPORT_SINCE, REPORT_UNTIL, TOP_K
 
 SUPERMARKETS = """
@@ -69,6 +69,11 @@ _FLAW_FLAGS = [
 assert len(_FLAW_FLAGS) == len(FLAWS)
 _FLAGS_OF_ORDER = " ".join(f"when {kind} then {flags}::varchar[]" for kind, flags in enumerate(_FLAW_FLAGS))
 
+# Quantities of the items that are read from each flawed line (0 for one that cannot be), in the order of the flaws.
+_FLAW_ITEMS = [[1], [1], [], [], [], [0], [0], []]
+assert len(_FLAW_ITEMS) == len(FLAWS)
+_ITEMS_OF_ORDER = " ".join(f"when {kind} then {items}::integer[]" for kind, items in enumerate(_FLAW_ITEMS))
+
 # A header for each record that an order comes as.
 _SENT = f"""
     select * exclude (part) from (
@@ -153,6 +158,40 @@ ORACLE: dict[str, str] = {
         from ({_contents(_JUNK)}) union all select 'folders', 'none', '[3]', 'load'
     """,
     "csv_multi_line": _DETAILS,
+    "stream_broken_files": f"""
+        select stored_in, transaction_id, content from ({_contents("0")})
+        where stored_in <> 'rejects' and cast(substr(transaction_id, 3) as bigint) % 3 <> {SENT_BROKEN}
+        union all select 'rejects', 'bad_file', '{BROKEN_FILES}'
+        union all select 'rejects', unnest(['bad_line', 'not_json']), cast(count(*) as varchar) from conversations
+    """,
+    "load_checks": _with_tables(
+        f"""
+        , flawed as (select unnest(case o_orderkey % {len(FLAWS)} {_FLAGS_OF_ORDER} end) as flag from orders),
+        parsed as (select unnest(case o_orderkey % {len(FLAWS)} {_ITEMS_OF_ORDER} end) as quantity from orders)
+        select 'headers' as rule, (select count(*) from ({_SENT})) + (select count(*) from orders) as rows
+        union all select 'details', (select count(*) from details) + (select count(*) from parsed)
+        union all select 'rejects', 2 * count(*) from conversations
+        union all select unnest(['bad_line', 'not_json']), count(*) from conversations
+        union all select unnest(['no_log', 'not_object', 'no_id', 'null_id', 'bad_row', 'bad_file']), 0
+        union all select f.flag, (select count(*) from flawed w where w.flag = f.flag)
+            from (select unnest(['bad_date', 'bad_items', 'null_item', 'bad_quantity']) as flag) f
+        union all select 'quantity_range', (select count(*) from details where quantity < 1 or quantity > 5)
+            + (select count(*) from parsed where quantity = 0)
+        union all select 'sku_format', count(*) from details where not regexp_full_match(sku, 'SKU[0-9]{{5,}}')
+        union all select 'detail_transaction_format', count(*) from details where not regexp_full_match(transaction_id, 'TX[0-9]{{7,}}')
+        union all select 'store_format', (select count(*) from headers where not regexp_full_match(supermarket_id, 'STORE[0-9]{{4,}}'))
+            + (select count(*) from orders)
+        union all select 'header_transaction_format', count(*) from headers where not regexp_full_match(transaction_id, 'TX[0-9]{{7,}}')
+        """
+    ),
+    "orphans_by_load": _with_tables(
+        f"""
+        select d.* from details d where not exists (
+            select 1 from headers h
+            where h.transaction_id = d.transaction_id and h.transaction_date < timestamp '{HEADERS_UNTIL}'
+        )
+        """
+    ),
     "sales_on_quarter_ends": _with_tables(
         """
         select day, count(*) as transactions, cast(coalesce(sum(units), 0) as bigint) as units from (

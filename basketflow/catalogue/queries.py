@@ -17,12 +17,15 @@ from basketflow.operators.shred import details as shred_details
 from basketflow.operators.shred import headers as shred_headers
 from basketflow.operators.shred import to_log_line
 from basketflow.plans import reports, views
-from basketflow.sinks import append_load, generations, overwrite_historical
+from basketflow.sinks import append_load, fact_rows, generations, overwrite_historical, write_batch
 from basketflow.sinks.merge import arrange_load, merge_batches
+from basketflow.sinks.orphans import audit_new_loads
+from basketflow.sinks.sketches import write_sketch
 from basketflow.sinks.stored_copies import drop_stored_copies, settled
 from basketflow.sources import read_fact, read_log_lines, read_skus, read_supermarkets, read_transactions_csv
 from basketflow.streaming import read_live_sales, read_live_top_skus, start_ingest, start_live_sales
 from basketflow.streaming.archive import close_archive
+from basketflow.streaming.checks import read_checks
 from basketflow.workspace import new_folder, path_exists
 
 # Where the two origins meet, the report's year, and the last day with a header in
@@ -494,6 +497,43 @@ def compacted_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.unionAll(folders).unionAll(rejects.select(F.lit("rejects"), F.lit("none"), "content", F.lit("all")))
 
 
+def stream_broken_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder with compressed files that were cut off: they are set aside, the others load."""
+    facts = new_folder(spark, "facts")
+    folder = inputs.part_broken_log_folder(spark, sf_dir)
+    _ingest(spark, folder, facts, new_folder(spark, "progress"), horizon=None, set_aside_broken=True)
+    rejects = read_fact(spark, facts, "rejects")
+    reasons = rejects.groupBy("reason").agg(F.count("*").cast("string").alias("content"))
+    stored = _contents(read_fact(spark, facts, "headers"), read_fact(spark, facts, "details"))
+    return stored.unionAll(reasons.select(F.lit("rejects"), "reason", "content"))
+
+
+def load_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refused lines, flags and broken rules of a load of several batches, counted while each was written."""
+    facts, incoming, progress = (new_folder(spark, name) for name in ("facts", "incoming", "progress"))
+    lines = spark.read.text(inputs.log_folder(spark, sf_dir)).unionAll(spark.read.text(inputs.flawed_log_folder(spark, sf_dir)))
+    for half in range(2):
+        inputs.deliver(spark, lines.where(inputs.share_of(2) == half), incoming)
+        _ingest(spark, incoming, facts, progress, horizon=None, checks=True)
+    return read_checks(spark, facts).groupBy("rule").agg(F.sum("rows").alias("rows"))
+
+
+def orphans_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items without a header after three loads, each audited as it came: a header comes a load before its items, a load
+    after them, or never."""
+    facts, state = new_folder(spark, "facts"), new_folder(spark, "orphans")
+    rows = fact_rows(_log_records(spark, sf_dir))
+    third = F.pmod(F.substring("transaction_id", 3, 20).cast("bigint"), F.lit(3))
+    for number in range(3):
+        items = (F.col("table") == "details") & (third == number)
+        heads = (F.col("table") == "headers") & (third == (number + 2) % 3) & (F.col("transaction_date") < F.lit(HEADERS_UNTIL).cast("timestamp_ntz"))
+        write_batch(rows.where(items | heads), facts, "realtime", "split", number)
+        load = generations.Unit("realtime", "split", number, number, "", 0)
+        write_sketch(spark, facts, load.name, generations.read_parts(spark, facts, "headers", [load]))
+        found = audit_new_loads(spark, facts, state)
+    return found.select("transaction_id", "sku", "quantity")
+
+
 def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines by where they are after three deliveries with an archive and the closing pass: all in the archive."""
     incoming, facts, progress, archive = (new_folder(spark, name) for name in ("incoming", "facts", "progress", "archive"))
@@ -577,6 +617,9 @@ QUERIES: dict[str, Query] = {
     "preview": preview,
     "csv_broken_rows": csv_broken_rows,
     "csv_multi_line": csv_multi_line,
+    "stream_broken_files": stream_broken_files,
+    "load_checks": load_checks,
+    "orphans_by_load": orphans_by_load,
     "sales_on_quarter_ends": sales_on_quarter_ends,
     "sales_after_redelivery": sales_after_redelivery,
     "stream_late_files": stream_late_files,

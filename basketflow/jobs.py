@@ -3,6 +3,8 @@
 historical  load a CSV export, replacing earlier historical rows
 live        load log files as they land, or what is there if no interval is given
 live-sales  keep units by store and SKU up to date while log files land
+checks      show what the batches of a load held, as counted while they were written
+orphans     count items without a header, reading only what is new since the last run
 live-report show units, sales and best-selling SKUs of the live-sales report at current prices
 merge       merge the folders of a stream's committed batches
 arrange     lay the rows of one load out by day, week or month
@@ -19,9 +21,11 @@ from basketflow.plans.reports import in_dates, once, sales_by_store, top_skus_by
 from basketflow.session import job_session
 from basketflow.sinks import overwrite_historical
 from basketflow.sinks.merge import arrange_load, merge_batches
+from basketflow.sinks.orphans import audit_new_loads
 from basketflow.sources import read_fact, read_skus, read_supermarkets, read_transactions_csv
 from basketflow.streaming import read_live_sales, read_live_top_skus, start_ingest, start_live_sales
 from basketflow.streaming.archive import close_archive
+from basketflow.streaming.checks import read_checks
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -46,6 +50,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     live.add_argument("--archive-threads", type=int, default=1)
     live.add_argument("--files", type=int, help="at most so many files for each table and batch")
     live.add_argument("--state-partitions", type=int, help="tasks that keep the keys; fixed at the first start")
+    live.add_argument("--checks", action="store_true", help="count faults of each batch while it is written")
+    live.add_argument("--set-aside-broken", action="store_true", help="refuse compressed files that cannot be unpacked")
     live.add_argument("--check-stored", action="store_true", help="also drop copies of what earlier loads stored")
 
     merge = jobs.add_parser("merge")
@@ -60,6 +66,13 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     arrange.add_argument("--load", default="batch")
     arrange.add_argument("--period", choices=["day", "week", "month"], default="day")
 
+    checks = jobs.add_parser("checks")
+    checks.add_argument("--facts", required=True)
+
+    orphans = jobs.add_parser("orphans")
+    orphans.add_argument("--facts", required=True)
+    orphans.add_argument("--state", required=True, help="folder that carries open items from run to run")
+
     live_report = jobs.add_parser("live-report")
     live_report.add_argument("--report", required=True)
     live_report.add_argument("--skus", required=True)
@@ -112,6 +125,8 @@ def main(argv: list[str] | None = None) -> None:
             state_partitions=args.state_partitions,
             archive_threads=args.archive_threads,
             check_stored=args.check_stored,
+            checks=args.checks,
+            set_aside_broken=args.set_aside_broken,
             trigger={"processingTime": args.every} if args.every else None,
             max_files=args.max_files,
             max_bytes=args.max_bytes,
@@ -123,6 +138,10 @@ def main(argv: list[str] | None = None) -> None:
         print(merge_batches(spark, args.facts, args.checkpoint, args.stream, period=args.period))
     elif args.job == "arrange":
         print(arrange_load(spark, args.facts, args.origin, args.load, period=args.period))
+    elif args.job == "checks":
+        read_checks(spark, args.facts).where("rows > 0").orderBy("stream_id", "batch_id", "rule").show(10_000, truncate=False)
+    elif args.job == "orphans":
+        print(audit_new_loads(spark, args.facts, args.state).count(), "items without a header")
     elif args.job == "live-report":
         skus = read_skus(spark, args.skus)
         for name, rows in (("stores", read_live_sales(spark, args.report, skus)), ("skus", read_live_top_skus(spark, args.report, skus, args.k))):

@@ -89,18 +89,43 @@ def _as_rows(checks: DataFrame) -> DataFrame:
     return checks.unpivot([], checks.columns, "rule", "violations")
 
 
+def _detail_rules() -> dict[str, Column]:
+    return {
+        "quantity_range": F.col("quantity").between(schemas.MIN_QUANTITY, schemas.MAX_QUANTITY),
+        "sku_format": _key_shape("sku", schemas.SKU_PREFIX, schemas.SKU_DIGITS),
+        "detail_transaction_format": _key_shape("transaction_id", schemas.TRANSACTION_PREFIX, schemas.TRANSACTION_DIGITS),
+    }
+
+
+def _header_rules() -> dict[str, Column]:
+    return {
+        "store_format": _key_shape("supermarket_id", schemas.STORE_PREFIX, schemas.STORE_DIGITS),
+        "header_transaction_format": _key_shape("transaction_id", schemas.TRANSACTION_PREFIX, schemas.TRANSACTION_DIGITS),
+    }
+
+
+def load_checks() -> dict[str, Column]:
+    """Counts over the tagged rows of a load: rows of each table, refused lines by reason, records by flag, and rows
+    that break a rule. Each is an aggregate, so that they can be observed while the rows are written."""
+    def of(table: str, rule: Column) -> Column:
+        return F.count_if((F.col("table") == table) & rule)
+
+    def broken(rule: Column) -> Column:
+        return ~F.coalesce(rule, F.lit(False))
+
+    return {
+        **{table: of(table, F.lit(True)) for table in schemas.FACT_SCHEMAS},
+        **{reason: of("rejects", F.col("reason") == reason) for reason in schemas.REJECT_REASONS},
+        **{flag: of("headers", F.array_contains("flags", flag)) for flag in schemas.FLAGS},
+        **{name: of("details", broken(rule)) for name, rule in _detail_rules().items()},
+        **{name: of("headers", broken(rule)) for name, rule in _header_rules().items()},
+    }
+
+
 def domain_violations(headers: DataFrame, details: DataFrame) -> DataFrame:
     """One row per rule with the number of rows that break it."""
-    tx = ("transaction_id", schemas.TRANSACTION_PREFIX, schemas.TRANSACTION_DIGITS)
-    of_details = details.agg(
-        _broken(F.col("quantity").between(schemas.MIN_QUANTITY, schemas.MAX_QUANTITY)).alias("quantity_range"),
-        _broken(_key_shape("sku", schemas.SKU_PREFIX, schemas.SKU_DIGITS)).alias("sku_format"),
-        _broken(_key_shape(*tx)).alias("detail_transaction_format"),
-    )
-    of_headers = headers.agg(
-        _broken(_key_shape("supermarket_id", schemas.STORE_PREFIX, schemas.STORE_DIGITS)).alias("store_format"),
-        _broken(_key_shape(*tx)).alias("header_transaction_format"),
-    )
+    of_details = details.agg(*[_broken(rule).alias(name) for name, rule in _detail_rules().items()])
+    of_headers = headers.agg(*[_broken(rule).alias(name) for name, rule in _header_rules().items()])
     of_baskets = basket_sizes(headers, details).agg(
         _broken(F.col("items").between(schemas.MIN_BASKET, schemas.MAX_BASKET)).alias("basket_size")
     )

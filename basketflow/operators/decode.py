@@ -97,8 +97,11 @@ def decode_lines(lines: DataFrame) -> DataFrame:
     """Log lines (``value``, ``source_file``, ``arrived_at``) to records.
 
     Each line is a JSON object whose ``log`` value is itself JSON text. ``from_json`` can give a
-    struct of nulls, not null, for text it cannot read, so the test is on the transaction id.
+    struct of nulls, not null, for text it cannot read, so the test is on the transaction id. A file that
+    could not be read comes as one row with the reason in ``unreadable``.
     """
+    if "unreadable" not in lines.columns:
+        lines = lines.withColumn("unreadable", F.lit(None).cast("string"))
     opened = lines.withColumn("envelopes", _parse_alone("value", schemas.ENVELOPE_TYPE)).withColumn(
         "log", _only_element("envelopes")["log"]
     )
@@ -110,9 +113,9 @@ def decode_lines(lines: DataFrame) -> DataFrame:
     return parsed.select(
         "tx",
         F.when(~refused, _key_of(F.col("log"))).alias("tx_key"),
-        F.when(refused, _reject_reason()).alias("reason"),
+        F.when(F.col("unreadable").isNotNull(), "bad_file").when(refused, _reject_reason()).alias("reason"),
         F.when(~refused, _flags(items_text)).alias("flags"),
-        F.when(refused, F.col("value")).alias("raw"),
+        F.coalesce("unreadable", F.when(refused, F.col("value"))).alias("raw"),
         "source_file",
         "arrived_at",
     )

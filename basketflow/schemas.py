@@ -45,6 +45,6 @@ STORE_ZONE = "Europe/Madrid"
 DATE_SHAPE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z"
 
 # Reasons a line is refused; each refused line has exactly one.
-REJECT_REASONS = ["bad_line", "no_log", "not_json", "not_object", "no_id", "null_id", "bad_row"]
+REJECT_REASONS = ["bad_line", "no_log", "not_json", "not_object", "no_id", "null_id", "bad_row", "bad_file"]
 # Notes on a kept record; a record may carry several.
 FLAGS = ["bad_date", "bad_items", "null_item", "bad_quantity"]

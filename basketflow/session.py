@@ -55,4 +55,6 @@ def stream_settings(state_partitions: int | None) -> dict[str, str | int | None]
     return {
         "spark.sql.shuffle.partitions": state_partitions,
         "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+        # Rows that go to Python here are whole files.
+        "spark.sql.execution.arrow.maxRecordsPerBatch": 4,
     }

@@ -9,6 +9,7 @@ from basketflow import schemas
 from basketflow.functions import money
 from basketflow.sinks import generations
 from basketflow.sources.multi_line import read_records
+from basketflow.sources.packed import BINARY, PACKED, PLAIN, unpacked, with_no_fault
 from basketflow.workspace import path_exists
 
 
@@ -54,9 +55,14 @@ def read_supermarkets(spark: SparkSession, path: str) -> DataFrame:
     return _quoted_csv(spark, schemas.CSV_SUPERMARKETS).csv(path)
 
 
-def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Log lines as text: no inference pass, and lines that are not JSON stay visible."""
-    return _with_lineage(spark.read.text(path))
+def read_log_lines(spark: SparkSession, path: str, *, set_aside_broken: bool = False) -> DataFrame:
+    """Log lines as text: no inference pass, and lines that are not JSON stay visible. ``set_aside_broken`` gives
+    a compressed file that cannot be unpacked as one row that says so, instead of failing."""
+    if not set_aside_broken:
+        return _with_lineage(spark.read.text(path))
+    plain = with_no_fault(_with_lineage(spark.read.option("pathGlobFilter", PLAIN).text(path)))
+    packed = unpacked(spark.read.format("binaryFile").option("pathGlobFilter", PACKED).load(path))
+    return plain.unionByName(packed.withColumn("arrived_at", F.current_timestamp()))
 
 
 def stream_log_lines(
@@ -67,6 +73,7 @@ def stream_log_lines(
     max_bytes: int | None = None,
     archive_dir: str | None = None,
     max_file_age: str = "36500d",
+    set_aside_broken: bool = False,
 ) -> DataFrame:
     """The same lines from files as they land.
 
@@ -78,17 +85,25 @@ def stream_log_lines(
     Spark ignores a file for good when it is older than ``maxFileAge`` against the newest one
     seen. A late file must be loaded, so the default here never cuts. The list of files seen then
     grows with the folder; the archive keeps both small.
+
+    ``set_aside_broken`` reads compressed files by a second source, which gives each whole or as one row that says
+    why not; the bounds of a batch hold for either source. It must not change under a checkpoint.
     """
     if max_files and max_bytes:
         raise ValueError("give max_files or max_bytes, not both")
-    reader = spark.readStream.format("text").option("maxFileAge", max_file_age)
+    options = {"maxFileAge": max_file_age}
     if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+        options["maxFilesPerTrigger"] = str(max_files)
     if max_bytes:
-        reader = reader.option("maxBytesPerTrigger", max_bytes)
+        options["maxBytesPerTrigger"] = str(max_bytes)
     if archive_dir:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return _with_lineage(reader.load(path))
+        options |= {"cleanSource": "archive", "sourceArchiveDir": archive_dir}
+    reader = spark.readStream.format("text").options(**options)
+    if not set_aside_broken:
+        return _with_lineage(reader.load(path))
+    plain = with_no_fault(_with_lineage(reader.option("pathGlobFilter", PLAIN).load(path)))
+    files = spark.readStream.format("binaryFile").schema(BINARY).options(**options).option("pathGlobFilter", PACKED).load(path)
+    return plain.unionByName(unpacked(files).withColumn("arrived_at", F.current_timestamp()))
 
 
 def read_fact(
