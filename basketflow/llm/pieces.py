@@ -1,13 +1,17 @@
 """SentencePiece encoding and decoding with a public vocabulary.
 
-A BPE model (its scores are ranks of merges, not log probabilities) is encoded as the library does it: of
-all neighbours whose union is a piece, those with the best score are joined, the leftmost first, until
-there are none. The ids of the queries are therefore the model's own.
+An Aho-Corasick automaton over the pieces reads a text once; at each position its output links name every piece
+that ends there, and each relaxes that position (Viterbi). What it relaxes depends on the model's scores.
 
-For other models an Aho-Corasick automaton over the pieces reads a text once; at each position its output
-links name every piece that ends there, and each relaxes the best score of that position (Viterbi). The
-result is the segmentation with the highest sum of piece scores; between equal sums the longest last piece
-wins. On a BPE model that is another segmentation; ``Codec`` alone gives it unless told to merge.
+In a unigram model they are log probabilities: the best score of a position is the highest sum, and the result the
+segmentation with the highest one; between equal sums the longest last piece wins.
+
+In a BPE model they are ranks of merges, and the library's segmentation is the one that merging leads to, best rank and
+leftmost first. Of all ways to cut a prefix only one is what merging gives, so each position has one best last piece: the
+piece that ends there and is compatible with the best last piece of the prefix in front of it. Two pieces are compatible
+if undoing the merges that made them, the latest first, meets no pair across their border that merging would have
+joined earlier; each piece's last merge is kept in a table for that, and answers are memoised. So one pass gives the
+model's own ids without merging anything, in time linear in the matches.
 
 In both forms characters without a piece become byte pieces. No piece has a word mark after another
 character, so a text falls apart before each run of marks and
@@ -27,7 +31,6 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterator
-from heapq import heapify, heappop, heappush
 
 import ahocorasick
 import numpy as np
@@ -44,8 +47,10 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Runs kept per generation of the memo of a worker; there are two.
 MEMO = 250_000
-#: Runs up to so many characters are merged by scanning their pairs, longer ones with a heap.
-SHORT = 64
+#: Pairs of pieces kept with whether they are compatible.
+PAIRS = 1_000_000
+#: In place of a piece: a character that has none.
+NONE = -1
 #: Texts of so many bytes are encoded at a time.
 SLICE_BYTES = 4 << 20
 IDS = T.ArrayType(T.IntegerType())
@@ -75,6 +80,57 @@ def vocabulary(path: str = VOCABULARY) -> dict:
     }
 
 
+class Borders:
+    """Which pieces of a BPE model may stand side by side."""
+
+    def __init__(self, pieces: dict[str, int], scores: list[float]) -> None:
+        self.ids = pieces
+        self.texts = {i: piece for piece, i in pieces.items()}
+        #: Rank of the merge that makes a piece; single characters are there from the start.
+        self.rank = {i: -scores[i] if len(piece) > 1 else -1.0 for piece, i in pieces.items()}
+        self.split: dict[int, tuple[int, int]] = {}
+        self.known: dict[tuple[int, int], bool] = {}
+        for piece, i in sorted(pieces.items(), key=lambda pair: (self.rank[pair[1]], len(pair[0]))):
+            if len(piece) > 1:
+                found = next((pair for pair in self._halves(piece, self.rank[i]) if self._open(*pair, self.rank[i])), None)
+                if found:
+                    self.split[i] = found
+
+    def reachable(self, piece: int) -> bool:
+        """Whether merging ever gives this piece."""
+        return self.rank[piece] < 0 or piece in self.split
+
+    def _halves(self, piece: str, rank: float) -> Iterator[tuple[int, int]]:
+        for at in range(1, len(piece)):
+            pair = self.ids.get(piece[:at]), self.ids.get(piece[at:])
+            if None not in pair and all(self.rank[half] <= rank and self.reachable(half) for half in pair):
+                yield pair
+
+    def _open(self, left: int, right: int, limit: float) -> bool:
+        """Whether no merge across the border of two pieces comes before ``limit`` and the merges that made them."""
+        while True:
+            union = self.ids.get(self.texts[left] + self.texts[right])
+            if union is not None and self.rank[union] < limit:
+                return False
+            if self.rank[left] > self.rank[right]:
+                limit, left = self.rank[left], self.split[left][1]
+            elif right in self.split:
+                # Of equal merges the one further left comes first.
+                limit, right = np.nextafter(self.rank[right], np.inf), self.split[right][0]
+            else:
+                return True
+
+    def compatible(self, left: int, right: int) -> bool:
+        if left == NONE:
+            return True
+        found = self.known.get((left, right))
+        if found is None:
+            if len(self.known) >= PAIRS:
+                self.known.clear()
+            found = self.known[left, right] = self._open(left, right, np.inf)
+        return found
+
+
 class _Memo(dict):
     """Encoded runs by text; the older of two generations is dropped when the younger is full."""
 
@@ -95,7 +151,7 @@ class _Memo(dict):
 
 
 class Codec:
-    """One worker's automaton, memo and decoding table; ``merges`` as a BPE model has it, else Viterbi."""
+    """One worker's automaton, memo and decoding table; ``merges`` tells that scores are ranks of merges."""
 
     def __init__(self, words: dict, merges: bool = False) -> None:
         self.automaton = ahocorasick.Automaton()
@@ -111,12 +167,11 @@ class Codec:
         self.runs = re.compile(f"{MARK}+[^{MARK}]*" if self.apart else "(?s).+").findall
         self.unknown_score = min(s for s, is_plain in zip(words["scores"], words["plain"]) if is_plain) - 10
         self.bytes, self.unknown = words["bytes"], words["unknown"]
-        self.ids = {p: i for i, (p, is_plain) in enumerate(zip(words["pieces"], words["plain"])) if is_plain}
-        self.rank = {p: -words["scores"][i] for p, i in self.ids.items()}
-        self.longest = max(map(len, self.ids))
-        segment = self.merged if merges else self.viterbi
+        self.borders = Borders({p: i for i, (p, is_plain) in enumerate(zip(words["pieces"], words["plain"])) if is_plain}, words["scores"]) if merges else None
+        segment = self.by_borders if merges else self.viterbi
         self.memo = _Memo(segment)
         self.by_word = _Memo(lambda word: segment(MARK + word))
+        self.lengths_of = [len(p) for p in words["pieces"]]
         self.table = [p.encode() for p in words["pieces"]]
         for i, (piece, is_plain) in enumerate(zip(words["pieces"], words["plain"])):
             if not is_plain:
@@ -152,58 +207,34 @@ class Codec:
         ids.reverse()
         return array("i", ids).tobytes()
 
-    def merged(self, run: str) -> bytes:
-        """The ids after all merges, best score first and leftmost among equals, as the bytes of 32-bit numbers."""
-        parts = list(run) if len(run) <= SHORT else self._merged_long(run)
-        rank = self.rank.get
-        ranks = [rank(a + b, np.inf) for a, b in zip(parts, parts[1:])]
-        while ranks and (low := min(ranks)) < np.inf:
-            at = ranks.index(low)
-            parts[at] += parts.pop(at + 1)
-            del ranks[at]
-            if at:
-                ranks[at - 1] = rank(parts[at - 1] + parts[at], np.inf)
-            if at < len(ranks):
-                ranks[at] = rank(parts[at] + parts[at + 1], np.inf)
+    def by_borders(self, run: str) -> bytes:
+        """The ids that merging leads to: of the pieces that end at a place, the one that is compatible with the best last
+        piece of the prefix in front of it. As the bytes of 32-bit numbers."""
+        last: list[int | None] = [NONE] + [None] * len(run)
+        compatible, reachable = self.borders.compatible, self.borders.reachable
+        if not self.single.issuperset(run):
+            for end, char in enumerate(run, 1):
+                if char not in self.single:
+                    last[end] = NONE
+        for at, (piece, length, _) in self.automaton.iter(run):
+            end = at + 1
+            if last[end] is None:
+                before = last[end - length]
+                if before is not None and reachable(piece) and compatible(before, piece):
+                    last[end] = piece
         ids: list[int] = []
-        for part in parts:
-            found = self.ids.get(part)
-            if found is None:
-                ids += [self.bytes[b] for b in part.encode("utf-8", "surrogatepass")]
+        end = len(run)
+        while end:
+            piece = last[end]
+            if piece == NONE:
+                ids += [self.bytes[b] for b in reversed(run[end - 1].encode("utf-8", "surrogatepass"))]
+                end -= 1
             else:
-                ids.append(found)
+                ids.append(piece)
+                end -= self.lengths_of[piece]
+        ids.reverse()
         return array("i", ids).tobytes()
 
-    def _merged_long(self, run: str) -> list[str]:
-        """The same merges with a heap, in time n log n. A part lies at the place of its first character."""
-        n = len(run)
-        ends = list(range(1, n + 1))
-        before = list(range(-1, n))  # the start of the part in front, by the start of a part
-        rank, alive = self.rank.get, [True] * n
-
-        def union(at: int):
-            """The rank, place and end of a part and its right neighbour."""
-            if at < 0 or ends[at] >= n:
-                return None
-            end = ends[ends[at]]
-            found = rank(run[at:end]) if end - at <= self.longest else None
-            return None if found is None else (found, at, end)
-
-        heap = [pair for pair in map(union, range(n)) if pair]
-        heapify(heap)
-        while heap:
-            _, at, end = heappop(heap)
-            right = ends[at]
-            if not alive[at] or right >= n or ends[right] != end:
-                continue
-            ends[at], alive[right] = end, False
-            if end < n:
-                before[end] = at
-            for pair in (union(before[at]), union(at)):
-                if pair:
-                    heappush(heap, pair)
-        return [run[at : ends[at]] for at in range(n) if alive[at]]
-
     def _with_unknown(self, run: str, best: list[float], step: list) -> None:
         """The same relaxation for a run with characters that are no pieces."""
         matches = self.automaton.iter(run)

@@ -98,14 +98,10 @@ def test_batches_agree_with_single_texts(codec):
     assert encode_texts(codec, pa.array([], pa.string())).to_pylist() == []
 
 
-@pytest.mark.parametrize("short", [0, 64])
-def test_merges_are_those_of_the_library(short, monkeypatch):
-    """The unpatched library and ours on the BPE model as it is, by scanning and by the heap."""
+def test_one_pass_gives_the_ids_of_the_library():
+    """The unpatched library and ours on the BPE model as it is."""
     import random
 
-    import basketflow.llm.pieces as module
-
-    monkeypatch.setattr(module, "SHORT", short)
     words = vocabulary()
     assert words["merges"]
     library, merging = sentencepiece.SentencePieceProcessor(model_file=VOCABULARY), Codec(words, merges=True)
@@ -113,10 +109,35 @@ def test_merges_are_those_of_the_library(short, monkeypatch):
     draw = random.Random(7)
     parts = ["a", "b", "the", " ", "  ", "é", "漢", "😀", MARK, "\n", "\u0000", "x", "in", "er", "́", "1"]
     mixed = ["".join(draw.choices(parts, k=draw.choice([3, 20, 200]))) for _ in range(300)]
-    for text in [*TEXTS, *mixed, "ab" * 3000, " " * 100]:
+    letters = ["".join(draw.choices("aeinrst▁", k=draw.choice([5, 30]))) for _ in range(2000)]
+    for text in [*TEXTS, *mixed, *letters, "ab" * 3000, " " * 100, "aaaa" * 20, "e" * 501]:
         assert ids_of(merging, text) == library.encode(text), text
 
 
+def test_the_query_follows_output_links(spark, monkeypatch):
+    """What a worker runs on a BPE model: each match of the automaton is looked at once, nothing is merged."""
+    import basketflow.llm.pieces as module
+
+    codec = module.Codec(vocabulary(), merges=True)
+    looked_at = []
+    compatible = codec.borders.compatible
+    codec.borders.compatible = lambda left, right: looked_at.append((left, right)) or compatible(left, right)
+    run = MARK + "internationalisation"
+    codec.by_borders(run)
+    assert 0 < len(looked_at) <= sum(1 for _ in codec.automaton.iter(run))
+    assert codec.memo.encode == codec.by_borders and not [name for name in dir(codec) if "merge" in name]
+
+
+def test_pairs_are_kept_within_bounds(monkeypatch):
+    import basketflow.llm.pieces as module
+
+    monkeypatch.setattr(module, "PAIRS", 5)
+    small, large = module.Codec(vocabulary(), merges=True), module.Codec(vocabulary(), merges=True)
+    text = "The cat sat on the mat while wizards mixed potions"
+    assert ids_of(small, text) == sentencepiece.SentencePieceProcessor(model_file=VOCABULARY).encode(text)
+    assert len(small.borders.known) <= 5 and large is not small
+
+
 def test_ids_of_the_query_are_those_of_the_model(spark):
     library = sentencepiece.SentencePieceProcessor(model_file=VOCABULARY)
     texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
