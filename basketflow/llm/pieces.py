@@ -156,8 +156,10 @@ class Codec:
     def __init__(self, words: dict, merges: bool = False) -> None:
         self.automaton = ahocorasick.Automaton()
         self.single: set[str] = set()
+        known = {p: i for i, (p, is_plain) in enumerate(zip(words["pieces"], words["plain"])) if is_plain}
+        self.borders = Borders(known, words["scores"]) if merges else None
         for i, piece in enumerate(words["pieces"]):
-            if words["plain"][i]:
+            if words["plain"][i] and (not merges or self.borders.reachable(i)):
                 self.automaton.add_word(piece, (i, len(piece), words["scores"][i]))
                 if len(piece) == 1:
                     self.single.add(piece)
@@ -167,7 +169,6 @@ class Codec:
         self.runs = re.compile(f"{MARK}+[^{MARK}]*" if self.apart else "(?s).+").findall
         self.unknown_score = min(s for s, is_plain in zip(words["scores"], words["plain"]) if is_plain) - 10
         self.bytes, self.unknown = words["bytes"], words["unknown"]
-        self.borders = Borders({p: i for i, (p, is_plain) in enumerate(zip(words["pieces"], words["plain"])) if is_plain}, words["scores"]) if merges else None
         segment = self.by_borders if merges else self.viterbi
         self.memo = _Memo(segment)
         self.by_word = _Memo(lambda word: segment(MARK + word))
@@ -211,17 +212,23 @@ class Codec:
         """The ids that merging leads to: of the pieces that end at a place, the one that is compatible with the best last
         piece of the prefix in front of it. As the bytes of 32-bit numbers."""
         last: list[int | None] = [NONE] + [None] * len(run)
-        compatible, reachable = self.borders.compatible, self.borders.reachable
+        compatible, known = self.borders.compatible, self.borders.known.get
         if not self.single.issuperset(run):
             for end, char in enumerate(run, 1):
                 if char not in self.single:
                     last[end] = NONE
+        settled = -1
         for at, (piece, length, _) in self.automaton.iter(run):
-            end = at + 1
-            if last[end] is None:
-                before = last[end - length]
-                if before is not None and reachable(piece) and compatible(before, piece):
-                    last[end] = piece
+            if at == settled:
+                continue
+            before = last[at + 1 - length]
+            if before is None:
+                continue
+            if before >= 0:
+                fits = known((before, piece))
+                if not (compatible(before, piece) if fits is None else fits):
+                    continue
+            last[at + 1], settled = piece, at
         ids: list[int] = []
         end = len(run)
         while end:
