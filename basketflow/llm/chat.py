@@ -11,9 +11,9 @@ the end of its ``<|im_end|>``.
 
 Defined results: a null text is an empty message, a null role is the speaker ``unknown``; repeated
 rows are one message (the table is a set); different messages on one turn follow each other by role
-and text. A dialogue longer than ``PART`` turns is given in parts of so many turn numbers, each a row
-of its own, so no row holds an unbounded conversation. A message without a turn number is a part of
-its own (numbered below zero by its hash). Messages without a conversation id share the id null.
+and text. A dialogue is one row for each participant up to turn ``PART``; beyond, it goes on in further rows, so that no row
+holds an unbounded conversation, and nothing is lost. A message without a turn number is a part of
+its own (numbered below zero by its hash). The rows of a dialogue are its messages times its participants. Messages without a conversation id share the id null.
 A conversation of nothing but system messages has no participant and no row. An empty table gives no
 rows. Extra columns are not read.
 """
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from basketflow.llm.base import table
 
 #: Turn numbers in one rendered row.
-PART = 256
+PART = 1 << 16
 START, END = "<|im_start|>", "<|im_end|>"
 
 
@@ -41,7 +41,7 @@ def messages(conversations: DataFrame, part: int = PART) -> DataFrame:
     rows = conversations.select(
         F.col("conv_id").alias("conv"), F.col("turn").alias("turn"), _plain(role).alias("role"), _plain(text).alias("text")
     ).distinct()
-    alone = -1 - F.pmod(F.xxhash64("role", "text"), F.lit(1 << 40))
+    alone = -1 - F.conv(F.substring(F.md5(F.concat("role", F.lit("\n"), "text")), 1, 8), 16, 10).cast("bigint")
     return rows.withColumn("part", F.when(F.col("turn").isNull(), alone).otherwise(F.floor(F.col("turn") / part)).cast("long"))
 
 
@@ -117,7 +117,8 @@ with said as (
 ), speakers as (
   select distinct conv_id, role as speaker from said where role <> 'system'
 ), seen as (
-  select s.conv_id, p.speaker, cast(floor(s.turn / 256) as bigint) as part, s.turn, s.role, s.text,
+  select s.conv_id, p.speaker, case when s.turn is not null then cast(floor(s.turn / 65536) as bigint)
+           else -1 - cast('0x' || substr(md5(s.role || chr(10) || s.text), 1, 8) as bigint) end as part, s.turn, s.role, s.text,
          s.role = p.speaker as own,
          '<|im_start|>' || case when s.role = p.speaker then 'assistant' when s.role = 'system' then 'system'
                            else 'user name=' || s.role end || chr(10) as head,

@@ -46,6 +46,20 @@ def test_odd_rows(spark):
     assert rendered(spark, []) == {}
 
 
+def test_long_and_odd_dialogues_are_those_of_the_sql(spark, tmp_path):
+    """A whole dialogue of 3000 turns, one beyond the part, null and negative turns, ids and roles."""
+    rows = [(1, i, "ab"[i % 2], f"m{i}") for i in range(3000)] + [(2, t, "abc"[t % 3], f"x{t}") for t in (0, 65_535, 65_536, 200_000, -1)]
+    rows += [(3, None, r, x) for r, x in (("a", "one"), ("a", "two"), (None, "three"), ("system", "é"), ("a", None))] + [(3, 1, "a", "x"), (None, None, "a", "y")]
+    rows += [(1, 5, "b", "m5")] * 2
+    folder = str(tmp_path)
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{folder}/conversations.parquet")
+    ours = sorted(map(repr, (tuple(r) for r in chat.op8_chat(spark, folder).select("conv_id", "speaker", "part", "n_messages", "rendered", "mask").collect())))
+    db = database(SMALL)
+    db.execute(f"create or replace view conversations as select * from '{folder}/conversations.parquet/*.parquet'")
+    assert ours == sorted(map(repr, db.execute(chat.OP8_SQL).fetchall()))
+    assert max(r.n_messages for r in chat.op8_chat(spark, folder).collect()) == 3000
+
+
 def test_long_conversations_come_in_parts(spark):
     rows = [(1, i, "ab"[i % 2], f"m{i}") for i in range(50)]
     out = rendered(spark, rows, part=16)
