@@ -2,12 +2,12 @@
 
 Lines are normalised (lower case, runs of blanks as one, trimmed) and hashed. For each host the distinct
 documents with a line are counted; copies of a text are one document. Lines in more than
-``MIN_DOCUMENTS`` documents and more than ``SHARE`` of the host's documents are removed. A document that
-loses over half of its words that way is depleted and rejected.
+``MIN_DOCUMENTS`` documents and more than ``SHARE`` of the host's documents are removed, and, however large the host, lines
+in more than ``ANY_DOCUMENTS``. A document that loses over half of its words that way is depleted and rejected.
 
-Hot hosts, lines and copies: counts combine on the map side before every shuffle. The frequent lines
-of a host are one row; as each is in ``SHARE`` of its documents, there are at most (mean lines of a
-document) / ``SHARE`` of them, however large the host is.
+Hot hosts, lines and copies: counts combine on the map side before every shuffle. While there are few frequent
+lines, a host's are one row, which is sent to the documents. Beyond ``BROADCAST_LINES`` they stay rows of host and line,
+which are joined with the documents' lines by a shuffle, and a document gets back those of its own.
 
 Defined results: a null text is an empty text (no words, failed); a null host is the host ``''``;
 repeated rows are judged one by one, alike; an empty table gives no rows. Only the columns named in
@@ -25,12 +25,14 @@ from basketflow.llm.base import stored, table, text_of, words_of
 
 MIN_DOCUMENTS = 20
 SHARE = 0.02
+ANY_DOCUMENTS = 1000
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 3
-#: Frequent lines of all hosts beyond which they are joined by a shuffle.
-BROADCAST_LINES = 1_000_000
+#: Frequent lines of all hosts (8 bytes each) beyond which they are joined by a shuffle. A document's lines are looked
+#: up in its host's one by one, so the bound is for time as well.
+BROADCAST_LINES = 20_000
 
 
 def _let(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -89,9 +91,9 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
 
 
 def frequent_lines(
-    docs: DataFrame, *, min_documents: int = MIN_DOCUMENTS, share: float = SHARE, host: str = "source"
+    docs: DataFrame, *, min_documents: int = MIN_DOCUMENTS, share: float = SHARE, any_documents: int = ANY_DOCUMENTS, host: str = "source"
 ) -> DataFrame:
-    """``(host, lines)``: the hashes of the lines above the limits, for hosts that have any."""
+    """``(host, line)``: the hashes of the lines above the limits."""
     text = text_of()
     rows = docs.select(F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"), F.xxhash64(text).alias("copy"), text.alias("t"))
     lines = rows.select("host", "copy", F.explode(F.array_distinct(F.array_compact(normal_lines(F.col("t"))))).alias("line"))
@@ -99,23 +101,31 @@ def frequent_lines(
     sizes = rows.groupBy("host").agg(F.countDistinct("copy").alias("size"))
     return (
         counts.join(sizes, "host")
-        .filter(F.col("n") > F.lit(share) * F.col("size"))
-        .groupBy("host")
-        .agg(F.collect_set("line").alias("lines"))
+        .filter((F.col("n") > F.lit(share) * F.col("size")) | (F.col("n") > any_documents))
+        .select("host", "line")
     )
 
 
+def _with_lines(rows: DataFrame, frequent: DataFrame) -> DataFrame:
+    """Rows (``doc_id, host, t``) with the frequent lines that may be theirs; null where there are none."""
+    if frequent.count() <= BROADCAST_LINES:
+        lists = frequent.groupBy("host").agg(F.collect_set("line").alias("lines"))
+        return rows.join(F.broadcast(lists), "host", "left")
+    copy = F.xxhash64("t")
+    own = rows.select("host", copy.alias("copy"), F.explode(F.array_distinct(F.array_compact(normal_lines(F.col("t"))))).alias("line")).distinct()
+    met = own.join(frequent, ["host", "line"]).groupBy("host", "copy").agg(F.collect_set("line").alias("lines"))
+    return rows.withColumn("copy", copy).join(met, ["host", "copy"], "left").drop("copy")
+
+
 def rate(
-    docs: DataFrame, *, min_documents: int = MIN_DOCUMENTS, share: float = SHARE, host: str = "source"
+    docs: DataFrame, *, min_documents: int = MIN_DOCUMENTS, share: float = SHARE, any_documents: int = ANY_DOCUMENTS, host: str = "source"
 ) -> DataFrame:
     """Per document: counts, the text without frequent lines, and whether it is kept."""
-    frequent = stored(frequent_lines(docs, min_documents=min_documents, share=share, host=host), "frequent-lines")
-    (total,) = frequent.agg(F.coalesce(F.sum(F.size("lines")), F.lit(0))).first()
-    if total <= BROADCAST_LINES:
-        frequent = F.broadcast(frequent)
+    frequent = frequent_lines(docs, min_documents=min_documents, share=share, any_documents=any_documents, host=host)
+    frequent = stored(frequent, "frequent-lines")
     text = text_of()
     rows = docs.select("doc_id", text.alias("t"), F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"))
-    marked = rows.join(frequent, "host", "left").select(
+    marked = _with_lines(rows, frequent).select(
         "doc_id",
         "t",
         words_of(F.col("t")).alias("w"),
@@ -179,7 +189,7 @@ with d as (
 ), often as (
   select host, norm from (
     select host, norm, count(distinct t) as n from lines where norm <> '' group by host, norm)
-  join sizes using (host) where n > 20 and n > 0.02::double * size
+  join sizes using (host) where n > 20 and (n > 0.02::double * size or n > 1000)
 ), lost as (
   select doc_id, sum(len(list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda z: z <> ''))) as n_removed_words
   from lines semi join often using (host, norm) group by doc_id

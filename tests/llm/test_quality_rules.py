@@ -49,6 +49,17 @@ def test_joined_by_shuffle_beyond_the_bound(spark, monkeypatch):
     assert {tuple(r) for r in q.rate(hosts(spark)).collect()} == before
 
 
+def test_a_line_of_many_documents_goes_from_any_host(spark):
+    """In a host so large that no line is in its share of documents."""
+    line = "one line that stands here and there"
+    rows = [(i, (f"{line}\n" if i < 30 else "") + f"text{i} " * 60, "large") for i in range(1600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert not q.frequent_lines(docs).collect()
+    assert q.frequent_lines(docs, any_documents=30).count() == 0
+    removed = {r.doc_id: r.n_removed_words for r in q.rate(docs, any_documents=25).collect()}
+    assert all(removed[i] == (7 if i < 30 else 0) for i in range(1600))
+
+
 def test_odd_tables(spark, odd, nothing):
     rows = q.rate(odd).collect()
     assert len(rows) == odd.count()
