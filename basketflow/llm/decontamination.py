@@ -2,8 +2,9 @@
 
 Tokens are the runs of letters and digits of the lower-cased text. A document leaks an item when some
 ``WINDOW`` neighbouring tokens of the item stand in the document with at most ``SUBSTITUTIONS`` of them
-replaced. An item of fewer tokens leaks when all of it stands there unchanged; items of fewer than
-``LEAST`` tokens say nothing and leak nowhere.
+replaced. A shorter item of ``TOLERANT`` tokens or more leaks when it stands there with one of them replaced at most,
+one of fewer when it stands there unchanged; items of fewer than ``LEAST`` tokens, a word or a phrase, say nothing
+and leak nowhere.
 
 Fixed masks pick token positions and ignore the others. Together they are lossless: whichever two
 tokens of a window are replaced, one mask at one place picks only tokens that are not (a test tries
@@ -30,6 +31,7 @@ from basketflow.llm.base import stored, table, text_of
 WINDOW = 13
 SUBSTITUTIONS = 2
 LEAST = 5
+TOLERANT = 8
 MASKS = ((0, 1, 3, 5, 6, 7), (0, 1, 2, 5, 7, 8))
 #: Seeds of the benchmark, and documents with hits, beyond which they are joined by a shuffle.
 BROADCAST_SEEDS = 1_000_000
@@ -65,7 +67,7 @@ def matched(words: Column, item: Column, diagonal: Column) -> Column:
     """The places of the item inside windows that stand in the document, in order."""
     n = F.size(item)
     width = F.least(n, F.lit(WINDOW))
-    need = F.when(n < WINDOW, n).otherwise(WINDOW - SUBSTITUTIONS)
+    need = F.when(n < TOLERANT, n).when(n < WINDOW, n - 1).otherwise(WINDOW - SUBSTITUTIONS)
     same = F.transform(item, lambda token, j: F.coalesce(F.get(words, diagonal + j) == token, F.lit(False)).cast("int"))
 
     def places(hits: Column) -> Column:
@@ -82,6 +84,11 @@ def matched(words: Column, item: Column, diagonal: Column) -> Column:
     return F.when(n >= LEAST, _let(same, places)).otherwise(F.array().cast("array<int>"))
 
 
+def short_masks(n: int) -> list[tuple[int, ...]]:
+    """Masks for items of ``n`` tokens: all of them, or two halves, one of which a replaced token leaves alone."""
+    return [tuple(range(n))] if n < TOLERANT else [tuple(range(n // 2)), tuple(range(n // 2, n))]
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document text and item it leaks: ``doc_id, copy, item_id, overlap, first_token``.
 
@@ -94,7 +101,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "benchmark-items",
     )
     short = sorted(r.n for r in items.filter(F.size("item") < WINDOW).select(F.size("item").alias("n")).distinct().collect())
-    masks = [*MASKS, *[tuple(range(n)) for n in short]]
+    masks = [*MASKS, *[mask for n in short for mask in short_masks(n)]]
     marks = stored(
         _placed(items.select("item_id", seeds(F.col("item"), masks).alias("seeds")), "item_id")
         .select("item_id", F.col("place").alias("item_place"), "hash").distinct(),
@@ -112,7 +119,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "seed-hits",
     )
     near = hits.select(F.col("doc_id").alias("d"), F.col("copy").alias("c"), "item_id", "diagonals")
-    if hits.count() <= BROADCAST:
+    # Diagonals, not rows: a repeated token of an item gives a document many.
+    if hits.agg(F.coalesce(F.sum(F.size("diagonals")), F.lit(0))).first()[0] <= BROADCAST:
         near = F.broadcast(near)
     if small:
         items = F.broadcast(items)
@@ -164,7 +172,7 @@ with i as (
   select doc_id, p, w || ' ' || lead(w) over s || ' ' || lead(w, 2) over s || ' ' || lead(w, 3) over s as g
   from dw window s as (partition by doc_id order by p)
 ), diagonals as (
-  -- at most two of thirteen tokens replaced: four unchanged neighbours are left
+  -- at most two of thirteen tokens replaced, or one of eight: four unchanged neighbours are left
   select distinct doc_id, item_id, dg.p - ig.p as diagonal from dg join ig using (g)
 ), same as (
   select diagonals.doc_id, item_id, diagonal, iw.n, iw.p, (dw.w is not null)::int as hit
@@ -176,7 +184,7 @@ with i as (
 ), covered as (
   select distinct s.doc_id, s.item_id, s.diagonal, s.p + k as p
   from starts s, range(13) as r(k)
-  where s.p + least(s.n, 13) - 1 <= s.n and s.hits >= case when s.n < 13 then s.n else 11 end
+  where s.p + least(s.n, 13) - 1 <= s.n and s.hits >= case when s.n < 8 then s.n when s.n < 13 then s.n - 1 else 11 end
     and k < least(s.n, 13)
 ), best as (
   select doc_id, item_id, count(*) as overlap, min(p) + diagonal - 1 as first_token

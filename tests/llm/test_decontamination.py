@@ -55,6 +55,17 @@ def test_short_items(spark):
     assert {(r.doc_id, r.item_id) for r in d.leaks(docs, bench).collect()} == {(1, 1), (1, None)}
 
 
+@pytest.mark.parametrize("n", range(5, 13))
+def test_short_items_with_replaced_tokens(spark, n):
+    """Each token replaced in turn, and two at a time, against the SQL's rule."""
+    item = [f"w{i}" for i in range(n)]
+    texts = {(): item} | {(i,): changed(item, i) for i in range(n)} | {pair: changed(item, *pair) for pair in combinations(range(n), 2)}
+    docs = spark.createDataFrame([(k, "x " + " ".join(words) + " y") for k, words in enumerate(texts.values())], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    found = {r.doc_id for r in d.leaks(docs, bench).collect()}
+    assert found == {k for k, gone in enumerate(texts) if len(gone) <= (n >= 8)}
+
+
 def test_odd_tables(spark, odd, nothing):
     bench = spark.createDataFrame([(1, "quick brown fox jumps over the lazy dog while seven wizards quietly mix"), (2, "word " * 30)], "item_id long, text string")
     found = {(r.doc_id, r.item_id) for r in d.leaks(odd, bench).collect()}
