@@ -3,13 +3,20 @@
 Four patterns give the base spans (e-mail, IPv4, card, phone), leftmost and without overlap within a kind;
 they always stand. High-recall generators, looser forms of the same kinds, propose further spans, which
 may overlap others. Boosted trees of depth two score every proposal by format (digits, separators,
-Luhn, parts) and context (neighbouring characters, cue words before it). They learn from proposals of
-the texts themselves: one that meets a base span of its kind is a positive, any other a negative. The
+Luhn, parts) and context (neighbouring characters, cue words before it).
+
+What they learn is which loose forms are personal data though no base pattern takes them. Positives are base matches of
+the texts, rewritten in their place into the forms people use to hide or shorten them: ``name [at] host``, ``1[.]2[.]3[.]4``,
+card groups between dots, ``0049`` for ``+49``. Negatives are the texts' own proposals that meet no base span of their
+kind. Signs that define a base rule (a plus, an at sign with a domain) are no features; those that a loose form keeps are. The
 features are small integers, so equal ones are counted together in Spark, and only the ``CELLS`` most
 frequent combinations are collected to grow the trees. For each kind a threshold is set on a held-out
-quarter of the texts so that at least ``PRECISION`` of the selected proposals meet a base span. It is taken
+quarter of the texts so that at least ``PRECISION`` of the selected proposals are positives. It is taken
 from all proposals of that quarter, however rare: Spark counts them by kind and rounded margin, and of these
-counts at most ``TOP`` a kind are collected. Proposals above it that meet no base span of their kind are added.
+counts at most ``TOP`` a kind are collected. Proposals of the texts above it that meet no base span of their kind are added.
+
+Places are running sums taken in chunks, base spans are found by bisection, and a text is cut as an array of its
+characters, so the work stays near linear in a text's length and matches.
 
 Patterns are run with possessive loops and look-behinds, which find the same matches in time linear in
 the text and without deep recursion, however long a run of digits or letters is.
@@ -40,18 +47,22 @@ BASE = {
 #: Generators: anything that may be of the kind.
 LOOSE = {
     "email": r"(?:\G|(?<![^\s@]))[^\s@]++(?:@|\s?[\[(]\s?at\s?[\])]\s?)[^\s@]++",
-    "ip": r"(?<![0-9.])[0-9]++(?:\.[0-9]++)++",
+    "ip": r"(?<![0-9.])[0-9]++(?:(?:\.|\[\.\])[0-9]++)++",
     "card": r"(?<![0-9])[0-9](?:[\x20./_-]{0,2}[0-9])++",
     "phone": r"(?:\+|00)?[(]?[0-9](?:[\x20()./-]{0,3}[0-9])++",
 }
 #: A text without a match has no span of the kind.
-NEEDS = {"email": r"@|[\[(]\s?at", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20./_-]?[0-9]", "phone": r"[0-9]"}
+NEEDS = {"email": r"@|[\[(]\s?at", "ip": r"[0-9](?:\.|\[\.\])[0-9]", "card": r"[0-9][\x20./_-]?[0-9]", "phone": r"[0-9]"}
 CUES = r"(?i)(mail|contact|write|tel|phone|call|fax|mobil|card|visa|pay|ip|addr|host|server)\W{0,3}\w{0,6}\W{0,3}$"
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
-FEATURES = ("kind", "digits", "width", "parts", "luhn", "octets", "plus", "left", "right", "cue", "domain")
+FEATURES = ("kind", "digits", "width", "parts", "luhn", "octets", "zeros", "bracket", "dotted", "host", "left", "right", "cue")
+#: Elements of an array that a running sum copies at a time.
+CHUNK = 64
 #: Combinations of features that the trees are grown on; thresholds take all of them.
 CELLS = 4096
-ROUNDS = 24
+ROUNDS = 10
+#: The margin of a kind without positives.
+NEVER = -100.0
 RATE = 0.4
 PRECISION = 0.99
 #: Margins are rounded up to parts of ``STEP``; those beyond ``TOP`` such parts count as one.
@@ -84,29 +95,89 @@ def luhn(digits: Column) -> Column:
     return F.coalesce(F.call_function("luhn_check", digits), F.lit(False))
 
 
+def scanned(items: Column, init: Column, step: Callable, emit: Callable, kind: str) -> Column:
+    """``emit(state, item)`` of each item, in order, where ``step`` carries the state along. An aggregate copies its
+    result for each item; so the states are taken at every ``CHUNK`` items first, and each chunk from its own."""
+    chunks = F.sequence(F.lit(0), F.ceil(F.size(items) / CHUNK).cast("int") - 1)
+
+    def chunk(c: Column) -> Column:
+        return F.slice(items, c * CHUNK + 1, F.lit(CHUNK))
+
+    def next_chunk(done: Column, c: Column) -> Column:
+        state = F.aggregate(chunk(c), done["state"], step)
+        return F.struct(state.alias("state"), F.concat(done["begins"], F.array(done["state"])).alias("begins"))
+
+    def within(begin: Column, c: Column) -> Column:
+        def next_item(done: Column, x: Column) -> Column:
+            return F.struct(step(done["state"], x).alias("state"), F.concat(done["out"], F.array(emit(done["state"], x))).alias("out"))
+
+        return F.aggregate(chunk(c), F.struct(begin.alias("state"), F.array().cast(kind).alias("out")), next_item)["out"]
+
+    start = F.struct(init.alias("state"), F.slice(F.array(init), 1, 0).alias("begins"))
+    begins = F.aggregate(chunks, start, next_chunk)["begins"]
+    return F.when(F.size(items) > 0, F.flatten(F.transform(begins, within))).otherwise(F.array().cast(kind))
+
+
+_PLACES = "array<struct<start:int,end:int>>"
+
+
+def placed(gaps_and_widths: Column) -> Column:
+    """``start, end`` of things that follow each other with gaps between them (``gap, width``)."""
+    return scanned(
+        gaps_and_widths,
+        F.lit(0),
+        lambda at, x: at + x["gap"] + x["width"],
+        lambda at, x: F.struct((at + x["gap"]).alias("start"), (at + x["gap"] + x["width"]).alias("end")),
+        _PLACES,
+    )
+
+
 def located(text: Column, pattern: str, needs: str) -> Column:
     """All matches with their places and up to 24 characters on either side."""
     kind = "array<struct<start:int,end:int,match:string,before:string,after:string>>"
 
     def walk(x: Column) -> Column:
-        def step(done: Column, i: Column) -> Column:
-            part, hit = F.get(x["parts"], i), F.get(x["hits"], i)
-            start = done["at"] + F.char_length(part)
-            end = start + F.char_length(hit)
-            one = F.struct(
-                start.alias("start"), end.alias("end"), hit.alias("match"),
-                F.right(part, F.lit(24)).alias("before"), F.left(F.get(x["parts"], i + 1), F.lit(1)).alias("after"),
+        sizes = F.transform(x["hits"], lambda hit, i: F.struct(F.char_length(F.get(x["parts"], i)).alias("gap"), F.char_length(hit).alias("width")))
+
+        def one(place: Column, i: Column) -> Column:
+            return F.struct(
+                place["start"].alias("start"), place["end"].alias("end"), F.get(x["hits"], i).alias("match"),
+                F.right(F.get(x["parts"], i), F.lit(24)).alias("before"), F.left(F.get(x["parts"], i + 1), F.lit(1)).alias("after"),
             )
-            return F.struct(end.alias("at"), F.concat(done["found"], F.array(one)).alias("found"))
 
-        begin = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("found"))
-        return F.aggregate(F.sequence(F.lit(0), F.size(x["hits"]) - 1), begin, step)["found"]
+        return _let(_let(sizes, placed), lambda places: F.transform(places, one))
 
     split = F.struct(F.split(text, pattern, -1).alias("parts"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"))
     found = _let(split, lambda x: F.when(F.size(x["hits"]) > 0, walk(x)).otherwise(F.array().cast(kind)))
     return F.when(text.rlike(needs), found).otherwise(F.array().cast(kind))
 
 
+def meets(spans: Column, m: Column) -> Column:
+    """Whether a span overlaps one of ``spans``, which are in order and apart; by bisection."""
+    n = F.size(spans)
+
+    def half(s: Column, _: Column) -> Column:
+        middle = F.floor((s["low"] + s["high"]) / 2).cast("int")
+        ends = F.get(spans, middle)["end"] <= m["start"]
+        inside = s["low"] < s["high"]
+        return F.struct(
+            F.when(inside & ends, middle + 1).otherwise(s["low"]).alias("low"),
+            F.when(inside & ~ends, middle).otherwise(s["high"]).alias("high"),
+        )
+
+    first = F.aggregate(F.sequence(F.lit(0), F.ceil(F.log2(n + 1)).cast("int")), F.struct(F.lit(0).alias("low"), n.alias("high")), half)["low"]
+    return F.when(n == 0, F.lit(False)).otherwise(F.coalesce(_let(first, lambda at: F.get(spans, at)["start"] < m["end"]), F.lit(False)))
+
+
+def characters(text: Column) -> Column:
+    """The code points of a text. A part of a string is counted out from its begin each time, a part of an array is not."""
+    return F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+
+
+def _between(chars: Column, start: Column, end: Column) -> Column:
+    return F.array_join(F.slice(chars, start + 1, F.greatest(end - start, F.lit(0))), "")
+
+
 def _base_of(i: int, text: Column) -> Column:
     stands = F.filter(located(text, BASE[KINDS[i]], NEEDS[KINDS[i]]), lambda m: valid(KINDS[i], m["match"]))
     return F.transform(stands, lambda m: F.struct(F.lit(i).alias("kind"), m["start"].alias("start"), m["end"].alias("end")))
@@ -131,39 +202,103 @@ def _features(kind: int, m: Column) -> list[Column]:
         "width": F.least(F.floor(F.char_length(m["match"]) / 4).cast("int"), F.lit(12)),
         "parts": F.least(F.size(F.split(m["match"], r"[^0-9A-Za-z]+")), F.lit(9)),
         "luhn": luhn(digits).cast("int"),
-        "octets": m["match"].rlike(rf"^{OCTET}(?:\.{OCTET}){{3}}$").cast("int"),
-        "plus": m["match"].startswith("+").cast("int"),
+        "octets": F.replace(m["match"], F.lit("[.]"), F.lit(".")).rlike(rf"^{OCTET}(?:\.{OCTET}){{3}}$").cast("int"),
+        "zeros": m["match"].startswith("00").cast("int"),
+        "bracket": m["match"].rlike(r"[\[(]").cast("int"),
+        "dotted": m["match"].contains(".").cast("int"),
+        "host": m["match"].rlike(r"[\])]\s?[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}$").cast("int"),
         "left": _side(F.right(m["before"], F.lit(1))),
         "right": _side(m["after"]),
         "cue": m["before"].rlike(CUES).cast("int"),
-        "domain": m["match"].rlike(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}$").cast("int"),
     }
     return [by_name[name].cast("int").alias(name) for name in FEATURES]
 
 
-def _proposals_of(i: int, text: Column, base: Column) -> Column:
+def _proposals_of(i: int, text: Column, spans: Column) -> Column:
+    """A generator's spans with their features and whether they meet one of the spans, which are of its kind."""
     def proposal(m: Column) -> Column:
-        met = F.exists(base, lambda b: (b["kind"] == i) & (b["start"] < m["end"]) & (m["start"] < b["end"]))
-        return F.struct(m["start"].alias("start"), m["end"].alias("end"), met.alias("met"), *_features(i, m))
+        return F.struct(m["start"].alias("start"), m["end"].alias("end"), meets(spans, m).alias("met"), *_features(i, m))
 
     return F.transform(located(text, LOOSE[KINDS[i]], NEEDS[KINDS[i]]), proposal)
 
 
+def _own(base: Column, i: int) -> Column:
+    return F.filter(base, lambda b: b["kind"] == i)
+
+
 def proposals(text: Column, base: Column) -> Column:
     """Every generator's spans with their features and whether they meet a base span of the kind."""
-    return F.concat(*[_proposals_of(i, text, base) for i in range(len(KINDS))])
+    def of(i: int) -> Column:
+        return _let(_own(base, i), lambda spans: _proposals_of(i, text, spans))
+
+    return F.concat(*[of(i) for i in range(len(KINDS))])
+
+
+def loosened(kind: str, match: Column) -> Column:
+    """A base match in a form that no base pattern takes."""
+    if kind == "email":
+        return F.replace(match, F.lit("@"), F.lit(" [at] "))
+    if kind == "ip":
+        return F.replace(match, F.lit("."), F.lit("[.]"))
+    if kind == "card":
+        return F.regexp_replace(_digits(match), "([0-9]{4})(?=[0-9])", "$1.")
+    return F.regexp_replace(match, r"^\+", "00")
+
+
+def rewritten(i: int, text: Column, spans: Column) -> Column:
+    """``text, spans`` with the spans of a kind in loose form, and where these are."""
+    def cut(chars: Column) -> Column:
+        def one(b: Column, k: Column) -> Column:
+            before = F.when(k > 0, F.get(spans, F.greatest(k - 1, F.lit(0)))["end"]).otherwise(0)
+            return F.struct(_between(chars, before, b["start"]).alias("gap"), loosened(KINDS[i], _between(chars, b["start"], b["end"])).alias("match"))
+
+        tail = _between(chars, F.element_at(spans, -1)["end"], F.size(chars))
+        return F.struct(F.transform(spans, one).alias("pieces"), tail.alias("tail"))
+
+    def joined(x: Column) -> Column:
+        sizes = F.transform(x["pieces"], lambda p: F.struct(F.char_length(p["gap"]).alias("gap"), F.char_length(p["match"]).alias("width")))
+        whole = F.concat(F.array_join(F.transform(x["pieces"], lambda p: F.concat(p["gap"], p["match"])), ""), x["tail"])
+        return F.struct(whole.alias("text"), _let(sizes, placed).alias("spans"))
+
+    return _let(_let(characters(text), cut), joined)
+
+
+_EXAMPLES = "array<struct<" + ",".join(f"{name}:int" for name in FEATURES) + ",positive:boolean>>"
+
+
+def examples(text: Column, base: Column) -> Column:
+    """What the trees learn from: features and whether the proposal is personal data."""
+    def shown(found: Column, positive: bool) -> Column:
+        return F.transform(found, lambda p: F.struct(*[p[name].alias(name) for name in FEATURES], F.lit(positive).alias("positive")))
+
+    def of(i: int) -> Column:
+        def both(spans: Column) -> Column:
+            own = shown(F.filter(_proposals_of(i, text, spans), lambda p: ~p["met"]), False)
+            loose = F.when(
+                F.size(spans) > 0,
+                _let(rewritten(i, text, spans), lambda r: shown(F.filter(_proposals_of(i, r["text"], r["spans"]), lambda p: p["met"]), True)),
+            ).otherwise(F.array().cast(_EXAMPLES))
+            return F.concat(own, loose)
+
+        return _let(_own(base, i), both)
+
+    return F.concat(*[of(i) for i in range(len(KINDS))])
 
 
 class Trees:
-    """Boosted trees of depth two over the integer features, with a threshold for each kind."""
+    """Boosted trees of depth two over the integer features, with a threshold for each kind; trees of its own for each kind
+    that has ``parts``, as a sign means something else in a card than in an address."""
 
     def __init__(self) -> None:
         self.trees: list[tuple] = []
         self.bias = 0.0
+        self.parts: dict[int, Trees] = {}
         #: For each kind the least rounded margin that is selected.
         self.thresholds: dict[int, float] = {}
 
     def margin(self, x: tuple) -> float:
+        if self.parts:
+            return self.parts[x[0]].margin(x) if x[0] in self.parts else NEVER
         total = self.bias
         for (f, cut), *sides in self.trees:
             (g, below), low, high = sides[x[f] > cut]
@@ -172,6 +307,11 @@ class Trees:
 
     def score(self, x: Column) -> Column:
         """The margin of a proposal, as an expression."""
+        if self.parts:
+            total = F.lit(NEVER)
+            for kind, part in self.parts.items():
+                total = F.when(x["kind"] == kind, part.score(x)).otherwise(total)
+            return total
         total = F.lit(self.bias)
         for (f, cut), low_side, high_side in self.trees:
             def leaf(side):
@@ -240,19 +380,23 @@ def boost(cells: list[tuple[tuple, int, int]]) -> Trees:
 
 
 def fit(docs: DataFrame) -> Trees:
-    """Trees from the texts' own proposals."""
+    """Trees from the texts' own proposals and their base spans in loose form."""
     rows = docs.select(text_of().alias("t")).select("t", base_spans(F.col("t")).alias("b"))
-    rows = rows.select((F.pmod(F.xxhash64("t"), F.lit(CALIBRATE)) == 0).alias("held"), F.explode(proposals(F.col("t"), F.col("b"))).alias("p"))
+    rows = rows.select((F.pmod(F.xxhash64("t"), F.lit(CALIBRATE)) == 0).alias("held"), F.explode(examples(F.col("t"), F.col("b"))).alias("p"))
     counts = stored(
         rows.groupBy(*[F.col(f"p.{name}") for name in FEATURES], "held")
-        .agg(F.count_if("p.met").alias("pos"), F.count_if(~F.col("p.met")).alias("neg")),
+        .agg(F.count_if("p.positive").alias("pos"), F.count_if(~F.col("p.positive")).alias("neg")),
         "pii-cells",
     )
     often = counts.filter(~F.col("held")).orderBy(F.desc(F.col("pos") + F.col("neg")), *FEATURES).limit(CELLS).collect()
     cells = [(tuple(r[name] for name in FEATURES), r.pos, r.neg) for r in often]
-    if not sum(c[1] for c in cells):
-        return Trees()
-    model = boost(cells)
+    model = Trees()
+    for kind in range(len(KINDS)):
+        own = [cell for cell in cells if cell[0][0] == kind]
+        if any(positives for _, positives, _ in own):
+            model.parts[kind] = boost(own)
+    if not model.parts:
+        return model
     model.thresholds = calibrated(model, counts.filter("held"))
     return model
 
@@ -285,18 +429,18 @@ def with_spans(docs: DataFrame, model: Trees) -> tuple[DataFrame, str]:
 def redact(text: Column, spans: Column) -> Column:
     """The text with every span, or run of overlapping spans, replaced by its first kind in brackets."""
     names = F.array(*[F.lit(f"[{kind.upper()}]") for kind in KINDS])
+    by_place = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))))
 
-    def step(done: Column, s: Column) -> Column:
-        apart = s["start"] >= done["at"]
-        upto = F.substring(text, done["at"] + 1, s["start"] - done["at"])
-        return F.struct(
-            F.greatest(done["at"], s["end"]).alias("at"),
-            F.when(apart, F.concat(done["out"], upto, F.get(names, s["kind"]))).otherwise(done["out"]).alias("out"),
-        )
+    def cut(x: Column) -> Column:
+        def piece(at: Column, s: Column) -> Column:
+            apart = s["start"] >= at
+            return F.when(apart, F.concat(_between(x["chars"], at, s["start"]), F.get(names, s["kind"]))).otherwise("")
+
+        pieces = scanned(x["spans"], F.lit(0), lambda at, s: F.greatest(at, s["end"]), piece, "array<string>")
+        last = F.aggregate(x["spans"], F.lit(0), lambda at, s: F.greatest(at, s["end"]))
+        return F.concat(F.array_join(pieces, ""), _between(x["chars"], last, F.size(x["chars"])))
 
-    by_place = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["kind"], s["end"])))
-    done = F.aggregate(by_place, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
-    whole = _let(done, lambda d: F.concat(d["out"], F.substring(text, d["at"] + 1, F.char_length(text))))
+    whole = _let(F.struct(characters(text).alias("chars"), by_place.alias("spans")), cut)
     return F.when(F.size(spans) == 0, text).otherwise(whole)
 
 

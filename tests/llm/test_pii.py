@@ -95,7 +95,7 @@ def test_odd_tables(spark, odd, nothing):
     text = {r.doc_id: r.text for r in out.collect()}
     assert text[10] == "mail [EMAIL] or [PHONE] now, [CARD]" and text[4] is None and text[5] == ""
     assert pii.redacted(nothing).count() == 0
-    assert not pii.fit(nothing).trees
+    assert not pii.fit(nothing).parts
 
 
 def test_overlapping_kinds_are_redacted_once(spark):
@@ -108,13 +108,96 @@ def test_no_python_in_the_plan(spark):
     assert "Python" not in pii.op3_pii(spark, SMALL)._jdf.queryExecution().toString()
 
 
+WORD = lambda i: "".join(chr(97 + int(c)) for c in str(i))
+
+
+def mixed(n):
+    """Texts with a base span of each kind, and numbers that are none."""
+    rows = []
+    for i in range(n):
+        kind = i % 7
+        rows.append((i, [
+            f"write to somebody{WORD(i)}@example.org now", f"the host 10.{i % 250}.3.{i % 99} is down", "the card 4111 1111 1111 1111 is mine",
+            f"call +49 30 {1234567 + i} today", f"version 1.{i}.3 of part 4111.1111.1111.1112 from 2024-01-{i % 28 + 10} at 12/5",
+            "the card 4111.1111.1111.1112 is void", f"we sat [at] lunch, root@local wrote that the host 10[.]{i % 9}[.]5 fell",
+        ][kind] + f" {WORD(i)}"))
+    return rows
+
+
+def test_a_fitted_model_adds_loose_forms_and_leaves_decoys(spark):
+    loose = {
+        10_000: "write to ann [at] example.org now", 10_001: "the host 10[.]9[.]3[.]7 is down", 10_002: "the card 4111.1111.1111.1111 is mine",
+        10_003: "call 0049 30 7654321 today", 10_004: "contact bob.b (at) mail.example.com please",
+    }
+    decoys = {
+        20_000: "the card 4111.1111.1111.1112 is mine", 20_001: "version 1.9.3 of part 77", 20_002: "we met [at] noon", 20_003: "from 2024-01-11 to 2024-02-12",
+        20_004: "some@localhost is no address", 20_005: "the host 10[.]9[.]3 is down", 20_006: "10 20 30 40 50 60",
+    }
+    schema = "doc_id long, text string"
+    model = pii.fit(spark.createDataFrame(mixed(4000), schema))
+    assert set(model.thresholds) == {0, 1, 2, 3}
+    rows, found = pii.with_spans(spark.createDataFrame(mixed(4000) + [*loose.items(), *decoys.items()], schema), model)
+    out = {r.doc_id: r for r in rows.select("doc_id", pii._joined(F.col(f"{found}.base")).alias("base"), pii._joined(F.col(f"{found}.all")).alias("s")).collect()}
+    kinds = {i: {x.split(":")[0] for x in out[i].s.split(",") if x} for i in [*loose, *decoys]}
+    assert all(out[i].base == "" for i in [*loose, *decoys])
+    assert [kinds[i] for i in loose] == [{"email"}, {"ip"}, {"card"}, {"phone"}, {"email"}]
+    assert {i: kinds[i] for i in decoys if kinds[i]} == {}
+    clean = [i for i in range(4000) if i % 7 > 3]
+    assert sum(out[i].s != "" for i in clean) <= 0.01 * len(clean)
+    one = rows.filter("doc_id = 10000").select(pii.redact(F.col("text"), F.col(f"{found}.all")).alias("r")).first()
+    assert one.r == "write to [EMAIL] now"
+
+
+def test_rewritten_texts_keep_their_spans(spark):
+    text = "é a@b.org, x.y@c.d 😀 z"
+    docs = spark.createDataFrame([(text,)], "t string")
+    r = docs.select(pii.rewritten(0, F.col("t"), pii._own(pii.base_spans(F.col("t")), 0)).alias("r")).first().r
+    assert r.text == "é a [at] b.org, x.y [at] c.d 😀 z"
+    assert [r.text[s.start : s.end] for s in r.spans] == ["a [at] b.org", "x.y [at] c.d"]
+
+
+def test_places_over_many_chunks(spark):
+    sizes = [(i % 7, i % 3 + 1) for i in range(300)]
+    want, at = [], 0
+    for gap, width in sizes:
+        want.append((at + gap, at + gap + width))
+        at += gap + width
+    docs = spark.createDataFrame([(sizes,), ([],), (sizes[:64],)], "x array<struct<gap:int,width:int>>")
+    got = [[tuple(p) for p in r.p] for r in docs.select(pii.placed(F.col("x")).alias("p")).collect()]
+    assert got == [want, [], want[:64]]
+
+
+def test_meeting_spans_by_bisection(spark):
+    spans = [(3, 5), (8, 9), (9, 12), (20, 21)]
+    for n in range(5):
+        docs = spark.createDataFrame([(a, a + w, spans[:n]) for a in range(25) for w in (1, 2, 7)], "start int, end int, s array<struct<start:int,end:int>>")
+        rows = docs.select("start", "end", pii.meets(F.col("s"), F.struct("start", "end")).alias("met")).collect()
+        assert all(r.met == any(b < r.end and r.start < e for b, e in spans[:n]) for r in rows)
+
+
+@pytest.mark.parametrize("text", ["12345 x , ", "a@b.org, ", "10.0.0.1 ", "call +1 (212) 555-0100 é "])
+def test_long_texts_dense_in_matches(spark, text):
+    """Near linear: texts of nothing but matches. A megabyte takes 15 to 30 s here."""
+    import time
+
+    def seconds(n):
+        docs = spark.createDataFrame([(1, text * (n // len(text)))], "doc_id long, text string")
+        begin = time.time()
+        row = pii.redacted(docs).first()
+        assert len(row.text) > 0
+        return time.time() - begin
+
+    seconds(1000)
+    half, whole = seconds(200_000), seconds(400_000)
+    assert whole < 40 and whole < 3.5 * half + 3
+
+
 @pytest.mark.parametrize("n_decoys, added", [(60, False), (1, True)])
 def test_thresholds_count_rare_proposals(spark, monkeypatch, n_decoys, added):
     """Held-out proposals whose features are too rare to grow trees on still decide the threshold."""
     monkeypatch.setattr(pii, "CELLS", 2)
-    word = lambda i: "".join(chr(97 + int(c)) for c in str(i))
-    good = [(i, f"write to somebody@example.org now {word(i)}") for i in range(1600)]
-    rare = [(10_000 + i, f"write to some{'b' * (i % 12)}@localhost now {word(i)}") for i in range(12 * n_decoys)]
+    good = [(i, f"write to somebody@example.org now {WORD(i)}") for i in range(1600)]
+    rare = [(10_000 + i, f"write to some{'b' * (i % 12)}@localhost now {WORD(i)}") for i in range(12 * n_decoys)]
     held = F.pmod(F.xxhash64("text"), F.lit(pii.CALIBRATE)) == 0
     texts = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
     decoys = texts(rare).filter(held).orderBy("doc_id").limit(n_decoys)
