@@ -70,7 +70,7 @@ def test_refused_lines(refused):
 
 
 def test_every_reason_and_flag_has_a_case():
-    assert {reason for _, reason, _ in REFUSED} == set(schemas.REJECT_REASONS) - {"bad_row"}  # CSV only
+    assert {reason for _, reason, _ in REFUSED} == set(schemas.REJECT_REASONS) - {"bad_row", "bad_file"}  # rows of CSV files, and files
     assert {flag for *_, flags in KEPT.values() for flag in flags} == set(schemas.FLAGS)
 
 
