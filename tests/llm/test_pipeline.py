@@ -53,7 +53,7 @@ def test_each_stage_against_brute_force(spark):
 def test_registered(spark):
     assert contract.queries()["pipeline"] is corpus_pipeline.run
     names = [n for n in contract.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("table", ["odd", "nothing"])
