@@ -74,6 +74,54 @@ def test_large_group_over_many_blocks(spark, monkeypatch):
     assert ours(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
+def chain(n, seed, words=60, step=9):
+    """Texts that each share most of their words with the next, and little with those further on."""
+    draw = random.Random(seed)
+    tape = [f"c{seed}x{draw.randint(0, 10**6)}" for _ in range(words + n * step)]
+    return [" ".join(tape[i * step : i * step + words]) for i in range(n)]
+
+
+def test_loose_groups_meet_by_neighbourhood(spark, monkeypatch):
+    monkeypatch.setattr(j, "BLOCK", 4)
+    loose = [t for seed in (11, 12) for t in chain(60, seed)] + chain(50, 13, step=3)
+    rows = list(enumerate(loose + loose[:20] + near_copies(40, 5) + chain(10, 14, step=20)))
+    random.Random(6).shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert ours(docs) == brute(rows)
+    texts = j.nodes(docs, *j.banding(0.8)).cache()
+    groups = j.candidates(texts).join(texts.select("node", "size"), "node")
+    large = groups.join(groups.groupBy("root").count().filter("count > 4"), "root", "left_semi").select("node", "root", "size").cache()
+    near, meets = j.neighbourhoods(large, texts)
+    moved = near.count()
+    assert 100 < moved < large.count()  # the chains, not the group of near copies
+    # Far fewer pairs of blocks than all.
+    blocks = near.select("near").distinct().count()
+    assert meets.select("low", "high").distinct().count() < blocks * 8
+    texts.unpersist(), large.unpersist()
+
+
+def test_blocks_are_cut_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(j, "BLOCK_BYTES", 3000)
+    rows = list(enumerate(near_copies(25, 8, words=150)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = j.nodes(docs, *j.banding(0.8))
+    sizes = j.verified(docs, texts).select("single").distinct().collect()
+    assert [r.single for r in sizes] == [False]
+    assert ours(docs) == brute(rows)
+
+
+def test_regular_words_are_told_apart():
+    """Words whose polynomials modulo a power of two are equal."""
+    import pyarrow as pa
+
+    one = "a"
+    while len(one) < 2048:
+        one += one.translate(str.maketrans("ab", "ba"))
+    other = one.translate(str.maketrans("ab", "ba"))
+    hashes, begin = j.grams(pa.array([one, other]))
+    assert list(begin) == [0, 1, 2] and hashes[0] != hashes[1]
+
+
 def test_shuffled_beyond_the_broadcast(spark, monkeypatch):
     monkeypatch.setattr(j, "BROADCAST", 0)
     rows = list(enumerate(near_copies(20, 7)))
