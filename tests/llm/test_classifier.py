@@ -1,3 +1,4 @@
+import math
 import zlib
 
 from conftest import SMALL
@@ -21,6 +22,52 @@ def test_held_out_accuracy(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in everyone)
 
 
+def test_against_a_plain_discriminant(spark):
+    """Means, shrunk covariances and scores by dense linear algebra, without factors or sums over cells."""
+    import numpy as np
+
+    docs, labels = (spark.read.parquet(f"{SMALL}/{n}.parquet") for n in ("documents", "labels"))
+    x = {r.doc_id: classifier.statistics(r.text or "") for r in docs.collect()}
+    marks = [(r.doc_id, r.quality) for r in labels.collect() if r.quality in (0, 1) and r.doc_id in x]
+    train = [(x[key], k) for key, k in marks if zlib.crc32(str(key).encode()) % 3 != 1]
+    of = [np.array([v for v, k in train if k == c]) for c in (0, 1)]
+    d = len(classifier.STATISTICS)
+    means = [m.mean(axis=0) for m in of]
+    own = [np.cov(m, rowvar=False, bias=True) for m in of]
+    pooled = sum(len(m) * c for m, c in zip(of, own)) / len(train)
+    scale = np.diag(np.maximum(np.diag(pooled), 1e-8))
+    density = []
+    for m, mean, c in zip(of, means, own):
+        weight = min(1.0, classifier.SHRINK_TO_POOLED + d / (len(m) + d))
+        shrunk = (1 - weight) * c + weight * pooled
+        shrunk = (1 - classifier.SHRINK_TO_IDENTITY) * shrunk + classifier.SHRINK_TO_IDENTITY * scale
+        prior, (_, log_det) = np.log(len(m) / len(train)), np.linalg.slogdet(shrunk)
+
+        def log_density(v, mean=mean, inverse=np.linalg.inv(shrunk), term=prior - 0.5 * log_det):
+            return term - 0.5 * (v - mean) @ inverse @ (v - mean)
+
+        density.append(log_density)
+    rows = classifier.classify(docs, labels).collect()
+    assert len(rows) == len(x) and len(train) > 20
+    for r in rows:
+        gap = np.clip((density[1](x[r.doc_id]) - density[0](x[r.doc_id])) / d, -30, 30)
+        assert abs(r.score - 1 / (1 + np.exp(-gap))) < 1e-6
+
+
+def test_statistics_by_hand():
+    text = "One two, two two!\n#é 12|3"
+    got = dict(zip(classifier.STATISTICS, classifier.statistics(text)))
+    raw, n = text.encode(), 6
+    assert len(raw.split()) == n
+    want = {
+        "log_bytes": math.log(1 + len(raw)), "log_words": math.log(1 + n), "word_bytes": math.log(1 + sum(map(len, raw.split())) / n),
+        "upper": (1 / 12) ** 0.5, "symbols": (1 / len(raw)) ** 0.5, "shouts": (1 / n) ** 0.5, "bars": (1 / n) ** 0.5,
+        "digits": (3 / len(raw)) ** 0.5, "stops": (1 / n) ** 0.5, "line_ends": (1 / n) ** 0.5, "non_ascii": (2 / len(raw)) ** 0.5,
+        "new_words": 6 / n, "new_pairs": 5 / n,
+    }
+    assert {k: round(got[k], 12) for k in want} == {k: round(v, 12) for k, v in want.items()}
+
+
 def test_held_out_labels_change_nothing(spark):
     docs, labels = (spark.read.parquet(f"{SMALL}/{n}.parquet") for n in ("documents", "labels"))
     turned = labels.selectExpr("doc_id", "case when crc32(cast(doc_id as string)) % 3 = 1 then 1 - quality else quality end as quality")

@@ -1,5 +1,7 @@
+import zlib
 from collections import Counter, defaultdict
 
+import xxhash
 from llm_tables import SMALL, nothing, odd, small  # noqa: F401
 from pyspark.sql import functions as F
 
@@ -26,6 +28,29 @@ def test_query(spark):
     assert any(r.grown_shard == 16 for r in rows)
 
 
+def rendezvous(key, shards):
+    """The shard whose chained hash of seed, number and key is the largest; a null key leaves the hash as it is."""
+    draws = []
+    for i in range(shards):
+        h = 42
+        for raw in (sharding.SEED.to_bytes(4, "little"), i.to_bytes(4, "little"), b"" if key is None else key.to_bytes(8, "little", signed=True)):
+            h = xxhash.xxh64_intdigest(raw, h) if raw else h
+        draws.append((h - (1 << 64) if h >> 63 else h, i))
+    return max(draws)[1]
+
+
+def test_every_column_recomputed(spark, odd):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    got = {(r.doc_id, r.size, r.text_crc32, r.law, r.shard, r.grown_shard) for r in sharding.op2_sharding(spark, SMALL).collect()}
+    want = set()
+    for key, text in docs.items():
+        raw = (text or "").encode()
+        want.add((key, len(raw) + 1, zlib.crc32(raw), "key", rendezvous(key, 16), rendezvous(key, 17)))
+    assert got == want
+    rows, _ = written(spark, odd, shards=5, bucket_bytes=3000)
+    assert all(r.shard == rendezvous(r.record.doc_id, 5) for r in rows.collect())
+
+
 def test_rows_travel_whole(spark, odd):
     rows, _ = written(spark, odd, shards=3, bucket_bytes=2000)
     back = Counter(tuple(r.record) for r in rows.collect())
