@@ -111,3 +111,31 @@ def token_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
         out[low:high] = np.add.reduceat(mixed(bytes_of + (place.astype(U64) << U64(8)) + U64(1)), begin)
         low = high
     return mixed(out + sizes.astype(U64))
+
+
+_WORDS = 1 << 18
+
+
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of byte ranges of at least eight bytes, which may overlap: sums of a mixed number for each eight bytes
+    and their place. As with ``token_hashes`` regular texts have nothing to meet in."""
+    out = np.zeros(len(starts), U64)
+    if not len(starts):
+        return out
+    eights = np.ndarray(len(data) - 7, "<u8", np.ascontiguousarray(data), strides=(1,))
+    sizes = ends - starts
+    counts = -(-sizes // 8)
+    salts = mixed(np.arange(1, int(counts.max()) + 1, dtype=U64))
+    upto = np.cumsum(counts)
+    low = 0
+    while low < len(starts):
+        before = upto[low] - counts[low]
+        high = max(low + 1, int(np.searchsorted(upto, before + _WORDS, "right")))
+        n = counts[low:high]
+        begin = upto[low:high] - n - before
+        place = np.arange(upto[high - 1] - before) - np.repeat(begin, n)
+        # The last eight bytes end with the range and may overlap those before.
+        at = np.minimum(np.repeat(starts[low:high], n) + 8 * place, np.repeat(ends[low:high] - 8, n))
+        out[low:high] = np.add.reduceat(mixed(eights[at] ^ salts[place]), begin)
+        low = high
+    return mixed(out + sizes.astype(U64))

@@ -14,7 +14,8 @@ window, goes to the next passes, which cut the blocks by the place of the anchor
 and, at last, single windows. Groups are counted with map-side sums and rows are only joined to counts,
 so a passage that stands in every document is no group that a task would hold.
 
-Windows are compared by two independent 64-bit hashes. They lie inside one text; the same text twice
+Blocks are equal if two 64-bit hashes agree: a polynomial of the digit, and of the whole extent a sum of mixed numbers for
+eight bytes and their place, which regular texts (Thue-Morse strings) do not collide in as they do in polynomials. Windows lie inside one text; the same text twice
 repeats all of its windows, overlapping windows of one text repeat each other.
 
 Defined results: a null text is empty, a text shorter than a window stays whole; rows repeated with
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketflow.llm.base import small_batches, stored, table, text_of
-from basketflow.llm.bytehash import U64, Ranges, flat, mixed, parts
+from basketflow.llm.bytehash import U64, Ranges, flat, mixed, parts, range_hashes
 
 DEPTH = 200
 GRAM = 32
@@ -45,18 +46,6 @@ PIECE = 1 << 20
 #: Rows of passages by document beyond which they meet their documents by a shuffle.
 BROADCAST = 250_000
 BROADCAST_PASSAGES = 2_000_000
-_SECOND = 0xD6E8FEB86659FD93
-
-
-class Second(Ranges):
-    """Hashes independent of the first: another base."""
-
-    def _grow(self, n: int) -> None:
-        if len(self.powers) < n:
-            for name, base in (("powers", _SECOND), ("inverses", pow(_SECOND, -1, 1 << 64))):
-                steps = np.full(n, base, U64)
-                steps[0] = 1
-                setattr(self, name, np.multiply.accumulate(steps))
 
 
 def anchors(data: np.ndarray, sums: np.ndarray, ranges: Ranges) -> tuple[np.ndarray, np.ndarray]:
@@ -74,7 +63,7 @@ def anchors(data: np.ndarray, sums: np.ndarray, ranges: Ranges) -> tuple[np.ndar
     return hashes, (np.minimum(behind[:starts], ahead[width - 1 : m]) & low).astype(np.int64)
 
 
-def _runs(data: np.ndarray, offsets: np.ndarray, first: Ranges, second: Ranges) -> tuple[np.ndarray, ...]:
+def _runs(data: np.ndarray, offsets: np.ndarray, first: Ranges) -> tuple[np.ndarray, ...]:
     """Blocks of all texts: row of the text, first window, windows - 1, place of the anchor in the last, keys."""
     counts = np.maximum(0, np.diff(offsets) - DEPTH + 1)
     none = np.zeros(0, np.int64)
@@ -92,12 +81,12 @@ def _runs(data: np.ndarray, offsets: np.ndarray, first: Ranges, second: Ranges)
     high = starts[np.append(begin[1:], len(starts)) - 1]
     text = np.searchsorted(offsets, low, side="right") - 1
     core = mixed(hashes[at]).view(np.int64)
-    return text, low - offsets[text], high - low, at - high, core, _whole(data, low, high, at - high, second)
+    return text, low - offsets[text], high - low, at - high, core, _whole(data, low, high, at - high)
 
 
-def _whole(data: np.ndarray, low: np.ndarray, high: np.ndarray, offset: np.ndarray, second: Ranges) -> np.ndarray:
+def _whole(data: np.ndarray, low: np.ndarray, high: np.ndarray, offset: np.ndarray) -> np.ndarray:
     """The key of a block's whole extent and the places of its windows."""
-    key = second.hashes(second.sums(data), low, high + DEPTH)
+    key = range_hashes(data, low, high + DEPTH)
     return mixed(key + mixed((offset * 1024 + high - low).astype(U64))).view(np.int64)
 
 
@@ -113,7 +102,7 @@ def _with_id(kind: T.DataType) -> T.StructType:
 
 
 def _first_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    first, second = Ranges(), Second()
+    first = Ranges()
     for batch in batches:
         for part in parts(batch, "t", SLICE_BYTES):
             data, offsets = flat(part["t"])
@@ -127,7 +116,7 @@ def _first_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 ]
             for row, piece, bounds, shift in pieces:
                 bounds = np.array([0, len(piece)]) if bounds is None else bounds
-                text, low, span, offset, core, whole = _runs(piece, bounds, first, second)
+                text, low, span, offset, core, whole = _runs(piece, bounds, first)
                 rows = pa.array(text + row)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(core), pa.array(whole), part["copy"].take(rows), pa.array(_places(low + shift, span, offset)), part["doc_id"].take(rows)],
@@ -139,7 +128,7 @@ def _cut(width: int):
     """Blocks of the texts' unresolved blocks, cut to ``width`` windows by the place of the anchor."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, second = Ranges(), Second()
+        first = Ranges()
         for batch in batches:
             for part in parts(batch, "t", SLICE_BYTES):
                 data, offsets = flat(part["t"])
@@ -154,7 +143,7 @@ def _cut(width: int):
                 at = anchor[of]
                 core = first.hashes(first.sums(data), at - start, at - start - width + 1 + DEPTH)
                 core = mixed(core + mixed((start * 256 + width).astype(U64))).view(np.int64)
-                whole = _whole(data, at - far, at - near, near, second)
+                whole = _whole(data, at - far, at - near, near)
                 rows = pa.array(text[of])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(core), pa.array(whole), part["copy"].take(rows),

@@ -57,6 +57,48 @@ def test_cases(spark):
     assert ours(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)) == brute(rows)
 
 
+def thue_morse(n, letters):
+    return "".join(letters[i.bit_count() & 1] for i in range(n))
+
+
+def test_regular_texts(spark):
+    """Texts whose polynomials modulo a power of two agree although the texts differ."""
+    head, tail = "The same beginning of forty bytes or so, ", " and the same end for all."
+    rows = [head + thue_morse(n, letters) + tail for n in (256, 1024, 2048) for letters in ("ab", "ba")]
+    rows = list(enumerate([*rows, thue_morse(1500, "ab")[700:], thue_morse(4096, "xy")]))
+    assert ours(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
+def test_hashes_of_ranges_tell_regular_texts_apart():
+    import numpy as np
+
+    from basketflow.llm.bytehash import Ranges, range_hashes
+
+    draw = random.Random(3)
+    pairs = [(thue_morse(2048, "ab"), thue_morse(2048, "ba"))]
+    noise = "".join(draw.choice("ab ") for _ in range(300))
+    for _ in range(20):
+        a, b = draw.randrange(300), draw.randrange(300)
+        swapped = list(noise)
+        swapped[a], swapped[b] = swapped[b], swapped[a]
+        pairs.append((noise, "".join(swapped)))
+    for one, other in pairs:
+        data = np.frombuffer((one + other + one).encode(), np.uint8)
+        n = len(one)
+        starts = np.array([0, n, 2 * n])
+        first, second, third = range_hashes(data, starts, starts + n)
+        assert first == third and (first == second) == (one == other)
+    # The polynomials do not tell the first pair apart.
+    data, ranges = np.frombuffer("".join(pairs[0]).encode(), np.uint8), Ranges()
+    one, other = ranges.hashes(ranges.sums(data), np.array([0, 2048]), np.array([2048, 4096]))
+    assert one == other
+    data = np.frombuffer(noise.encode(), np.uint8)
+    starts = np.arange(200)
+    for width in (8, 9, 15, 16, 17, 100):
+        texts = [noise[i : i + width] for i in starts]
+        assert len(set(range_hashes(data, starts, starts + width))) == len(set(texts))
+
+
 def test_pieces_of_long_texts(spark, monkeypatch):
     rows = cases()
     monkeypatch.setattr(s, "PIECE", 150)
