@@ -1,21 +1,21 @@
 """Removal of repeated passages: a depth-limited radix sort of all suffixes.
 
 Every byte of a text starts a suffix, ordered only by its first ``DEPTH`` bytes, its window. Passes over one
-digit at a time, the most telling first, split the suffixes into groups; a suffix alone in its group is
-unique and drops out, and what is equal in all digits is a repeated window. All bytes of repeated
+digit at a time split the suffixes into groups, keyed by the group so far and the next digit; a suffix alone in its
+group is unique and drops out, and what is equal in all digits is a repeated window. All bytes of repeated
 windows are removed, whoever comes first.
 
-The digits are chosen so that neighbouring suffixes share the work. The first digit of a window is
-its anchor, the leftmost of its ``GRAM``-byte pieces with the least hash, and the anchor's place in it. Runs of
-neighbouring windows have one anchor, so a pass handles a run (a *block*) as one row. Blocks whose
-anchor is unique end here; blocks that are equal over their whole extent to all others with the anchor
-are repeated as a whole. Only the rest, the neighbourhoods of edits and of passages shorter than a
-window, goes to the next passes, which cut the blocks by the place of the anchor into ``DIGITS`` windows
-and, at last, single windows. Groups are counted with map-side sums and rows are only joined to counts,
+Rows are saved by anchors: the anchor of a window is the leftmost of its ``GRAM``-byte pieces with the least
+hash. Runs of neighbouring windows have one anchor, so one row stands for a run (a *block*), and the first pass
+is over anchors: blocks whose anchor is unique end here. The next passes take the bytes of a block's extent, the
+union of its windows, in order, ``DIGIT`` of them at a time. Groups that agree in all digits left end early, with all of their
+windows repeated. Blocks that are alone may still share some of their windows with others: the neighbourhoods of edits and of
+passages shorter than a window. They are cut by the place of the anchor into ``WIDTHS`` windows and, at last, single windows,
+which take the same passes. Groups are counted with map-side sums and rows are only joined to counts,
 so a passage that stands in every document is no group that a task would hold.
 
-Blocks are equal if two 64-bit hashes agree: a polynomial of the digit, and of the whole extent a sum of mixed numbers for
-eight bytes and their place, which regular texts (Thue-Morse strings) do not collide in as they do in polynomials. Windows lie inside one text; the same text twice
+A digit is the 64-bit hash of its bytes, a sum of mixed numbers for eight bytes and their place, which regular texts
+(Thue-Morse strings) do not collide in as they do in polynomials; bytes are not compared again. Windows lie inside one text; the same text twice
 repeats all of its windows, overlapping windows of one text repeat each other.
 
 Defined results: a null text is empty, a text shorter than a window stays whole; rows repeated with
@@ -26,6 +26,7 @@ read, so extra columns cannot clash.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +39,11 @@ from basketflow.llm.bytehash import U64, Ranges, flat, mixed, parts, range_hashe
 
 DEPTH = 200
 GRAM = 32
-#: Windows of a block after each further pass.
-DIGITS = (24, 4, 1)
+#: Bytes of a digit, and the digits of the longest extent.
+DIGIT = 128
+ORDER = ("d1", "d2", "d3")
+#: Windows of a block after each further cut.
+WIDTHS = (24, 4, 1)
 SLICE_BYTES = 1 << 20
 #: Longer texts are read in overlapping pieces of so many window starts.
 PIECE = 1 << 20
@@ -64,11 +68,11 @@ def anchors(data: np.ndarray, sums: np.ndarray, ranges: Ranges) -> tuple[np.ndar
 
 
 def _runs(data: np.ndarray, offsets: np.ndarray, first: Ranges) -> tuple[np.ndarray, ...]:
-    """Blocks of all texts: row of the text, first window, windows - 1, place of the anchor in the last, keys."""
+    """Blocks of all texts: row of the text, first window, windows - 1, place of the anchor in the last, its hash, digits."""
     counts = np.maximum(0, np.diff(offsets) - DEPTH + 1)
     none = np.zeros(0, np.int64)
     if not counts.sum():
-        return none, none, none, none, none, none
+        return none, none, none, none, none, [none] * len(ORDER)
     sums = first.sums(data)
     hashes, anchor = anchors(data, sums, first)
     before = np.cumsum(counts) - counts
@@ -81,20 +85,29 @@ def _runs(data: np.ndarray, offsets: np.ndarray, first: Ranges) -> tuple[np.ndar
     high = starts[np.append(begin[1:], len(starts)) - 1]
     text = np.searchsorted(offsets, low, side="right") - 1
     core = mixed(hashes[at]).view(np.int64)
-    return text, low - offsets[text], high - low, at - high, core, _whole(data, low, high, at - high)
+    return text, low - offsets[text], high - low, at - high, core, _digits(data, low, high, at - high)
 
 
-def _whole(data: np.ndarray, low: np.ndarray, high: np.ndarray, offset: np.ndarray) -> np.ndarray:
-    """The key of a block's whole extent and the places of its windows."""
-    key = range_hashes(data, low, high + DEPTH)
-    return mixed(key + mixed((offset * 1024 + high - low).astype(U64))).view(np.int64)
+def _digits(data: np.ndarray, low: np.ndarray, high: np.ndarray, offset: np.ndarray) -> list[np.ndarray]:
+    """The bytes of the blocks' extents in order, as digits; the first tells the places of the windows, too.
+    A digit beyond the extent is 0."""
+    end = high + DEPTH
+    digits = []
+    for i in range(len(ORDER)):
+        digit, begin = np.zeros(len(low), U64), low + i * DIGIT
+        there = np.flatnonzero(begin < end)
+        begin, end_of = begin[there], end[there]
+        digit[there] = range_hashes(data, np.minimum(begin, end_of - 8), np.minimum(begin + DIGIT, end_of))
+        digits.append(digit)
+    digits[0] = mixed(digits[0] + mixed((offset * 1024 + high - low).astype(U64)))
+    return [digit.view(np.int64) for digit in digits]
 
 
 def _places(low: np.ndarray, span: np.ndarray, offset: np.ndarray) -> np.ndarray:
     return (low << 16) | (span << 8) | offset
 
 
-BLOCK = T.StructType([T.StructField(n, T.LongType()) for n in ("core", "whole", "copy", "place")])
+BLOCK = T.StructType([T.StructField(n, T.LongType()) for n in ("core", *ORDER, "copy", "place")])
 
 
 def _with_id(kind: T.DataType) -> T.StructType:
@@ -116,11 +129,11 @@ def _first_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 ]
             for row, piece, bounds, shift in pieces:
                 bounds = np.array([0, len(piece)]) if bounds is None else bounds
-                text, low, span, offset, core, whole = _runs(piece, bounds, first)
+                text, low, span, offset, core, digits = _runs(piece, bounds, first)
                 rows = pa.array(text + row)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(core), pa.array(whole), part["copy"].take(rows), pa.array(_places(low + shift, span, offset)), part["doc_id"].take(rows)],
-                    names=["core", "whole", "copy", "place", "doc_id"],
+                    [*map(pa.array, (core, *digits)), part["copy"].take(rows), pa.array(_places(low + shift, span, offset)), part["doc_id"].take(rows)],
+                    names=["core", *ORDER, "copy", "place", "doc_id"],
                 )
 
 
@@ -136,56 +149,75 @@ def _cut(width: int):
                 place = part["places"].flatten().to_numpy()
                 low, span, offset = place >> 16, (place >> 8) & 255, place & 255
                 anchor = offsets[text] + low + span + offset
-                digits = (offset + span) // width - offset // width + 1
-                of = np.repeat(np.arange(len(place)), digits)
-                start = (offset[of] // width + np.arange(len(of)) - np.repeat(np.cumsum(digits) - digits, digits)) * width
+                cuts = (offset + span) // width - offset // width + 1
+                of = np.repeat(np.arange(len(place)), cuts)
+                start = (offset[of] // width + np.arange(len(of)) - np.repeat(np.cumsum(cuts) - cuts, cuts)) * width
                 near, far = np.maximum(start, offset[of]), np.minimum(start + width - 1, offset[of] + span[of])
                 at = anchor[of]
                 core = first.hashes(first.sums(data), at - start, at - start - width + 1 + DEPTH)
                 core = mixed(core + mixed((start * 256 + width).astype(U64))).view(np.int64)
-                whole = _whole(data, at - far, at - near, near)
+                digits = _digits(data, at - far, at - near, near)
                 rows = pa.array(text[of])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(core), pa.array(whole), part["copy"].take(rows),
+                    [*map(pa.array, (core, *digits)), part["copy"].take(rows),
                      pa.array(_places(at - far - offsets[text[of]], far - near, near)), part["doc_id"].take(rows)],
-                    names=["core", "whole", "copy", "place", "doc_id"],
+                    names=["core", *ORDER, "copy", "place", "doc_id"],
                 )
 
     return cut
 
 
-def split_groups(blocks: DataFrame) -> DataFrame:
-    """Blocks that are not unique: ``doc_id, copy, place``, whether they are repeated as a whole (``done``),
-    and whether the next pass takes them: those that are not, and one of each kind that others may share in part.
-    """
-    # Stored, so that the join has two plain shuffles and a frequent anchor can be split.
-    cores = stored(
-        blocks.groupBy("core")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("whole").alias("least"), F.max("whole").alias("most"))
-        .filter("n > 1")
-        .select(F.col("core").alias("c"), (F.col("least") != F.col("most")).alias("differ")),
-        "anchors",
-    )
-    shared = blocks.join(cores, F.col("core") == F.col("c"))
-    shared = stored(
-        shared.select("doc_id", "copy", "place", "differ", *[F.when(F.col("differ"), F.col(n)).alias(n) for n in ("core", "whole")]),
-        "shared-blocks",
+def _groups(rows: DataFrame, keys: list[str], label: str) -> DataFrame:
+    """Groups of two and more: their keys (with ``_``), whether digits left differ (``differ``), and one of the rows."""
+    left = F.xxhash64(*ORDER)
+    groups = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min(left).alias("least"), F.max(left).alias("most"), F.min(_name()).alias("one")
     )
-    differ = shared.filter("differ")
-    equal = stored(
-        differ.groupBy("core", "whole")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("copy", "place", "doc_id")).alias("one"))
-        .filter("n > 1")
-        .select(F.col("core").alias("c"), F.col("whole").alias("w"), "one"),
-        "equal-blocks",
-    )
-    judged = differ.join(equal, (F.col("core") == F.col("c")) & (F.col("whole") == F.col("w")), "left")
-    stands_for_others = F.col("one").eqNullSafe(F.struct("copy", "place", "doc_id"))
-    return shared.filter(~F.col("differ")).select("doc_id", "copy", "place", F.lit(True).alias("done"), F.lit(False).alias("next")).unionAll(
-        judged.select("doc_id", "copy", "place", F.col("c").isNotNull().alias("done"), (F.col("c").isNull() | stands_for_others).alias("next"))
+    # Stored, so that the join has two plain shuffles and a frequent anchor can be split.
+    return stored(
+        groups.filter("n > 1").select(*[F.col(key).alias(f"{key}_") for key in keys], (F.col("least") != F.col("most")).alias("differ"), "one"), label
     )
 
 
+def _name() -> Column:
+    """Stands for a block among equal ones; two that share it by chance would both be looked at further, no more."""
+    return F.xxhash64("copy", "place", "doc_id")
+
+
+def split_groups(blocks: DataFrame, digits: int) -> DataFrame:
+    """Blocks that are not unique: ``doc_id, copy, place``, whether they are repeated as a whole (``done``),
+    and whether the next cut takes them (``next``): those that are not, and one of each kind that others may share in part.
+    """
+    keys = ["core", *ORDER]
+    anchors_of = _groups(blocks, ["core"], "anchors")
+    shared = blocks.join(anchors_of, F.col("core") == F.col("core_"))
+    passes = [
+        stored(
+            shared.select(
+                "doc_id", "copy", "place", (~F.col("differ")).alias("done"), F.lit(False).alias("next"),
+                *[F.when(F.col("differ"), F.col(key)).alias(key) for key in keys],
+            ),
+            "shared-blocks",
+        )
+    ]
+    for n in range(1, digits + 1):
+        rows = passes[-1].filter("core is not null")
+        group = keys[: n + 1]
+        judged = rows.join(_groups(rows, group, "groups"), [F.col(key) == F.col(f"{key}_") for key in group], "left")
+        alone, more = F.col("core_").isNull(), F.coalesce(F.col("differ"), F.lit(False))
+        passes.append(
+            stored(
+                judged.select(
+                    "doc_id", "copy", "place", (~alone & ~more).alias("done"), (alone | (~more & (F.col("one") == _name()))).alias("next"),
+                    *[F.when(more, F.col(key)).alias(key) for key in keys],
+                ),
+                "blocks",
+            )
+        )
+    found = [rows.filter("core is null").select("doc_id", "copy", "place", "done", "next") for rows in passes]
+    return reduce(DataFrame.unionAll, found)
+
+
 def _rows(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     return docs.select("doc_id", F.xxhash64(text_of()).alias("copy"), text_of().alias("t"))
@@ -234,24 +266,21 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     """``doc_id, copy, runs`` of the texts with repeated windows."""
     kind = docs.schema["doc_id"].dataType
     rows = _rows(docs)
-    blocks = rows.mapInArrow(_first_blocks, _with_id(kind))
+    blocks, longest = rows.mapInArrow(_first_blocks, _with_id(kind)), DEPTH + DEPTH - GRAM
     done = []
-    for width in (*DIGITS, None):
-        found = split_groups(blocks)
-        if width is None:  # single windows: nothing is left to split
-            done.append(found.filter("done"))
-            break
-        found = stored(found, "blocks")
+    for width in (*WIDTHS, None):
+        found = split_groups(blocks, -(-longest // DIGIT))
         done.append(found.filter("done"))
+        if width is None:  # single windows: nothing is left to cut
+            break
         left = stored(found.filter("next").groupBy("doc_id", "copy").agg(F.collect_set("place").alias("places")), "unresolved")
         n, places = left.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("places")), F.lit(0))).first()
         if not n:
             break
         small = n <= BROADCAST and places <= BROADCAST_PASSAGES
         blocks = _meet(rows, left, small, "inner").select("doc_id", "copy", "t", "places").mapInArrow(_cut(width), _with_id(kind))
-    repeated = done[0]
-    for more in done[1:]:
-        repeated = repeated.unionAll(more)
+        longest = DEPTH + width - 1
+    repeated = reduce(DataFrame.unionAll, done)
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("copy", T.LongType()), T.StructField("runs", T.ArrayType(T.LongType()))])
     return repeated.groupBy("doc_id", "copy").agg(F.collect_set("place").alias("places")).mapInArrow(_merged, schema)
 

@@ -99,6 +99,38 @@ def test_hashes_of_ranges_tell_regular_texts_apart():
         assert len(set(range_hashes(data, starts, starts + width))) == len(set(texts))
 
 
+def test_passes_take_digits_in_order(spark):
+    """Blocks by hand: a unique anchor, equal ones, and blocks that part at the first, second and third digit."""
+    blocks = [
+        (1, 1, 1, 1), (2, 1, 1, 1), (2, 1, 1, 1),
+        (3, 1, 1, 1), (3, 1, 1, 1), (3, 1, 1, 2), (3, 1, 2, 1), (3, 1, 2, 2), (3, 2, 1, 1), (3, 1, 1, 1),
+        (4, 1, 1, 1), (4, 1, 2, 1), (4, 1, 2, 1), (4, 5, 1, 1), (4, 5, 1, 1),
+    ]
+    rows = [(*block, 0, i, i) for i, block in enumerate(blocks)]
+    found = s.split_groups(spark.createDataFrame(rows, s._with_id(s.T.LongType())), 3).collect()
+    assert sorted(r.doc_id for r in found) == list(range(1, len(blocks)))
+    times = Counter(blocks)
+    assert all(r.done == (times[blocks[r.doc_id]] > 1) for r in found)
+    going = Counter(blocks[r.doc_id] for r in found if r.next)
+    assert going == Counter(set(blocks) - {(1, 1, 1, 1), (2, 1, 1, 1)})
+
+
+def test_digits_cover_the_extent():
+    """A change of any byte of the extent changes the digit that holds it, and no other."""
+    import numpy as np
+
+    draw = random.Random(2)
+    for span in (0, 3, 23, 56, 57, 60, 63, 64, 168):
+        size = s.DEPTH + span
+        text = bytes(draw.randrange(256) for _ in range(size))
+        place = np.array([0]), np.array([span]), np.array([1])
+        was = s._digits(np.frombuffer(text, np.uint8), *place)
+        for i in range(size):
+            now = s._digits(np.frombuffer(text[:i] + bytes([text[i] ^ 1]) + text[i + 1 :], np.uint8), *place)
+            changed = [k for k in range(3) if was[k] != now[k]]
+            assert i // s.DIGIT in changed and (len(changed) == 1 or i >= size - 8)
+
+
 def test_pieces_of_long_texts(spark, monkeypatch):
     rows = cases()
     monkeypatch.setattr(s, "PIECE", 150)
