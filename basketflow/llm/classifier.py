@@ -92,17 +92,14 @@ def held_out(key: Column) -> Column:
     return F.crc32(F.encode(F.coalesce(key.cast("string"), F.lit("")), "UTF-8")) % FOLDS == HELD_OUT
 
 
-def fit(
-    features: DataFrame,
-    labels: DataFrame,
-    *,
-    label: str = "quality",
-    to_pooled: float = SHRINK_TO_POOLED,
-    to_identity: float = SHRINK_TO_IDENTITY,
-) -> Discriminant:
-    """Fit on the labelled rows of ``features`` (doc_id, x) that are not held out."""
+def labelled(rows: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
+    """Rows that are not held out, with their label as ``k``, once for each label."""
     marks = labels.filter(F.col(label).isin(0, 1)).select(F.col("doc_id").alias("of"), F.col(label).cast("int").alias("k"))
-    rows = features.filter(~held_out(F.col("doc_id"))).join(marks, F.col("doc_id") == F.col("of"))
+    return rows.filter(~held_out(F.col("doc_id"))).join(marks, F.col("doc_id") == F.col("of"))
+
+
+def fit(rows: DataFrame, *, to_pooled: float = SHRINK_TO_POOLED, to_identity: float = SHRINK_TO_IDENTITY) -> Discriminant:
+    """Fit on labelled statistics (x, k)."""
     d = len(STATISTICS)
     # Sums of x, and of x times x: one row for each class and cell, combined on the map side.
     cells = F.flatten(F.transform(F.concat(F.array(F.lit(1.0)), "x"), lambda a: F.transform(F.concat(F.array(F.lit(1.0)), "x"), lambda b: a * b)))
@@ -143,7 +140,7 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per document: held_out, score, predicted. Statistics are stored once and used twice."""
     small_batches(docs.sparkSession)
     features = stored(docs.select("doc_id", statistics_of(text_of()).alias("x")), "statistics")
-    scores = score_with(fit(features, labels))
+    scores = score_with(fit(labelled(features, labels)))
     return features.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), scores("x").alias("score")).withColumn(
         "predicted", (F.col("score") >= 0.5).cast("int")
     )
@@ -152,8 +149,9 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, that the classifier does not reject."""
     small_batches(docs.sparkSession)
-    features = docs.select("doc_id", statistics_of(text_of()).alias("x"))
-    scores = score_with(fit(features, labels))
+    # Labels meet the texts first, so that statistics are taken of labelled rows only, and then once of all.
+    train = labelled(docs.select("doc_id", text_of().alias("t")), labels).select("k", statistics_of("t").alias("x"))
+    scores = score_with(fit(train))
     mark = fresh(docs, "score")
     return docs.withColumn(mark, scores(statistics_of(text_of()))).filter(F.col(mark) >= 0.5).drop(mark)
 

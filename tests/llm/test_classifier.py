@@ -89,6 +89,13 @@ def test_odd_tables(spark, odd, nothing):
     assert {r.predicted for r in classifier.classify(odd, one).collect()} == {1}
 
 
+def test_accepted_are_those_predicted_good(spark):
+    docs, labels = (spark.read.parquet(f"{SMALL}/{n}.parquet") for n in ("documents", "labels"))
+    good = {r.doc_id for r in classifier.classify(docs, labels).filter("predicted = 1").collect()}
+    kept = classifier.accepted(docs, labels)
+    assert {r.doc_id for r in kept.collect()} == good and kept.columns == docs.columns
+
+
 def test_statistics_are_finite():
     import numpy as np
 
