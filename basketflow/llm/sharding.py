@@ -32,8 +32,10 @@ from basketflow.workspace import new_folder
 
 SHARDS = 16
 SEED = 20_240_501
-#: Bytes of text in a bucket, about.
+#: Bytes of text in a bucket, about: it grows with the table beyond so many buckets, up to what one task shuffles in memory.
 BUCKET_BYTES = 8 << 20
+BUCKETS = 8192
+LARGEST_BUCKET = 128 << 20
 #: What a row has besides its text, about.
 ROW_BYTES = 64
 #: More offsets than this are joined by a shuffle.
@@ -46,10 +48,11 @@ def shard_of(key: Column, shards: int, seed: int = SEED) -> Column:
     return (F.greatest(*draws) if shards > 1 else draws[0])["i"]
 
 
-def scatter(docs: DataFrame, *, key: str, shards: int, seed: int, bucket_bytes: int) -> tuple[DataFrame, int]:
+def scatter(docs: DataFrame, *, key: str, shards: int, seed: int, bucket_bytes: int | None) -> tuple[DataFrame, int]:
     """Rows as ``(bucket, order, record)`` and the number of buckets; bucket b belongs to shard b % shards."""
     texts = F.octet_length(text_of()) if "text" in docs.columns else F.lit(0)
     (total,) = docs.agg(F.coalesce(F.sum(texts + ROW_BYTES), F.lit(0))).first()
+    bucket_bytes = bucket_bytes or min(LARGEST_BUCKET, max(BUCKET_BYTES, total // BUCKETS))
     per_shard = max(1, -(-total // (shards * bucket_bytes)))
     content = F.xxhash64(F.lit(seed), *[F.col(f"`{name}`") for name in docs.columns])
     sub = F.pmod(F.xxhash64(content, F.rand(seed)), F.lit(per_shard)).cast("int")
@@ -89,7 +92,7 @@ def _shuffle_bucket(seed: int, shards: int):
 
 
 def write_shards(
-    docs: DataFrame, path: str, *, key: str = "doc_id", shards: int = SHARDS, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES
+    docs: DataFrame, path: str, *, key: str = "doc_id", shards: int = SHARDS, seed: int = SEED, bucket_bytes: int | None = None
 ) -> int:
     """Write ``docs`` as shards in random order under ``path/shard=N``; returns the number of buckets."""
     rows, buckets = scatter(docs, key=key, shards=shards, seed=seed, bucket_bytes=bucket_bytes)

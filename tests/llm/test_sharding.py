@@ -83,6 +83,18 @@ def test_files_hold_the_shuffled_order(spark, small):
         assert r.p == sorted(r.p)
 
 
+def test_buckets_grow_with_the_table(spark, small, monkeypatch):
+    def buckets():
+        return sharding.write_shards(small, new_folder(spark, "test-shards"), shards=2)
+
+    monkeypatch.setattr(sharding, "BUCKET_BYTES", 1 << 10)
+    many = buckets()
+    monkeypatch.setattr(sharding, "BUCKETS", 16)
+    assert 16 <= buckets() <= 20 < many
+    monkeypatch.setattr(sharding, "LARGEST_BUCKET", 1 << 12)
+    assert 16 < buckets() < many
+
+
 def test_empty(spark, nothing):
     rows, _ = written(spark, nothing)
     assert rows.count() == 0
