@@ -29,6 +29,8 @@ from basketflow.llm.base import fresh, small_batches, stored, table, text_of
 SHRINK_TO_POOLED = 0.1
 SHRINK_TO_IDENTITY = 0.02
 FOLDS, HELD_OUT = 3, 1
+#: Labels up to which they are sent to the texts.
+BROADCAST = 1_000_000
 STATISTICS = (
     "log_bytes", "log_words", "word_bytes", "word_bytes_spread", "upper", "symbols", "shouts", "bars", "digits",
     "stops", "line_ends", "non_ascii", "new_words", "new_pairs", "packed",
@@ -149,8 +151,11 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, that the classifier does not reject."""
     small_batches(docs.sparkSession)
-    # Labels meet the texts first, so that statistics are taken of labelled rows only, and then once of all.
-    train = labelled(docs.select("doc_id", text_of().alias("t")), labels).select("k", statistics_of("t").alias("x"))
+    texts = docs.select("doc_id", text_of().alias("t"))
+    if labels.count() <= BROADCAST:  # statistics of labelled rows only
+        train = labelled(texts, F.broadcast(labels)).select("k", statistics_of("t").alias("x"))
+    else:  # statistics are sent, never texts
+        train = labelled(texts.select("doc_id", statistics_of("t").alias("x")), labels)
     scores = score_with(fit(train))
     mark = fresh(docs, "score")
     return docs.withColumn(mark, scores(statistics_of(text_of()))).filter(F.col(mark) >= 0.5).drop(mark)

@@ -1,6 +1,7 @@
 import math
 import zlib
 
+import pytest
 from conftest import SMALL
 from llm_tables import nothing, odd  # noqa: F401
 
@@ -89,7 +90,9 @@ def test_odd_tables(spark, odd, nothing):
     assert {r.predicted for r in classifier.classify(odd, one).collect()} == {1}
 
 
-def test_accepted_are_those_predicted_good(spark):
+@pytest.mark.parametrize("most", [0, classifier.BROADCAST])
+def test_accepted_are_those_predicted_good(spark, monkeypatch, most):
+    monkeypatch.setattr(classifier, "BROADCAST", most)
     docs, labels = (spark.read.parquet(f"{SMALL}/{n}.parquet") for n in ("documents", "labels"))
     good = {r.doc_id for r in classifier.classify(docs, labels).filter("predicted = 1").collect()}
     kept = classifier.accepted(docs, labels)
