@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +29,7 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
         "value",
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("block"),
-        (F.regexp_count("value", F.lit('"')) % 2 == 1).alias("odd"),
+        ((F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))) % 2 == 1).alias("odd"),
     )
 
 
@@ -41,50 +42,55 @@ def _begins(lines: DataFrame) -> DataFrame:
 
 
 def _glued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lines to records and, at the ends of a split, fragments: ``head`` ends a record begun before, ``tail`` does not end."""
-    split, open_lines, in_head, count = None, [], False, 0
-
-    def row(value: str, head: bool, tail: bool) -> pa.RecordBatch:
-        nonlocal count
-        count += 1
-        return pa.RecordBatch.from_pylist(
-            [{"value": value, "source_file": split[0], "block": split[1], "fragment": count, "head": head, "tail": tail}], schema
-        )
+    """Lines to records and, at the ends of a split, fragments: ``head`` ends a record begun before, ``tail`` does not end.
 
+    A batch's lines are cut into lists where records end, and the lists joined, as whole columns; single strings are
+    handled only for a record that crosses batches."""
+    split, open_lines, in_head, parity = None, [], False, False
     schema = pa.schema([("value", pa.string()), ("source_file", pa.string()), ("block", pa.int64()), ("fragment", pa.int32()), ("head", pa.bool_()), ("tail", pa.bool_())])
+
+    def rows(values: pa.Array, head: bool = False, tail: bool = False) -> pa.RecordBatch:
+        n = len(values)
+        columns = [
+            values, pa.repeat(pa.scalar(split[0]), n), pa.repeat(pa.scalar(split[1], pa.int64()), n),
+            # A split has one of each at most, the head first.
+            pa.repeat(pa.scalar(2 if tail else 1, pa.int32()), n), pa.repeat(pa.scalar(head), n), pa.repeat(pa.scalar(tail), n),
+        ]
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    def glued_lines(tail: bool = False) -> pa.RecordBatch:
+        return rows(pa.array(["\n".join(open_lines)], pa.string()), in_head, tail)
+
     for batch in batches:
-        start = 0
-        files, blocks = batch["source_file"], batch["block"].to_numpy()
-        while start < batch.num_rows:
-            here = (files[start].as_py(), int(blocks[start]))
+        if not batch.num_rows:
+            continue
+        files, blocks = batch["source_file"], batch["block"]
+        changed = pc.or_(pc.not_equal(files[1:], files[:-1]), pc.not_equal(blocks[1:], blocks[:-1])).to_numpy(zero_copy_only=False)
+        bounds = [0, *(np.flatnonzero(changed) + 1).tolist(), batch.num_rows]
+        for start, end in zip(bounds, bounds[1:]):
+            here = (files[start].as_py(), blocks[start].as_py())
             if here != split:
                 if open_lines:
-                    yield row("\n".join(open_lines), in_head, True)
-                split, open_lines, count = here, [], 0
+                    yield glued_lines(tail=True)
+                split, open_lines = here, []
                 in_head = parity = batch["inside"][start].as_py()
-            same = np.asarray(blocks[start:] == here[1]) & np.asarray(files.slice(start).to_numpy(zero_copy_only=False) == here[0])
-            end = batch.num_rows if same.all() else start + int(same.argmin())
-            part = batch.slice(start, end - start)
-            odd = part["odd"].to_numpy(zero_copy_only=False).astype(np.int64)
-            after = (parity + np.cumsum(odd)) % 2
-            before = np.concatenate([[int(parity)], after[:-1]])
-            parity = bool(after[-1])
-            alone = (before == 0) & (after == 0)
-            kept = part.filter(pa.array(alone))
-            n = kept.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [kept["value"], kept["source_file"], kept["block"], pa.array(np.zeros(n, np.int32)), pa.array(np.zeros(n, bool)), pa.array(np.zeros(n, bool))],
-                schema=schema,
-            )
-            values = part["value"]
-            for at in np.flatnonzero(~alone).tolist():
-                open_lines.append(values[at].as_py())
-                if not after[at]:
-                    yield row("\n".join(open_lines), in_head, False)
-                    open_lines, in_head = [], False
-            start = end
+            values = batch["value"].slice(start, end - start)
+            odd = batch["odd"].slice(start, end - start).to_numpy(zero_copy_only=False).astype(np.int64)
+            inside = (parity + np.cumsum(odd)) % 2
+            parity = bool(inside[-1])
+            ends = np.flatnonzero(inside == 0) + 1
+            at = 0
+            if len(ends) and (open_lines or in_head):
+                open_lines.extend(values[: ends[0]].to_pylist())
+                yield glued_lines()
+                at, ends, open_lines, in_head = int(ends[0]), ends[1:], [], False
+            if len(ends):
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[at], ends]), pa.int32()), values)
+                yield rows(pc.binary_join(lists, "\n"))
+                at = int(ends[-1])
+            open_lines.extend(values[at:].to_pylist())
     if open_lines:
-        yield row("\n".join(open_lines), in_head, True)
+        yield glued_lines(tail=True)
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:

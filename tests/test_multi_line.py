@@ -2,11 +2,13 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
 from basketflow import schemas
 from basketflow.session import temporary_settings
 from basketflow.sources import read_transactions_csv
+from basketflow.sources.multi_line import _glued
 
 
 def field(draw):
@@ -58,3 +60,20 @@ def test_empty_files(spark, tmp_path):
     (tmp_path / "a.csv").write_text("")
     (tmp_path / "b.csv").write_text(schemas.CSV_HEADER)
     assert read_transactions_csv(spark, str(tmp_path), multi_line=True).count() == 0
+
+
+def test_records_of_many_lines_come_in_whole_columns():
+    """Two lines a record; those at the ends of the batches cross them."""
+    lines = [f'{n},"a' if n % 2 else 'b"' for n in range(1, 2002)]
+    batches = [
+        pa.record_batch({
+            "value": lines[at : at + 667], "source_file": ["f"] * len(lines[at : at + 667]), "block": pa.array([0] * len(lines[at : at + 667]), pa.int64()),
+            "odd": [True] * len(lines[at : at + 667]), "inside": [False] * len(lines[at : at + 667]),
+        })
+        for at in range(0, len(lines), 667)
+    ]
+    out = list(_glued(iter(batches)))
+    rows = [row for batch in out for row in batch.to_pylist()]
+    assert sorted(r["value"] for r in rows) == sorted([f'{n},"a\nb"' for n in range(1, 2000, 2)] + ['2001,"a'])
+    assert [(r["head"], r["tail"]) for r in rows if r["head"] or r["tail"]] == [(False, True)]
+    assert len(out) < 10
