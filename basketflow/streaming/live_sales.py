@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from basketflow.files import Files
 from basketflow.functions import from_cents, in_cents, wide_cents
-from basketflow.operators.decode import decode_lines
+from basketflow.operators.decode import accepted, decode_lines
 from basketflow.operators.dedupe import drop_copies_in_stream
 from basketflow.operators.shred import items
 from basketflow.session import stream_settings, temporary_settings
@@ -62,7 +62,9 @@ def start_live_sales(
     records = decode_lines(stream_log_lines(spark, input_dir, max_files=max_files, max_bytes=max_bytes))
     check_clock = clock_guard(spark, checkpoint, horizon) if horizon else None
     if horizon:
-        records = drop_copies_in_stream(records, horizon, lanes)
+        # What the report needs of a record; a refused one has no items, so it needs no place in the state.
+        tx = F.struct(*[f"tx.{name}" for name in ("transaction_id", "supermarket_id", "items")])
+        records = drop_copies_in_stream(accepted(records).select("tx_key", "arrived_at", tx.alias("tx")), horizon, lanes)
     totals = items(records, "supermarket_id").groupBy(*KEYS).agg(F.sum("quantity").alias("units"))
 
     def refresh(batch: DataFrame, batch_id: int) -> None:

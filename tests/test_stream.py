@@ -567,3 +567,10 @@ def test_closing_pass_empties_the_input(feed, monkeypatch):
     feed.load(archive_dir=archive)
     assert feed.count("headers") == 4
     assert close_archive(feed.spark, feed.incoming, feed.progress, archive) == 1
+
+
+def test_refused_lines_take_no_place_in_the_live_state(spark, tmp_path):
+    write_lines(f"{tmp_path}/in", [log_line(sale(1)), "banner", "another banner"])
+    query = start_live_sales(spark, f"{tmp_path}/in", f"{tmp_path}/report", f"{tmp_path}/progress", lanes=2)
+    query.awaitTermination()
+    assert {operator["numRowsTotal"] for operator in query.lastProgress["stateOperators"]} == {1}
