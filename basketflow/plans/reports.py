@@ -27,10 +27,15 @@ def in_dates(rows: DataFrame, since: str | None, until: str | None) -> DataFrame
 
 
 def once(rows: DataFrame, on: str, *columns: str) -> DataFrame:
-    """Each record or item of stored facts once. Copies are equal in all columns that a record's text
-    decides, so grouping by them is a hash aggregate that combines on the map side."""
+    """Each record or item of stored facts once. Copies are equal in all columns that a record's text decides.
+    Under ``tx_key`` they fall together in the set of its record's rows, within the task first, and lie where a join on the
+    key needs them; a record's rows are those of one line of text."""
     wanted = [c for c in dict.fromkeys([on, "position", *columns]) if c in rows.columns]
-    return rows.select(wanted).distinct() if on == "tx_key" else rows.select([c for c in wanted if c != "position"])
+    if on != "tx_key":
+        return rows.select([c for c in wanted if c != "position"])
+    kept = [c for c in wanted if c != on]
+    sets = rows.groupBy(on).agg(F.collect_set(F.struct(*kept)).alias("rows"))
+    return sets.select(on, F.explode("rows").alias("row")).select(on, "row.*")
 
 
 def _records_once(headers: DataFrame) -> DataFrame:
@@ -41,9 +46,8 @@ def _records_once(headers: DataFrame) -> DataFrame:
 
 
 def _items_once(details: DataFrame) -> DataFrame:
-    """Each item of each record once, in place by ``tx_key``. A record's items are those of one line of text."""
-    items = details.groupBy("tx_key").agg(F.collect_set(F.struct("position", "sku", "quantity")).alias("items"))
-    return items.select("tx_key", F.explode("items").alias("item")).select("tx_key", "item.sku", "item.quantity")
+    """Each item of each record once, in place by ``tx_key``."""
+    return once(details, "tx_key", "sku", "quantity").drop("position")
 
 
 def sales_by_day(headers: DataFrame, details: DataFrame) -> DataFrame:
@@ -92,27 +96,38 @@ def sales_by_store(
     one row. The grouping by transaction and store needs no shuffle after a join on the id; it
     counts each transaction of a store once. Under ``tx_key`` a transaction is an id and a date.
 
-    Stored details carry the date of their header, so their scan is cut to the dates as well. They are shuffled
-    once, by key: copies of an item fall together in the set of its record's items, within the task first, and the
-    join and the sums find their rows in place.
+    Stored details carry the date of their header, so their scan is cut to the dates as well. They are shuffled by key
+    once: copies of an item fall together in the set of its record's items, within the task first, and the join finds its
+    rows in place. The key, 32 bytes that do not compress, ends there; where prices are too many to be sent, what goes on
+    to them and to the sums are the sale's own columns.
     """
     if "transaction_date" in details.columns:
         details = in_dates(details, since, until)
-    sale = ["transaction_id"] if on == "transaction_id" else ["transaction_id", "transaction_date"]
+    prices = skus.select("sku", in_cents(F.col("price")).alias("cents"))
+    sale = ["transaction_id", "supermarket_id"] if on == "transaction_id" else ["transaction_id", "transaction_date", "supermarket_id"]
     if on == "tx_key":
-        wanted, items = _records_once(in_dates(headers, since, until)), _items_once(details)
+        lines = _records_once(in_dates(headers, since, until)).join(_items_once(details), on).drop(on)
+        by_sale = (
+            lines.join(prices, "sku")
+            .groupBy(*sale)
+            .agg(F.sum("quantity").alias("units"), F.sum(F.col("quantity") * F.col("cents")).alias("cents"))
+            .withColumn("cents", wide_cents("cents"))
+        )
     else:
-        wanted, items = once(in_dates(headers, since, until), on, *sale, "supermarket_id"), once(details, on, "sku", "quantity")
-    by_transaction = (
-        items
-        .join(skus.select("sku", in_cents(F.col("price")).alias("cents")), "sku")
-        .groupBy(on)
-        .agg(F.sum("quantity").alias("units"), F.sum(F.col("quantity") * F.col("cents")).alias("cents"))
-    )
+        by_transaction = (
+            once(details, on, "sku", "quantity")
+            .join(prices, "sku")
+            .groupBy(on)
+            .agg(F.sum("quantity").alias("units"), F.sum(F.col("quantity") * F.col("cents")).alias("cents"))
+        )
+        by_sale = (
+            once(in_dates(headers, since, until), on, *sale)
+            .join(by_transaction, on)
+            .groupBy(*sale)
+            .agg(F.sum("units").alias("units"), F.sum(wide_cents("cents")).alias("cents"))
+        )
     by_store = (
-        wanted.join(by_transaction, on)
-        .groupBy(*sale, "supermarket_id")
-        .agg(F.sum("units").alias("units"), F.sum(wide_cents("cents")).alias("cents"))
+        by_sale
         .groupBy("supermarket_id")
         .agg(
             F.count("*").alias("transactions"),

@@ -7,6 +7,8 @@ from conftest import as_lines, log_line, plan_of, sale
 
 from basketflow.operators.decode import decode_lines
 from basketflow.plans.reports import sales_by_store, sales_by_day
+from basketflow.plans.views import load_tables
+from basketflow.session import temporary_settings
 from basketflow.sinks import append_load, generations, overwrite_historical
 from basketflow.sinks.merge import arrange_load
 from basketflow.sources import read_fact
@@ -80,3 +82,30 @@ def test_details_are_shuffled_once(spark, tmp_path):
     assert len([line for line in shuffles if "transaction_id" in line]) == 1
     row = report.first()
     assert (row.transactions, row.units, row.sales) == (40, 40, 100.0)
+
+
+def test_views_are_shuffled_once_by_key(spark, tmp_path):
+    """Each table of stored facts lies by its key where a join on it needs the rows; copies count once."""
+    facts = str(tmp_path)
+    for load in ("a", "b"):
+        append_load(records(spark, range(40)), facts, load)
+    tables = load_tables(spark, facts, spark.range(1), spark.range(1))
+    with temporary_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": -1}):
+        joined = tables["headers"].join(tables["details"], "tx_key")
+        assert plan_of(joined).count("Exchange hashpartitioning(tx_key") == 2
+        assert plan_of(joined).count("Exchange ") == 2
+        assert joined.count() == 40
+
+
+def test_the_key_ends_at_its_join(spark, tmp_path):
+    """Where prices are joined by a shuffle, records are not sent by their key a second time."""
+    facts = str(tmp_path)
+    for load in ("a", "b"):
+        append_load(records(spark, range(40)), facts, load)
+    skus = spark.createDataFrame([("SKU00001", "x", 2.5)], "sku string, article_name string, price double")
+    stores = spark.createDataFrame([("STORE0001", "one")], "supermarket_id string, supermarket_name string")
+    with temporary_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": -1}):
+        report = sales_by_store(*[read_fact(spark, facts, t, stored=True) for t in ("headers", "details")], skus, stores, on="tx_key")
+        assert plan_of(report).count("Exchange hashpartitioning(tx_key") == 2
+        row = report.first()
+    assert (row.transactions, row.units, row.sales) == (40, 40, 100.0)
