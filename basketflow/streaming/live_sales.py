@@ -41,6 +41,7 @@ def start_live_sales(
     horizon: str | None = "1 hour",
     lanes: int = 8,
     state_partitions: int | None = None,
+    count_state: bool = True,
     trigger: dict | None = None,
     max_files: int | None = None,
     max_bytes: int | None = None,
@@ -82,7 +83,7 @@ def start_live_sales(
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
     )
-    with temporary_settings(spark, stream_settings(state_partitions)):
+    with temporary_settings(spark, stream_settings(state_partitions, count_state)):
         return writer.start()
 
 

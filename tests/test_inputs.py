@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from basketflow.catalogue import inputs, queries
 from basketflow.files import Files
 from basketflow.session import temporary_settings
+from basketflow.sources import read_fact
 from basketflow.workspace import new_folder
 
 
@@ -50,3 +51,19 @@ def test_loads_of_the_orphan_audit_are_decoded_once(spark, monkeypatch):
     monkeypatch.setattr(queries, "settled", lambda records: stored.append(1) or settled(records))
     queries.orphans_by_load(spark, SMALL)
     assert len(stored) == 1
+
+
+def test_a_long_load_takes_bounded_batches(spark, monkeypatch):
+    monkeypatch.setattr(queries, "BATCH_BYTES", 10_000)
+    monkeypatch.setattr(inputs, "redelivered_log_folder", None)
+    monkeypatch.setattr(queries, "_stored_contents", lambda spark, folder: read_fact(spark, folder, "headers", stored=True))
+    headers = queries.stream_dedupe(spark, SMALL)
+    assert headers.count() == inputs.transactions(spark, SMALL).count()
+    assert headers.select(F.max("batch_id")).first()[0] > 1
+
+
+def test_state_is_dealt_by_the_size_of_the_logs(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.gz").write_bytes(b"0" * 1000)
+    assert queries._state_partitions(spark, str(tmp_path)) == 4
+    monkeypatch.setattr(queries, "STATE_BYTES", 100)
+    assert queries._state_partitions(spark, str(tmp_path)) == 12

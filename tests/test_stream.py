@@ -574,3 +574,48 @@ def test_refused_lines_take_no_place_in_the_live_state(spark, tmp_path):
     query = start_live_sales(spark, f"{tmp_path}/in", f"{tmp_path}/report", f"{tmp_path}/progress", lanes=2)
     query.awaitTermination()
     assert {operator["numRowsTotal"] for operator in query.lastProgress["stateOperators"]} == {1}
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {name for folder in folders for _, _, names in os.walk(folder.toString()) for name in names if name.startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("start", [Feed.load, live])
+def test_what_a_batch_shuffled_goes_with_it(feed, start):
+    crash_mix(feed)
+    before = shuffle_files(feed.spark)
+    start(feed, max_files=1)
+    for _ in range(100):
+        left = shuffle_files(feed.spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+
+
+@pytest.mark.parametrize("start", [Feed.load, live])
+def test_state_is_on_disk(feed, start):
+    feed.deliver(log_line(sale(1)))
+    start(feed)
+    states = [name for folder, _, names in os.walk(feed.root) for name in names if f"{os.sep}state{os.sep}" in folder]
+    assert any(name.endswith(".zip") for name in states) and not any(name.endswith(".delta") for name in states)
+
+
+def test_state_begun_in_the_heap_goes_on(feed, monkeypatch):
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    with monkeypatch.context() as before:
+        before.setattr(ingest, "stream_settings", lambda *args: {"spark.sql.shuffle.partitions": 2})
+        feed.deliver(log_line(sale(1)))
+        feed.load()
+    feed.deliver(log_line(sale(1)), log_line(sale(2)))
+    feed.load()
+    assert feed.ids() == ["TX0000001", "TX0000002"]
+    assert feed.spark.conf.get(provider, "unset") == "unset"
+
+
+def test_copies_are_dropped_without_counting_the_state(feed):
+    for _ in range(2):
+        feed.deliver(log_line(sale(1)), log_line(sale(2)))
+        feed.load(count_state=False)
+    assert feed.ids() == ["TX0000001", "TX0000002"]
