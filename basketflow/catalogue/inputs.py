@@ -266,9 +266,9 @@ def deliver(spark: SparkSession, lines: DataFrame, folder: str, days_old: int =
             files.setTimes(found.getPath(), found.getModificationTime() - days_old * 86_400_000, -1)
 
 
-def _packed(lines: DataFrame, mode: str = "error") -> Callable[[str], None]:
+def _packed(lines: DataFrame, mode: str = "error", *folders: str) -> Callable[[str], None]:
     """Writes log files compressed, as routers send them: a sixth of the disk of their text."""
-    return lines.write.mode(mode).option("compression", "gzip").text
+    return lines.write.mode(mode).partitionBy(*folders).option("compression", "gzip").text
 
 
 _staged: dict[tuple[str, str, str], str] = {}
@@ -316,6 +316,23 @@ def share_of(parts: int) -> Column:
     return F.pmod(F.coalesce(F.when(number != "", number.cast("bigint")), F.lit(0)), F.lit(parts))
 
 
+def shares(spark: SparkSession, lines: DataFrame, parts: int) -> list[str]:
+    """Folders with the log files of each part, written in one pass over the lines."""
+    folder = new_folder(spark, "shares")
+    # With a writer per part a task need not sort its lines by part.
+    with temporary_settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": parts}):
+        _packed(lines.select("value", share_of(parts).alias("share")), "error", "share")(folder)
+    return [f"{folder}/share={part}" for part in range(parts)]
+
+
+def land(spark: SparkSession, sent: str, folder: str) -> None:
+    """Move the files of a share into a folder, which is there afterwards also if the share has none."""
+    files = Files(spark, folder)
+    files.make(folder)
+    for name in files.names(sent):
+        files.move(f"{sent}/{name}", f"{folder}/{os.path.basename(sent)}-{name}")
+
+
 # Parts of the log lines: how they are sent, in a folder with broken files.
 SENT_PLAIN, SENT_PACKED, SENT_BROKEN = 0, 1, 2
 BROKEN_FILES = 2

@@ -568,8 +568,8 @@ def stream_sales_by_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     report, incoming = new_folder(spark, "live-sales"), new_folder(spark, "incoming")
     _live_sales(spark, inputs.redelivered_log_folder(spark, sf_dir), report, new_folder(spark, "progress"), horizon=None)
     lines, progress = spark.read.text(inputs.log_folder(spark, sf_dir)), new_folder(spark, "progress")
-    for third in range(3):
-        inputs.deliver(spark, lines.where(inputs.share_of(3) == third), incoming)
+    for third in inputs.shares(spark, lines, 3):
+        inputs.land(spark, third, incoming)
         _live_sales(spark, incoming, report, progress, fan=2)
     live = read_live_sales(spark, report, inputs.skus(spark, sf_dir))
     return live.withColumn("sales", F.col("sales").cast("double"))

@@ -41,6 +41,10 @@ class Files:
     def remove(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
 
+    def make(self, path: str) -> None:
+        """A folder, if it is not there."""
+        self._fs.mkdirs(self._path(path))
+
     def move(self, path: str, to: str) -> bool:
         """Give a file or folder another name; false if that did not work."""
         self._fs.mkdirs(self._path(to).getParent())

@@ -53,6 +53,27 @@ def test_loads_of_the_orphan_audit_are_decoded_once(spark, monkeypatch):
     assert len(stored) == 1
 
 
+def test_shares_are_written_in_one_pass(spark, tmp_path):
+    """Each line is in the files of its part; a part without lines leaves an empty folder."""
+    sent = [f"TX{number:07d}" for number in (0, 1, 3, 4, 4)] + ["banner"]
+    lines = spark.createDataFrame([(line,) for line in sent], "value string").repartition(2)
+    landed = []
+    for number, share in enumerate(inputs.shares(spark, lines, 3)):
+        inputs.land(spark, share, f"{tmp_path}/{number}")
+        landed.append(sorted(row.value for row in spark.read.text(f"{tmp_path}/{number}").collect()))
+        inputs.land(spark, share, f"{tmp_path}/{number}")
+    assert landed == [["TX0000000", "TX0000003", "banner"], ["TX0000001", "TX0000004", "TX0000004"], []]
+    assert all(name.endswith(".gz") for name in Files(spark, str(tmp_path)).names(f"{tmp_path}/1"))
+
+
+def test_lines_are_read_once_for_all_shares(spark, monkeypatch):
+    read, shares = [], inputs.shares
+    monkeypatch.setattr(inputs, "shares", lambda spark, lines, parts: read.append(parts) or shares(spark, lines, parts))
+    monkeypatch.setattr(inputs, "deliver", None)
+    assert queries.stream_sales_by_store(spark, SMALL).count() == 25
+    assert read == [3]
+
+
 def test_a_long_load_takes_bounded_batches(spark, monkeypatch):
     monkeypatch.setattr(queries, "BATCH_BYTES", 10_000)
     monkeypatch.setattr(inputs, "redelivered_log_folder", None)
